@@ -1 +1,157 @@
-"""Registered queries."""
+"""The four end-to-end jobs (J1-J4) re-expressed on the given tables.
+
+* J1 tuned multiclass forest: character statistics of ``documents`` ->
+  ``lang`` (the flower-species job);
+* J2 tuned binary forest: the same statistics -> ``labels.quality`` (the
+  cytology forest job);
+* J3 binary logistic regression + areas (the cytology LR job);
+* J4 text naive Bayes over document lines, English or not (the ham/spam
+  job); it is the flagship ``entry`` query.
+
+Each job splits by a hash of the document id before anything is fitted,
+so near-copies of lines of one document cannot land on both sides, and
+the split is the same on any cluster.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators.metrics import classification_summary
+from ..operators.models import build_pipeline, logistic_regression, random_forest, score
+from ..operators.partitioning import by_key
+from ..operators.sampling import hash_split
+from ..operators.text_model import fit_text_naive_bayes, score_text_naive_bayes
+from ..operators.tuning import (IMPURITY_GRID, MAX_DEPTH_GRID, NUM_TREES_GRID,
+                                TUNER_SEED, holdout_search)
+from ..operators.vectors import assembler, label_indexer
+from ..session import load_table
+from . import sqlparts as S
+from .catalog import register
+from .common import SPLIT_SEED, line_terms
+from .doc_features import char_statistics, feature_names
+
+FULL_GRID = {"numTrees": NUM_TREES_GRID, "maxDepth": MAX_DEPTH_GRID,
+             "impurity": IMPURITY_GRID}
+# The registered queries search 4 candidates; 120 sequential forest fits
+# take many minutes even on tiny data.
+QUERY_GRID = {"numTrees": (8, 16), "maxDepth": (4, 10)}
+
+
+def doc_stat_table(spark, sf_dir, target: str = "lang") -> DataFrame:
+    """(doc_id, target, features...) for all documents (``lang``) or for
+    the labelled ones (``quality``)."""
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    stats = char_statistics(docs, "text", keep=("doc_id", "lang"))
+    if target == "lang":
+        return stats
+    labels = load_table(spark, sf_dir, "labels").select(
+        "doc_id", F.col(target).cast("string").alias(target))
+    return stats.drop("lang").join(labels, "doc_id")
+
+
+def tuned_forest(data: DataFrame, target: str, grid=None, split=(0.85, 0.15),
+                 tuner_ratio: float = 0.85, parallelism: int = 4):
+    """Split -> [indexer, assembler, forest] pipeline tuned by hold-out
+    search on the training part -> scored test part.
+
+    Returns ``(test_predictions, tvs_model)``."""
+    train, test = hash_split(data, ["doc_id"], list(split), SPLIT_SEED)
+    rf = random_forest("features", "label", feature_subset="sqrt")
+    pipe = build_pipeline(label_indexer(target, "label"),
+                          assembler(feature_names(), "features"), rf)
+    model = holdout_search(pipe, rf, grid or FULL_GRID, train, "label",
+                           tuner_ratio, TUNER_SEED, parallelism)
+    predictions = score(model, test, keep=["doc_id", target, "label"])
+    return predictions, model
+
+
+@register("job_tuned_forest_multiclass")
+def job_tuned_forest_multiclass(spark, sf_dir, grid=QUERY_GRID):
+    """J1: test predictions of the tuned 4-language forest."""
+    preds, _ = tuned_forest(doc_stat_table(spark, sf_dir, "lang"), "lang", grid,
+                            (0.85, 0.15), 0.85)
+    return preds
+
+
+@register("job_tuned_forest_binary")
+def job_tuned_forest_binary(spark, sf_dir, grid=QUERY_GRID):
+    """J2: test predictions of the tuned quality forest."""
+    preds, _ = tuned_forest(doc_stat_table(spark, sf_dir, "quality"), "quality", grid,
+                            (0.85, 0.15), 0.80)
+    return preds
+
+
+def logistic_job(spark, sf_dir, split=(0.75, 0.25), reg_param: float = 0.0):
+    """J3 core: [indexer, assembler, LR] fitted on the training part.
+    Returns ``(test_predictions_with_p, pipeline_model)``; ``p`` is the
+    probability of class 1 (the less frequent quality)."""
+    data = doc_stat_table(spark, sf_dir, "quality")
+    train, test = hash_split(data, ["doc_id"], list(split), SPLIT_SEED)
+    lr = logistic_regression("features", "label", reg_param=reg_param, elastic_net=0.75)
+    pipe = build_pipeline(label_indexer("quality", "label"),
+                          assembler(feature_names(), "features"), lr)
+    model = pipe.fit(train)
+    out = model.transform(test).select(
+        "doc_id", "label", "prediction", "rawPrediction", "probability")
+    from pyspark.ml.functions import vector_to_array
+    out = out.select("doc_id", "label", "prediction",
+                     vector_to_array("rawPrediction")[1].alias("raw_score"),
+                     vector_to_array("probability")[1].alias("p"))
+    return out, model
+
+
+@register("job_logistic_binary")
+def job_logistic_binary(spark, sf_dir):
+    """J3: held-out predictions with raw score and probability of class 1."""
+    preds, _ = logistic_job(spark, sf_dir)
+    return preds
+
+
+def text_naive_bayes(spark, sf_dir, algo: str = "murmur3", num_buckets: int = 10000,
+                     split=(0.8, 0.2), smoothing: float = 1.0):
+    """J4: document lines -> clean -> tokens -> stop words; split by
+    document; TF-IDF + naive Bayes fitted on the training lines; the test
+    lines scored.  Documents are hash-partitioned by id once, so counting
+    terms, normalising and scoring per line need no further exchange."""
+    terms = by_key(line_terms(spark, sf_dir), "doc_id")
+    train, test = hash_split(terms, ["doc_id"], list(split), SPLIT_SEED)
+    keys = ["doc_id", "line_no"]
+    model = fit_text_naive_bayes(train, keys, "terms", "label", num_buckets, algo, smoothing)
+    return score_text_naive_bayes(model, test, keys, "terms", "label")
+
+
+_J4_SQL = f"""WITH {S.LINE_TERMS},
+src AS (SELECT doc_id, line_no, label, terms,
+  {S.split_part(['doc_id'], [0.8, 0.2], SPLIT_SEED)} AS part FROM line_terms),
+{S.nb_chain('src', 'doc_id, line_no')}"""
+
+
+@register("job_text_naive_bayes", _J4_SQL + """
+SELECT doc_id, line_no, label, prediction, score, probability FROM nb_scored""")
+def job_text_naive_bayes(spark, sf_dir):
+    """J4 with md5 buckets, so that SQL can check every score."""
+    return text_naive_bayes(spark, sf_dir, algo="md5")
+
+
+@register("job_text_naive_bayes_eval", _J4_SQL + """,
+cm AS (SELECT label, prediction, count(*) AS n FROM nb_scored GROUP BY label, prediction),
+lab AS (SELECT label, sum(n) AS n_label,
+  sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp FROM cm GROUP BY label),
+pred AS (SELECT prediction, sum(n) AS n_pred FROM cm GROUP BY prediction),
+cls AS (
+  SELECT lab.label, n_label, tp,
+    CASE WHEN coalesce(n_pred, 0) = 0 THEN 0.0 ELSE tp / n_pred END AS precision,
+    tp / n_label AS recall
+  FROM lab LEFT JOIN pred ON lab.label = pred.prediction),
+cls2 AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
+  ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM cls)
+SELECT CAST(sum(n_label) AS BIGINT) AS n, sum(tp) / sum(n_label) AS accuracy,
+  sum(precision * n_label) / sum(n_label) AS weighted_precision,
+  sum(recall * n_label) / sum(n_label) AS weighted_recall,
+  sum(f1 * n_label) / sum(n_label) AS weighted_f1 FROM cls2""")
+def job_text_naive_bayes_eval(spark, sf_dir):
+    """J4 evaluated: accuracy, weighted precision / recall / F1 of the
+    held-out lines (the original job computed none)."""
+    return classification_summary(text_naive_bayes(spark, sf_dir, algo="md5"))

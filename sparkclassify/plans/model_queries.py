@@ -1 +1,83 @@
-"""Registered queries."""
+"""Queries for the estimators (M1-M8).  Training has no SQL equivalent,
+so these register no oracle statement; tests check invariants and
+quality floors instead."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators.models import (build_pipeline, feature_importances, lr_coefficients,
+                                random_forest, score, text_naive_bayes_pipeline)
+from ..operators.sampling import hash_split
+from ..operators.tuning import search_results
+from ..operators.vectors import assembler, label_indexer
+from .catalog import register
+from .common import SPLIT_SEED, clean_lines
+from .doc_features import feature_names
+from .jobs import QUERY_GRID, doc_stat_table, logistic_job, tuned_forest
+
+
+def _forest_model(spark, sf_dir):
+    data = doc_stat_table(spark, sf_dir, "lang")
+    train, test = hash_split(data, ["doc_id"], [0.85, 0.15], SPLIT_SEED)
+    rf = random_forest("features", "label", num_trees=16, max_depth=4, seed=SPLIT_SEED)
+    pipe = build_pipeline(label_indexer("lang", "label"),
+                          assembler(feature_names(), "features"), rf)
+    return pipe.fit(train), test
+
+
+@register("rf_predict")
+def rf_predict(spark, sf_dir):
+    """Forest of 16 trees, depth 4: held-out language predictions."""
+    model, test = _forest_model(spark, sf_dir)
+    return score(model, test, keep=["doc_id", "lang", "label"])
+
+
+@register("rf_feature_importance")
+def rf_feature_importance(spark, sf_dir):
+    model, _ = _forest_model(spark, sf_dir)
+    return feature_importances(model.stages[-1], feature_names(), spark)
+
+
+@register("lr_predict")
+def lr_predict(spark, sf_dir):
+    preds, _ = logistic_job(spark, sf_dir)
+    return preds.select("doc_id", "label", "prediction", "p")
+
+
+@register("lr_coefficients")
+def lr_coefficients_query(spark, sf_dir):
+    _, model = logistic_job(spark, sf_dir)
+    return lr_coefficients(model.stages[-1], feature_names(), spark)
+
+
+@register("lr_training_summary")
+def lr_training_summary(spark, sf_dir):
+    """The training-set predictions kept in the LR model's summary."""
+    _, model = logistic_job(spark, sf_dir)
+    return model.stages[-1].summary.predictions.select(
+        "doc_id", "label", "prediction")
+
+
+@register("nb_pipeline")
+def nb_pipeline(spark, sf_dir):
+    """Vector-form six-stage text pipeline on document lines (English or
+    not), fitted on the training documents' lines."""
+    lines = clean_lines(spark, sf_dir)
+    train, test = hash_split(lines, ["doc_id"], [0.8, 0.2], SPLIT_SEED)
+    model = text_naive_bayes_pipeline("clean", "label").fit(train)
+    return score(model, test, keep=["doc_id", "line_no", "label"])
+
+
+@register("tuned_rf_predict")
+def tuned_rf_predict(spark, sf_dir):
+    preds, _ = tuned_forest(doc_stat_table(spark, sf_dir, "lang"), "lang", QUERY_GRID)
+    return preds
+
+
+@register("search_results")
+def search_results_query(spark, sf_dir):
+    """One row per candidate of the hold-out search with its weighted F1."""
+    _, model = tuned_forest(doc_stat_table(spark, sf_dir, "lang"), "lang", QUERY_GRID)
+    return search_results(model, QUERY_GRID, spark).withColumn(
+        "metric", F.round("metric", 6))
