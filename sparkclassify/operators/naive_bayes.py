@@ -34,34 +34,47 @@ class NaiveBayesModel:
     smoothing: float
 
 
-def naive_bayes_fit(features: DataFrame, docs: DataFrame, label_col: str = "label",
-                    num_features: int = 10000, smoothing: float = 1.0) -> NaiveBayesModel:
-    """``features``: ``(..., label, bucket, weight)`` rows of the training
-    documents; ``docs``: one row per training document with its label (a
-    document without terms still counts in the prior)."""
-    lam = float(smoothing)
+def naive_bayes_stats(features: DataFrame, docs: DataFrame, label_col: str = "label"):
+    """The two aggregates a fit needs: training rows per class ``(label,
+    n_docs)`` (k rows) and feature sums ``(label, bucket, s)`` (at most
+    k * num_features rows).  Both aggregate partially per task first, so
+    a class or bucket holding most rows is no hot spot."""
     counts = docs.groupBy(label_col).agg(F.count(F.lit(1)).alias("n_docs"))
     sums = (features.where(F.col("bucket").isNotNull())
                     .groupBy(label_col, "bucket").agg(F.sum("weight").alias("s")))
+    return counts, sums
+
+
+def naive_bayes_from_stats(counts: DataFrame, sums: DataFrame, label_col: str = "label",
+                           num_features: int = 10000,
+                           smoothing: float = 1.0) -> NaiveBayesModel:
+    lam = float(smoothing)
     totals = sums.groupBy(label_col).agg(F.sum("s").alias("s_total"))
     # k rows: the window over them is a tiny single-partition step.
     everything = Window.partitionBy()
+    log_norm = F.log(F.coalesce(F.col("s_total"), F.lit(0.0)) + lam * num_features)
     classes = (counts.join(totals, label_col, "left")
                .select(label_col, "n_docs",
                        (F.log(F.col("n_docs") + lam)
                         - F.log(F.sum("n_docs").over(everything)
                                 + F.count(F.lit(1)).over(everything) * lam)).alias("log_prior"),
-                       F.log(F.coalesce(F.col("s_total"), F.lit(0.0)) + lam * num_features)
-                        .alias("log_norm")))
-    classes = classes.select(label_col, "n_docs", "log_prior",
-                             (F.log(F.lit(lam)) - F.col("log_norm")).alias("log_default"),
-                             "log_norm")
+                       (F.log(F.lit(lam)) - log_norm).alias("log_default"),
+                       log_norm.alias("log_norm")))
     theta = (sums.join(F.broadcast(classes.select(label_col, "log_norm")), label_col)
                  .select(label_col, "bucket",
                          (F.log(F.col("s") + lam) - F.col("log_norm")).alias("log_theta")))
     return NaiveBayesModel(classes.drop("log_norm"), theta, num_features, lam)
 
 
+def naive_bayes_fit(features: DataFrame, docs: DataFrame, label_col: str = "label",
+                    num_features: int = 10000, smoothing: float = 1.0) -> NaiveBayesModel:
+    """``features``: ``(..., label, bucket, weight)`` rows of the training
+    documents; ``docs``: one row per training document with its label (a
+    document without terms still counts in the prior)."""
+    counts, sums = naive_bayes_stats(features, docs, label_col)
+    return naive_bayes_from_stats(counts, sums, label_col, num_features, smoothing)
+
+
 def naive_bayes_score(model: NaiveBayesModel, features: DataFrame, keys,
                       label_col: str = "label", class_values=None) -> DataFrame:
     """Score documents given as long-form features (one row per document

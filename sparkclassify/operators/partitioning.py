@@ -19,3 +19,20 @@ def by_key(df: DataFrame, keys, num_partitions: int | None = None) -> DataFrame:
     if num_partitions:
         return df.repartition(num_partitions, *cols)
     return df.repartition(*cols)
+
+
+def spread(df: DataFrame, keys, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition by ``keys`` only when the input has fewer partitions
+    than the cluster has task slots.
+
+    A scan of a few large files (or one row group) yields a handful of
+    partitions, and row-wise text work after it would run in that many
+    tasks.  On a real table the scan already has thousands of splits and
+    this is a no-op (no shuffle).  Checking the partition count plans the
+    scan but runs no job.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    cols = [keys] if isinstance(keys, str) else list(keys)
+    return df.repartition(want, *cols)

@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_path
 from .features import IdfModel, hashed_tf, idf_fit, l2_normalize, tfidf
-from .naive_bayes import NaiveBayesModel, naive_bayes_fit, naive_bayes_score
+from .naive_bayes import (NaiveBayesModel, naive_bayes_from_stats, naive_bayes_score,
+                          naive_bayes_stats)
 
 
 @dataclass
@@ -33,24 +36,48 @@ def text_features(df: DataFrame, keys, tokens_col: str, label_col: str | None,
     return l2_normalize(tfidf(tf, idf), list(keys)), idf
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a (small) fitted table to the shared folder and read it back:
+    one job, and the result no longer depends on the training lineage."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def fit_text_naive_bayes(train: DataFrame, keys, tokens_col: str = "terms",
                          label_col: str = "label", num_buckets: int = 10000,
-                         algo: str = "murmur3", smoothing: float = 1.0,
-                         materialize: bool = True) -> TextNaiveBayesModel:
+                         algo: str = "murmur3", smoothing: float = 1.0) -> TextNaiveBayesModel:
     """Fit IDF and naive Bayes on ``train`` (one row per document).
 
-    With ``materialize`` the fitted tables (at most ``num_buckets`` rows
-    for IDF, ``k * num_buckets`` for theta, ``k`` for the classes) are
-    checkpointed to the shared folder: scoring then reads them instead of
-    re-running training, and their lineage is cut.
+    The text work runs once: the training TF rows are persisted and every
+    statistic is read from them -- rows per class (k numbers, read to the
+    driver in the same job that fills the cache), document frequencies,
+    then feature sums.  The two fitted tables, at most ``num_buckets`` rows
+    for IDF and ``k * num_buckets`` for the sums, are written to the
+    shared folder, so scoring reads them instead of re-running training.
     """
-    feats, idf = text_features(train, keys, tokens_col, label_col, None, num_buckets, algo)
-    nb = naive_bayes_fit(feats, train.select(label_col), label_col, num_buckets, smoothing)
-    if materialize:
-        n_docs = train.count()
-        idf = IdfModel(idf.weights.checkpoint(), F.lit(n_docs))
-        nb = NaiveBayesModel(nb.classes.checkpoint(), nb.theta.checkpoint(),
-                             nb.num_features, nb.smoothing)
+    keys = list(keys)
+    carry = keys + [label_col]
+    spark = train.sparkSession
+    tf = hashed_tf(train, carry, tokens_col, num_buckets, algo, keep_empty=True)
+    tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # keep_empty leaves every document at least one row; with the input
+        # clustered by document this distinct needs no exchange.
+        docs = tf.select(*carry).distinct()
+        per_class = docs.groupBy(label_col).agg(F.count(F.lit(1)).alias("n_docs")).collect()
+        n_docs = sum(r["n_docs"] for r in per_class)
+        counts = spark.createDataFrame(
+            [(float(r[label_col]), int(r["n_docs"])) for r in per_class],
+            f"{label_col} double, n_docs bigint")
+        fitted = idf_fit(tf, docs)
+        idf = IdfModel(materialize(fitted.weights, "idf"), F.lit(n_docs))
+        feats = l2_normalize(tfidf(tf, idf), keys)
+        _, sums = naive_bayes_stats(feats, docs.select(label_col), label_col)
+        nb = naive_bayes_from_stats(counts, materialize(sums, "nb-sums"), label_col,
+                                    num_buckets, smoothing)
+    finally:
+        tf.unpersist()
     return TextNaiveBayesModel(idf, nb, num_buckets, algo)
 
 

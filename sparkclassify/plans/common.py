@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import by_key, spread
 from ..operators.text import clean_column, remove_stop_words, tokenize
 from ..session import load_table
 from ..sources.lines import explode_lines
@@ -15,21 +16,29 @@ def english_label(lang_col: str = "lang"):
     return F.when(F.col(lang_col) == "en", F.lit(0.0)).otherwise(F.lit(1.0))
 
 
-def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, cols, by_doc: bool = False) -> DataFrame:
+    """Columns of ``documents``; with ``by_doc`` hash-partitioned by
+    ``doc_id`` straight after the scan, so that the per-document text work
+    after it runs in parallel and every later aggregate or window keyed by
+    the document finds its input clustered (see ``partitioning.by_key``)."""
+    docs = load_table(spark, sf_dir, "documents").select(*cols)
+    return by_key(docs, "doc_id") if by_doc else spread(docs, "doc_id")
+
+
+def document_lines(spark: SparkSession, sf_dir: str, by_doc: bool = False) -> DataFrame:
     """``documents`` split into lines: (doc_id, line_no, label, line)."""
-    docs = load_table(spark, sf_dir, "documents").select(
-        "doc_id", english_label().alias("label"), "text")
+    docs = documents(spark, sf_dir, ["doc_id", english_label().alias("label"), "text"], by_doc)
     return explode_lines(docs, "text", "line", "line_no", keep=("doc_id", "label"))
 
 
-def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_lines(spark: SparkSession, sf_dir: str, by_doc: bool = False) -> DataFrame:
     """(doc_id, line_no, label, clean)."""
-    return clean_column(document_lines(spark, sf_dir), "line", "clean").drop("line")
+    return clean_column(document_lines(spark, sf_dir, by_doc), "line", "clean").drop("line")
 
 
-def line_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_terms(spark: SparkSession, sf_dir: str, by_doc: bool = False) -> DataFrame:
     """(doc_id, line_no, label, terms): tokenised, stop words removed."""
-    toks = tokenize(clean_lines(spark, sf_dir), "clean", "words")
+    toks = tokenize(clean_lines(spark, sf_dir, by_doc), "clean", "words")
     return remove_stop_words(toks, "words", "terms").select(
         "doc_id", "line_no", "label", "terms")
 
@@ -38,9 +47,9 @@ def line_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 SPLIT_SEED = 98765
 
 
-def doc_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+def doc_terms(spark: SparkSession, sf_dir: str, by_doc: bool = False) -> DataFrame:
     """Whole documents: (doc_id, lang, terms)."""
-    docs = load_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = documents(spark, sf_dir, ["doc_id", "lang", "text"], by_doc)
     toks = tokenize(clean_column(docs, "text", "clean"), "clean", "words")
     return remove_stop_words(toks, "words", "terms").select("doc_id", "lang", "terms")
 

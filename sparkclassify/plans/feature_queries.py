@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..operators.features import hashed_tf, idf_fit, l2_normalize, tfidf
 from ..operators.naive_bayes import naive_bayes_fit
-from ..operators.partitioning import by_key
 from ..operators.sampling import with_split_part
 from ..operators.text_model import fit_text_naive_bayes, score_text_naive_bayes
 from ..operators.features import IdfModel  # noqa: F401
@@ -78,8 +77,8 @@ src AS (
 {S.nb_chain('src', 'doc_id')}"""
 
 
-def _doc_parts(spark, sf_dir):
-    docs = with_lang_label(doc_terms(spark, sf_dir), spark, sf_dir)
+def _doc_parts(spark, sf_dir, by_doc=False):
+    docs = with_lang_label(doc_terms(spark, sf_dir, by_doc), spark, sf_dir)
     docs = with_split_part(docs, ["doc_id"], [0.8, 0.2], SPLIT_SEED)
     return docs.where(F.col("part") == 0), docs.where(F.col("part") == 1)
 
@@ -101,6 +100,6 @@ def nb_model(spark, sf_dir):
 SELECT doc_id, label, prediction, score, probability FROM nb_scored""")
 def nb_score(spark, sf_dir):
     """Held-out documents scored by the model fitted on the training part."""
-    train, test = _doc_parts(spark, sf_dir)
-    model = fit_text_naive_bayes(by_key(train, "doc_id"), ["doc_id"], algo="md5")
-    return score_text_naive_bayes(model, by_key(test, "doc_id"), ["doc_id"])
+    train, test = _doc_parts(spark, sf_dir, by_doc=True)
+    model = fit_text_naive_bayes(train, ["doc_id"], algo="md5")
+    return score_text_naive_bayes(model, test, ["doc_id"])

@@ -15,12 +15,12 @@ the split is the same on any cluster.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.metrics import classification_summary
 from ..operators.models import build_pipeline, logistic_regression, random_forest, score
-from ..operators.partitioning import by_key
 from ..operators.sampling import hash_split
 from ..operators.text_model import fit_text_naive_bayes, score_text_naive_bayes
 from ..operators.tuning import (IMPURITY_GRID, MAX_DEPTH_GRID, NUM_TREES_GRID,
@@ -29,7 +29,7 @@ from ..operators.vectors import assembler, label_indexer
 from ..session import load_table
 from . import sqlparts as S
 from .catalog import register
-from .common import SPLIT_SEED, line_terms
+from .common import SPLIT_SEED, documents, line_terms
 from .doc_features import char_statistics, feature_names
 
 FULL_GRID = {"numTrees": NUM_TREES_GRID, "maxDepth": MAX_DEPTH_GRID,
@@ -42,7 +42,7 @@ QUERY_GRID = {"numTrees": (8, 16), "maxDepth": (4, 10)}
 def doc_stat_table(spark, sf_dir, target: str = "lang") -> DataFrame:
     """(doc_id, target, features...) for all documents (``lang``) or for
     the labelled ones (``quality``)."""
-    docs = load_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = documents(spark, sf_dir, ["doc_id", "lang", "text"])
     stats = char_statistics(docs, "text", keep=("doc_id", "lang"))
     if target == "lang":
         return stats
@@ -51,12 +51,20 @@ def doc_stat_table(spark, sf_dir, target: str = "lang") -> DataFrame:
     return stats.drop("lang").join(labels, "doc_id")
 
 
+def persisted(df: DataFrame) -> DataFrame:
+    """Keep a training table for the many passes a fit makes over it.
+    Feature rows are small (tens of doubles per document) next to the
+    text they are computed from, so the text is scanned once."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def tuned_forest(data: DataFrame, target: str, grid=None, split=(0.85, 0.15),
                  tuner_ratio: float = 0.85, parallelism: int = 4):
     """Split -> [indexer, assembler, forest] pipeline tuned by hold-out
     search on the training part -> scored test part.
 
     Returns ``(test_predictions, tvs_model)``."""
+    data = persisted(data)
     train, test = hash_split(data, ["doc_id"], list(split), SPLIT_SEED)
     rf = random_forest("features", "label", feature_subset="sqrt")
     pipe = build_pipeline(label_indexer(target, "label"),
@@ -87,7 +95,7 @@ def logistic_job(spark, sf_dir, split=(0.75, 0.25), reg_param: float = 0.0):
     """J3 core: [indexer, assembler, LR] fitted on the training part.
     Returns ``(test_predictions_with_p, pipeline_model)``; ``p`` is the
     probability of class 1 (the less frequent quality)."""
-    data = doc_stat_table(spark, sf_dir, "quality")
+    data = persisted(doc_stat_table(spark, sf_dir, "quality"))
     train, test = hash_split(data, ["doc_id"], list(split), SPLIT_SEED)
     lr = logistic_regression("features", "label", reg_param=reg_param, elastic_net=0.75)
     pipe = build_pipeline(label_indexer("quality", "label"),
@@ -115,7 +123,7 @@ def text_naive_bayes(spark, sf_dir, algo: str = "murmur3", num_buckets: int = 10
     document; TF-IDF + naive Bayes fitted on the training lines; the test
     lines scored.  Documents are hash-partitioned by id once, so counting
     terms, normalising and scoring per line need no further exchange."""
-    terms = by_key(line_terms(spark, sf_dir), "doc_id")
+    terms = line_terms(spark, sf_dir, by_doc=True)
     train, test = hash_split(terms, ["doc_id"], list(split), SPLIT_SEED)
     keys = ["doc_id", "line_no"]
     model = fit_text_naive_bayes(train, keys, "terms", "label", num_buckets, algo, smoothing)

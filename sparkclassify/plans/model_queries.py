@@ -14,11 +14,11 @@ from ..operators.vectors import assembler, label_indexer
 from .catalog import register
 from .common import SPLIT_SEED, clean_lines
 from .doc_features import feature_names
-from .jobs import QUERY_GRID, doc_stat_table, logistic_job, tuned_forest
+from .jobs import QUERY_GRID, doc_stat_table, logistic_job, persisted, tuned_forest
 
 
 def _forest_model(spark, sf_dir):
-    data = doc_stat_table(spark, sf_dir, "lang")
+    data = persisted(doc_stat_table(spark, sf_dir, "lang"))
     train, test = hash_split(data, ["doc_id"], [0.85, 0.15], SPLIT_SEED)
     rf = random_forest("features", "label", num_trees=16, max_depth=4, seed=SPLIT_SEED)
     pipe = build_pipeline(label_indexer("lang", "label"),
@@ -65,7 +65,10 @@ def nb_pipeline(spark, sf_dir):
     not), fitted on the training documents' lines."""
     lines = clean_lines(spark, sf_dir)
     train, test = hash_split(lines, ["doc_id"], [0.8, 0.2], SPLIT_SEED)
+    # IDF and naive Bayes each pass over the training lines: keep them.
+    train = persisted(train)
     model = text_naive_bayes_pipeline("clean", "label").fit(train)
+    train.unpersist()
     return score(model, test, keep=["doc_id", "line_no", "label"])
 
 
