@@ -95,9 +95,12 @@ def running_totals_desc(counts: DataFrame, num_blocks: int | None = None,
         probs = [i / blocks for i in range(1, blocks)]
         cuts = sorted({c for c in counts.approxQuantile("score", probs, relative_error)
                        if c is not None})
-    splits = [float("-inf")] + cuts + [float("inf")]
-    blocked = Bucketizer(splits=splits, inputCol="score", outputCol="_block",
-                         handleInvalid="keep").transform(counts)
+    if cuts:
+        splits = [float("-inf")] + cuts + [float("inf")]
+        blocked = Bucketizer(splits=splits, inputCol="score", outputCol="_block",
+                             handleInvalid="keep").transform(counts)
+    else:
+        blocked = counts.withColumn("_block", F.lit(0.0))
     block_tot = blocked.groupBy("_block").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     # One row per block: this window is tiny.
     before = Window.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
@@ -140,15 +143,19 @@ def binary_curve(scored: DataFrame, score_col: str = "score", label_col: str = "
         rate(ptp, n_pos).alias("prev_tpr"), rate(pfp, n_neg).alias("prev_fpr"),
         cur_prec.alias("precision"),
         # The PR curve starts at (0, precision at the first threshold).
-        F.when(ptp + pfp == 0, cur_prec).otherwise(prec(ptp, pfp)).alias("prev_precision"))
+        F.when(ptp + pfp == 0, cur_prec).otherwise(prec(ptp, pfp)).alias("prev_precision"),
+        # The lowest threshold has counted every row; the ROC curve closes
+        # from its point to (1, 1) (width 0 unless there are no negatives).
+        (F.col("tp") + F.col("fp") == n_pos + n_neg).alias("is_last"))
 
 
 def area_under_roc(scored: DataFrame, score_col: str = "score", label_col: str = "label",
                    num_blocks: int | None = None) -> DataFrame:
     """Trapezoids between consecutive ROC points, from (0, 0) to (1, 1)."""
     c = binary_curve(scored, score_col, label_col, num_blocks)
+    closing = F.when(F.col("is_last"), (1 - F.col("fpr")) * (F.col("tpr") + 1) / 2).otherwise(0.0)
     return c.agg(F.sum((F.col("fpr") - F.col("prev_fpr"))
-                       * (F.col("tpr") + F.col("prev_tpr")) / 2).alias("auroc"))
+                       * (F.col("tpr") + F.col("prev_tpr")) / 2 + closing).alias("auroc"))
 
 
 def area_under_pr(scored: DataFrame, score_col: str = "score", label_col: str = "label",

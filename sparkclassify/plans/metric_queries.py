@@ -137,18 +137,21 @@ pts AS (
     CASE WHEN tp + fp = 0 THEN 1.0 ELSE tp / (tp + fp) END AS precision,
     CASE WHEN (tp - pos) + (fp - neg) = 0
       THEN (CASE WHEN tp + fp = 0 THEN 1.0 ELSE tp / (tp + fp) END)
-      ELSE (tp - pos) / ((tp - pos) + (fp - neg)) END AS prev_precision
+      ELSE (tp - pos) / ((tp - pos) + (fp - neg)) END AS prev_precision,
+    tp + fp = n_pos + n_neg AS is_last
   FROM cum, tot)"""
 
 
 @register("metric_auroc", _curve_sql("score") + """
-SELECT sum((fpr - prev_fpr) * (tpr + prev_tpr) / 2) AS auroc FROM pts""")
+SELECT sum((fpr - prev_fpr) * (tpr + prev_tpr) / 2
+  + CASE WHEN is_last THEN (1 - fpr) * (tpr + 1) / 2 ELSE 0.0 END) AS auroc FROM pts""")
 def metric_auroc(spark, sf_dir):
     return area_under_roc(quality_scores(spark, sf_dir), "score", "label")
 
 
 @register("metric_auroc_hard", _curve_sql("prediction") + """
-SELECT sum((fpr - prev_fpr) * (tpr + prev_tpr) / 2) AS auroc FROM pts""")
+SELECT sum((fpr - prev_fpr) * (tpr + prev_tpr) / 2
+  + CASE WHEN is_last THEN (1 - fpr) * (tpr + 1) / 2 ELSE 0.0 END) AS auroc FROM pts""")
 def metric_auroc_hard(spark, sf_dir):
     """The same area from 0/1 predictions: a three-point curve."""
     return area_under_roc(quality_scores(spark, sf_dir), "prediction", "label")
