@@ -76,10 +76,16 @@ def naive_bayes_fit(features: DataFrame, docs: DataFrame, label_col: str = "labe
 
 
 def naive_bayes_score(model: NaiveBayesModel, features: DataFrame, keys,
-                      label_col: str = "label", class_values=None) -> DataFrame:
+                      label_col: str = "label", class_values=None,
+                      l2_normalize: bool = False) -> DataFrame:
     """Score documents given as long-form features (one row per document
     and bucket, documents without terms as a null-bucket row).
 
+    With ``l2_normalize`` the features are taken raw and scaled here: as
+    ``w = x / |x|``, every term of a score is a plain per-document sum
+    (``Σx``, ``Σx·δ`` and ``Σx²`` for the norm), so the scaling costs no
+    window (no sort) -- just one more sum in the same aggregate.
+
     Output: ``keys..., prediction, score, probability`` where ``score`` is
     the winning raw score and ``probability`` its softmax share.  Ties go
     to the lower class, like ``argmax`` on the raw-score vector.
@@ -105,9 +111,18 @@ def naive_bayes_score(model: NaiveBayesModel, features: DataFrame, keys,
     joined = features.join(F.broadcast(deltas), "bucket", "left")
     sums = joined.groupBy(*keys).agg(
         F.sum("weight").alias("__w"),
+        F.sum(F.col("weight") * F.col("weight")).alias("__q"),
         *[F.sum(F.col("weight") * F.coalesce(F.col(f"__d{i}"), F.lit(0.0))).alias(f"__s{i}")
           for i in range(len(values))])
-    scores = [F.lit(r["log_prior"]) + F.lit(r["log_default"]) * F.col("__w") + F.col(f"__s{i}")
+    if l2_normalize:
+        norm = F.sqrt(F.col("__q"))
+
+        def scaled(c):
+            return F.when(norm > 0, F.col(c) / norm).otherwise(F.lit(0.0))
+    else:
+        def scaled(c):
+            return F.col(c)
+    scores = [F.lit(r["log_prior"]) + F.lit(r["log_default"]) * scaled("__w") + scaled(f"__s{i}")
               for i, r in enumerate(rows)]
     scored = sums.select(*keys, *[s.alias(f"__r{i}") for i, s in enumerate(scores)])
     raw = [F.col(f"__r{i}") for i in range(len(values))]

@@ -36,3 +36,22 @@ def spread(df: DataFrame, keys, min_partitions: int | None = None) -> DataFrame:
         return df
     cols = [keys] if isinstance(keys, str) else list(keys)
     return df.repartition(want, *cols)
+
+
+def for_iterations(df: DataFrame, rows_per_partition: int = 1_000_000) -> DataFrame:
+    """Persist a training table that an estimator will scan many times
+    (one Spark job per L-BFGS step or tree level) and give it as many
+    partitions as its row count needs.
+
+    The count is the action that fills the cache.  Too many tiny
+    partitions cost a task each and an extra tree-aggregate level in every
+    iteration; merging cached partitions with ``coalesce`` moves no data.
+    A table of 10^9 rows keeps 1000 partitions, one of 10^4 rows gets one.
+    """
+    from pyspark import StorageLevel
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = cached.count()
+    want = max(1, -(-rows // rows_per_partition))
+    if cached.rdd.getNumPartitions() > want:
+        return cached.coalesce(want)
+    return cached

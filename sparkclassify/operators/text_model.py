@@ -84,8 +84,12 @@ def fit_text_naive_bayes(train: DataFrame, keys, tokens_col: str = "terms",
 def score_text_naive_bayes(model: TextNaiveBayesModel, df: DataFrame, keys,
                            tokens_col: str = "terms",
                            label_col: str | None = "label") -> DataFrame:
-    """``keys..., [label,] prediction, score, probability`` per row."""
-    feats, _ = text_features(df, keys, tokens_col, label_col, model.idf,
-                             model.num_buckets, model.algo)
+    """``keys..., [label,] prediction, score, probability`` per row.
+
+    TF -> TF-IDF with the fitted IDF (broadcast), then one aggregate per
+    document that also applies the L2 scaling (see ``naive_bayes_score``):
+    with input clustered by document, no exchange and no sort."""
     carry = list(keys) + ([label_col] if label_col else [])
-    return naive_bayes_score(model.nb, feats, carry, label_col or "label")
+    tf = hashed_tf(df, carry, tokens_col, model.num_buckets, model.algo, keep_empty=True)
+    return naive_bayes_score(model.nb, tfidf(tf, model.idf), carry, label_col or "label",
+                             l2_normalize=True)

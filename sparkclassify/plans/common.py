@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import java_trim, strip_punctuation
 from ..operators.partitioning import by_key, spread
 from ..operators.text import clean_column, remove_stop_words, tokenize
 from ..session import load_table
@@ -32,8 +33,14 @@ def document_lines(spark: SparkSession, sf_dir: str, by_doc: bool = False) -> Da
 
 
 def clean_lines(spark: SparkSession, sf_dir: str, by_doc: bool = False) -> DataFrame:
-    """(doc_id, line_no, label, clean)."""
-    return clean_column(document_lines(spark, sf_dir, by_doc), "line", "clean").drop("line")
+    """(doc_id, line_no, label, clean): each line stripped, trimmed and
+    lower-cased.  Stripping and lower-casing map characters one by one and
+    keep the newline, so they run once per document before the split;
+    only the trim is per line."""
+    docs = documents(spark, sf_dir, ["doc_id", english_label().alias("label"),
+                                     F.lower(strip_punctuation("text")).alias("text")], by_doc)
+    lines = explode_lines(docs, "text", "line", "line_no", keep=("doc_id", "label"))
+    return lines.select("doc_id", "line_no", "label", java_trim("line").alias("clean"))
 
 
 def line_terms(spark: SparkSession, sf_dir: str, by_doc: bool = False) -> DataFrame:

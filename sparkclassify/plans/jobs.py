@@ -15,12 +15,12 @@ the split is the same on any cluster.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.metrics import classification_summary
 from ..operators.models import build_pipeline, logistic_regression, random_forest, score
+from ..operators.partitioning import for_iterations
 from ..operators.sampling import hash_split
 from ..operators.text_model import fit_text_naive_bayes, score_text_naive_bayes
 from ..operators.tuning import (IMPURITY_GRID, MAX_DEPTH_GRID, NUM_TREES_GRID,
@@ -52,10 +52,10 @@ def doc_stat_table(spark, sf_dir, target: str = "lang") -> DataFrame:
 
 
 def persisted(df: DataFrame) -> DataFrame:
-    """Keep a training table for the many passes a fit makes over it.
+    """Keep a feature table for the many passes a fit makes over it.
     Feature rows are small (tens of doubles per document) next to the
     text they are computed from, so the text is scanned once."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return for_iterations(df)
 
 
 def tuned_forest(data: DataFrame, target: str, grid=None, split=(0.85, 0.15),
