@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 CHAR_PROBES = ("ñ", "ß", "ç", "é", "è", "ü", "ö", "ä", "í", "ó",
                "th", "qu", "sch", "ei", "ou", "the", "ing", "ent")
 
-_LETTERS = "".join(chr(c) for c in range(ord("A"), ord("Z") + 1)) + \
+ASCII_LETTERS = "".join(chr(c) for c in range(ord("A"), ord("Z") + 1)) + \
     "".join(chr(c) for c in range(ord("a"), ord("z") + 1))
 CHAR_CLASSES = {
-    "ascii_letters": _LETTERS,
+    "ascii_letters": ASCII_LETTERS,
     "digits": "0123456789",
     "spaces": " ",
     "newlines": "\n",

@@ -11,7 +11,7 @@ from ..operators.text_model import fit_text_naive_bayes, score_text_naive_bayes
 from ..operators.features import IdfModel  # noqa: F401
 from . import sqlparts as S
 from .catalog import register
-from .common import SPLIT_SEED, doc_terms, line_terms, with_lang_label
+from .common import SPLIT_SEED, doc_terms, document_lines, line_terms, with_lang_label
 
 LINE_KEYS = ["doc_id", "line_no"]
 
@@ -43,7 +43,9 @@ def hashed_tf_murmur3(spark, sf_dir):
 def _line_tf_idf(spark, sf_dir):
     terms = line_terms(spark, sf_dir)
     tf = hashed_tf(terms, LINE_KEYS, "terms", 10000, "md5")
-    return tf, idf_fit(tf, terms)
+    # The IDF counts lines, including lines without terms; the raw line
+    # split has the same rows and needs no cleaning to be counted.
+    return tf, idf_fit(tf, document_lines(spark, sf_dir).select("doc_id"))
 
 
 @register("idf_weights", _TF_SQL + "\nSELECT bucket, doc_freq, idf FROM idf")

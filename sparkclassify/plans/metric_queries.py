@@ -20,7 +20,8 @@ from ..operators.metrics import (accuracy, area_under_pr, area_under_roc,
 from ..session import load_table
 from . import sqlparts as S
 from .catalog import register
-from .common import with_lang_label
+from .common import documents
+from .doc_features import ASCII_LETTERS
 
 
 def _guess_lang():
@@ -31,7 +32,7 @@ def _guess_lang():
 
 def lang_pairs(spark, sf_dir):
     """(prediction, label) per document, both as lang indices."""
-    docs = load_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = documents(spark, sf_dir, ["doc_id", "lang", "text"])
     guessed = docs.select("doc_id", "lang", _guess_lang().alias("guess"))
     from ..operators.vectors import label_indexer
     model = label_indexer("lang", "label").fit(docs.select("lang"))
@@ -42,9 +43,10 @@ def lang_pairs(spark, sf_dir):
 
 def quality_scores(spark, sf_dir):
     """(doc_id, score, label, prediction) for labelled documents."""
-    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir, ["doc_id", "text"])
     labels = load_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    letters = F.length(F.regexp_replace("text", "[^A-Za-z]", ""))
+    # ASCII letters counted by deleting them (per-character map).
+    letters = F.length("text") - F.length(F.translate("text", ASCII_LETTERS, ""))
     score = F.lit(1.0) - letters / F.length("text")
     return (docs.join(labels, "doc_id")
                 .select("doc_id", score.alias("score"),

@@ -4,6 +4,7 @@ quality floors instead."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators.models import (build_pipeline, feature_importances, lr_coefficients,
@@ -65,8 +66,9 @@ def nb_pipeline(spark, sf_dir):
     not), fitted on the training documents' lines."""
     lines = clean_lines(spark, sf_dir)
     train, test = hash_split(lines, ["doc_id"], [0.8, 0.2], SPLIT_SEED)
-    # IDF and naive Bayes each pass over the training lines: keep them.
-    train = persisted(train)
+    # IDF and naive Bayes each pass over the training lines: keep them
+    # (all partitions: tokenising and hashing run again in each pass).
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     model = text_naive_bayes_pipeline("clean", "label").fit(train)
     train.unpersist()
     return score(model, test, keep=["doc_id", "line_no", "label"])
