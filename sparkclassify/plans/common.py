@@ -26,26 +26,37 @@ def documents(spark: SparkSession, sf_dir: str, cols, by_doc: bool = False) -> D
     return by_key(docs, "doc_id") if by_doc else spread(docs, "doc_id")
 
 
-def document_lines(spark: SparkSession, sf_dir: str, by_doc: bool = False) -> DataFrame:
-    """``documents`` split into lines: (doc_id, line_no, label, line)."""
-    docs = documents(spark, sf_dir, ["doc_id", english_label().alias("label"), "text"], by_doc)
-    return explode_lines(docs, "text", "line", "line_no", keep=("doc_id", "label"))
+LINE_KEY = ("doc_id", "line_no")
 
 
-def clean_lines(spark: SparkSession, sf_dir: str, by_doc: bool = False) -> DataFrame:
+def document_lines(spark: SparkSession, sf_dir: str, by_line: bool = False) -> DataFrame:
+    """``documents`` split into lines: (doc_id, line_no, label, line).
+
+    With ``by_line`` the lines are hash-partitioned by (doc_id, line_no)
+    right after the task-local split: every later aggregate or window per
+    line finds its input clustered, and a document holding a large share
+    of all lines is spread over all tasks instead of loading one."""
+    docs = documents(spark, sf_dir, ["doc_id", english_label().alias("label"), "text"])
+    lines = explode_lines(docs, "text", "line", "line_no", keep=("doc_id", "label"))
+    return by_key(lines, LINE_KEY) if by_line else lines
+
+
+def clean_lines(spark: SparkSession, sf_dir: str, by_line: bool = False) -> DataFrame:
     """(doc_id, line_no, label, clean): each line stripped, trimmed and
     lower-cased.  Stripping and lower-casing map characters one by one and
-    keep the newline, so they run once per document before the split;
-    only the trim is per line."""
+    keep the newline, so they run once per document before the split (and
+    shrink what an exchange by line moves); only the trim is per line."""
     docs = documents(spark, sf_dir, ["doc_id", english_label().alias("label"),
-                                     F.lower(strip_punctuation("text")).alias("text")], by_doc)
+                                     F.lower(strip_punctuation("text")).alias("text")])
     lines = explode_lines(docs, "text", "line", "line_no", keep=("doc_id", "label"))
+    if by_line:
+        lines = by_key(lines, LINE_KEY)
     return lines.select("doc_id", "line_no", "label", java_trim("line").alias("clean"))
 
 
-def line_terms(spark: SparkSession, sf_dir: str, by_doc: bool = False) -> DataFrame:
+def line_terms(spark: SparkSession, sf_dir: str, by_line: bool = False) -> DataFrame:
     """(doc_id, line_no, label, terms): tokenised, stop words removed."""
-    toks = tokenize(clean_lines(spark, sf_dir, by_doc), "clean", "words")
+    toks = tokenize(clean_lines(spark, sf_dir, by_line), "clean", "words")
     return remove_stop_words(toks, "words", "terms").select(
         "doc_id", "line_no", "label", "terms")
 

@@ -121,9 +121,10 @@ def text_naive_bayes(spark, sf_dir, algo: str = "murmur3", num_buckets: int = 10
                      split=(0.8, 0.2), smoothing: float = 1.0):
     """J4: document lines -> clean -> tokens -> stop words; split by
     document; TF-IDF + naive Bayes fitted on the training lines; the test
-    lines scored.  Documents are hash-partitioned by id once, so counting
-    terms, normalising and scoring per line need no further exchange."""
-    terms = line_terms(spark, sf_dir, by_doc=True)
+    lines scored.  Lines are hash-partitioned by (doc_id, line_no) once,
+    so counting terms, normalising and scoring per line need no further
+    exchange of line data."""
+    terms = line_terms(spark, sf_dir, by_line=True)
     train, test = hash_split(terms, ["doc_id"], list(split), SPLIT_SEED)
     keys = ["doc_id", "line_no"]
     model = fit_text_naive_bayes(train, keys, "terms", "label", num_buckets, algo, smoothing)
