@@ -30,18 +30,20 @@ w AS (SELECT doc_id, line_no, bucket, tf * idf AS weight FROM tf JOIN idf USING
 @register("hashed_tf", _TF_SQL + "\nSELECT doc_id, line_no, bucket, tf FROM tf")
 def hashed_tf_query(spark, sf_dir):
     """Term counts per (line, md5 bucket of 10000)."""
-    return hashed_tf(line_terms(spark, sf_dir), LINE_KEYS, "terms", 10000, "md5")
+    return hashed_tf(line_terms(spark, sf_dir, by_line=True), LINE_KEYS, "terms", 10000, "md5")
 
 
 @register("hashed_tf_murmur3")
 def hashed_tf_murmur3(spark, sf_dir):
     """Same with the Murmur3 buckets of the original runs (no SQL engine
     besides Spark has this hash; golden buckets are checked in tests)."""
-    return hashed_tf(line_terms(spark, sf_dir), LINE_KEYS, "terms", 10000, "murmur3")
+    return hashed_tf(line_terms(spark, sf_dir, by_line=True), LINE_KEYS, "terms", 10000,
+                     "murmur3")
 
 
 def _line_tf_idf(spark, sf_dir):
-    terms = line_terms(spark, sf_dir)
+    # Clustered by line: the TF aggregate and the L2 window need no exchange.
+    terms = line_terms(spark, sf_dir, by_line=True)
     tf = hashed_tf(terms, LINE_KEYS, "terms", 10000, "md5")
     # The IDF counts lines, including lines without terms; the raw line
     # split has the same rows and needs no cleaning to be counted.

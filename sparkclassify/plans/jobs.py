@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.metrics import classification_summary
+from ..operators.metrics import area_under_pr, area_under_roc, classification_summary
 from ..operators.models import build_pipeline, logistic_regression, random_forest, score
 from ..operators.partitioning import for_iterations
 from ..operators.sampling import hash_split
@@ -91,6 +91,18 @@ def job_tuned_forest_binary(spark, sf_dir, grid=QUERY_GRID):
     return preds
 
 
+@register("job_tuned_forest_multiclass_eval")
+def job_tuned_forest_multiclass_eval(spark, sf_dir):
+    """J1 evaluated on its test part: n, accuracy, weighted precision /
+    recall / F1 (all from one confusion table)."""
+    return classification_summary(job_tuned_forest_multiclass(spark, sf_dir))
+
+
+@register("job_tuned_forest_binary_eval")
+def job_tuned_forest_binary_eval(spark, sf_dir):
+    return classification_summary(job_tuned_forest_binary(spark, sf_dir))
+
+
 def logistic_job(spark, sf_dir, split=(0.75, 0.25), reg_param: float = 0.0):
     """J3 core: [indexer, assembler, LR] fitted on the training part.
     Returns ``(test_predictions_with_p, pipeline_model)``; ``p`` is the
@@ -117,6 +129,18 @@ def job_logistic_binary(spark, sf_dir):
     return preds
 
 
+@register("job_logistic_binary_eval")
+def job_logistic_binary_eval(spark, sf_dir):
+    """J3 evaluated like the original: area under ROC from the raw scores,
+    then areas under ROC and PR from the hard predictions.  One row; the
+    three aggregates are joined as scalar subqueries."""
+    preds, _ = logistic_job(spark, sf_dir)
+    hard_roc = area_under_roc(preds, "prediction", "label").select("auroc").scalar()
+    hard_pr = area_under_pr(preds, "prediction", "label").select("aupr").scalar()
+    return area_under_roc(preds, "raw_score", "label").select(
+        F.col("auroc"), hard_roc.alias("auroc_hard"), hard_pr.alias("aupr_hard"))
+
+
 def text_naive_bayes(spark, sf_dir, algo: str = "murmur3", num_buckets: int = 10000,
                      split=(0.8, 0.2), smoothing: float = 1.0):
     """J4: document lines -> clean -> tokens -> stop words; split by
