@@ -29,8 +29,11 @@ def hashed_tf(df: DataFrame, keys, tokens_col: str, num_buckets: int = 10000,
     ``keys`` (see ``partitioning.by_key``) there is no shuffle at all.
     """
     keys = list(keys)
-    explode = F.explode_outer if keep_empty else F.explode
-    exploded = df.select(*keys, explode(tokens_col).alias("__term"))
+    exploded = df.select(*keys, F.explode_outer(tokens_col).alias("__term"))
+    if not keep_empty:
+        # Same rows as ``explode``, without its inferred size filter (see
+        # ``operators.text.explode_elements``).
+        exploded = exploded.where(F.col("__term").isNotNull())
     bucket = (F.when(F.col("__term").isNull(), F.lit(None).cast("int"))
                .otherwise(term_bucket("__term", num_buckets, algo)))
     return (exploded.groupBy(*keys, bucket.alias("bucket"))

@@ -32,12 +32,18 @@ def spread(df: DataFrame, keys, min_partitions: int | None = None) -> DataFrame:
     scan but runs no job.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    if not is_narrow(df, want):
         return df
     cols = [keys] if isinstance(keys, str) else list(keys)
     return df.repartition(want, *cols)
 
 
+def is_narrow(df: DataFrame, min_partitions: int | None = None) -> bool:
+    """Fewer partitions than task slots (plans the scan, runs no job)."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.rdd.getNumPartitions() < want
+
+
 def for_iterations(df: DataFrame, rows_per_partition: int = 1_000_000) -> DataFrame:
     """Persist a training table that an estimator will scan many times
     (one Spark job per L-BFGS step or tree level) and give it as many

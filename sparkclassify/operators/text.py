@@ -33,10 +33,22 @@ def remove_stop_words(df: DataFrame, in_col: str, out_col: str,
     return df.withColumn(out_col, without_stop_words(in_col, stop_words, case_sensitive))
 
 
+def explode_elements(df: DataFrame, keep, array_col, out_col: str) -> DataFrame:
+    """``explode`` of an array whose elements are never null, without the
+    filter Catalyst infers for a plain ``explode`` (``size(array) > 0``).
+    Predicate pushdown copies that filter, with the whole expression that
+    builds the array (cleaning, tokenising, stop words), below projections
+    and exchanges, so the text work would run twice, the first time before
+    the exchange.  ``explode_outer`` plus a null filter on the generated
+    column gives the same rows and keeps the work after the exchange."""
+    out = df.select(*[F.col(k) for k in keep], F.explode_outer(array_col).alias(out_col))
+    return out.where(F.col(out_col).isNotNull())
+
+
 def explode_terms(df: DataFrame, tokens_col: str, term_col: str = "term",
                   keep=("label",)) -> DataFrame:
     """One row per (kept columns, term)."""
-    return df.select(*[F.col(k) for k in keep], F.explode(tokens_col).alias(term_col))
+    return explode_elements(df, keep, tokens_col, term_col)
 
 
 def term_counts(df: DataFrame, tokens_col: str, by=("label",),

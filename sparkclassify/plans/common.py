@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import java_trim, strip_punctuation
-from ..operators.partitioning import by_key, spread
+from ..functions.text import clean_text, java_trim, strip_punctuation
+from ..operators.partitioning import by_key, is_narrow, spread
 from ..operators.text import clean_column, remove_stop_words, tokenize
 from ..session import load_table
 from ..sources.lines import explode_lines
@@ -43,10 +43,22 @@ def document_lines(spark: SparkSession, sf_dir: str, by_line: bool = False) -> D
 
 def clean_lines(spark: SparkSession, sf_dir: str, by_line: bool = False) -> DataFrame:
     """(doc_id, line_no, label, clean): each line stripped, trimmed and
-    lower-cased.  Stripping and lower-casing map characters one by one and
-    keep the newline, so they run once per document before the split (and
-    shrink what an exchange by line moves); only the trim is per line."""
-    docs = documents(spark, sf_dir, ["doc_id", english_label().alias("label"),
+    lower-cased.
+
+    Stripping and lower-casing map characters one by one and keep the
+    newline, so on a wide scan they run once per document in the scan
+    tasks, before the split, and shrink what the exchange by line moves;
+    only the trim is per line.  On a narrow scan (few splits) the raw lines
+    are exchanged first and cleaned in parallel after it, which saves the
+    extra exchange that spreading the documents would cost."""
+    scan = load_table(spark, sf_dir, "documents")
+    label = english_label().alias("label")
+    if by_line and is_narrow(scan):
+        lines = explode_lines(scan.select("doc_id", label, "text"), "text", "line", "line_no",
+                              keep=("doc_id", "label"))
+        lines = by_key(lines, LINE_KEY)
+        return lines.select("doc_id", "line_no", "label", clean_text("line").alias("clean"))
+    docs = documents(spark, sf_dir, ["doc_id", label,
                                      F.lower(strip_punctuation("text")).alias("text")])
     lines = explode_lines(docs, "text", "line", "line_no", keep=("doc_id", "label"))
     if by_line:
