@@ -97,10 +97,11 @@ def running_totals_desc(counts: DataFrame, num_blocks: int | None = None,
                        if c is not None})
     if cuts:
         splits = [float("-inf")] + cuts + [float("inf")]
-        blocked = Bucketizer(splits=splits, inputCol="score", outputCol="_block",
-                             handleInvalid="keep").transform(counts)
+        blocked = (Bucketizer(splits=splits, inputCol="score", outputCol="_bucket",
+                              handleInvalid="keep").transform(counts)
+                   .withColumn("_block", F.col("_bucket").cast("int")).drop("_bucket"))
     else:
-        blocked = counts.withColumn("_block", F.lit(0.0))
+        blocked = counts.withColumn("_block", F.lit(0))
     block_tot = blocked.groupBy("_block").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     # One row per block: this window is tiny.
     before = Window.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
