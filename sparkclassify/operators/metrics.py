@@ -19,6 +19,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def confusion_matrix(pairs: DataFrame, prediction_col: str = "prediction",
                      label_col: str = "label") -> DataFrame:
@@ -81,15 +83,17 @@ def score_counts(scored: DataFrame, score_col: str, label_col: str) -> DataFrame
 
 
 def running_totals_desc(counts: DataFrame, num_blocks: int | None = None,
-                        relative_error: float = 1e-4) -> DataFrame:
+                        relative_error: float = 1e-4,
+                        scores_per_block: int = 1_000_000) -> DataFrame:
     """Add ``tp``/``fp``: sums of ``pos``/``neg`` over all scores >= this one.
 
-    The cut points come from ``approxQuantile`` (one job, ``num_blocks``
-    numbers to the driver); they only balance the work, the sums stay
-    exact whatever they are.
+    Without ``num_blocks`` there is one block per ``scores_per_block``
+    distinct scores (a count of the small per-score table).  The cut points
+    come from ``approxQuantile`` (one job, ``num_blocks`` numbers to the
+    driver); they only balance the work, the sums stay exact whatever they
+    are.
     """
-    spark = counts.sparkSession
-    blocks = num_blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = num_blocks or max(1, -(-counts.count() // scores_per_block))
     cuts = []
     if blocks > 1:
         probs = [i / blocks for i in range(1, blocks)]
@@ -124,7 +128,8 @@ def binary_curve(scored: DataFrame, score_col: str = "score", label_col: str = "
     """One row per distinct score (threshold), highest first in meaning:
     ``threshold, tp, fp, tpr, fpr, recall, precision`` and the same for the
     previous threshold (``prev_*``), which the areas need."""
-    counts = score_counts(scored, score_col, label_col)
+    # Read three times (cut points, totals, curve): computed once.
+    counts = materialize(score_counts(scored, score_col, label_col), "score-counts")
     totals = counts.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     n_pos = totals.select("n_pos").scalar()
     n_neg = totals.select("n_neg").scalar()

@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_path
+from ..session import materialize
 from .features import IdfModel, hashed_tf, idf_fit, l2_normalize, tfidf
 from .naive_bayes import (NaiveBayesModel, naive_bayes_from_stats, naive_bayes_score,
                           naive_bayes_stats)
@@ -36,14 +36,6 @@ def text_features(df: DataFrame, keys, tokens_col: str, label_col: str | None,
     return l2_normalize(tfidf(tf, idf), list(keys)), idf
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a (small) fitted table to the shared folder and read it back:
-    one job, and the result no longer depends on the training lineage."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def fit_text_naive_bayes(train: DataFrame, keys, tokens_col: str = "terms",
                          label_col: str = "label", num_buckets: int = 10000,
                          algo: str = "murmur3", smoothing: float = 1.0) -> TextNaiveBayesModel:

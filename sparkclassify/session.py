@@ -80,3 +80,14 @@ def load_table(spark: SparkSession, sf_dir: str, name: str):
     """One of the driver's parquet tables (column pruning and filter
     pushdown happen in the scan)."""
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def materialize(df, name: str):
+    """Write ``df`` to a new path below the shared folder and read it back:
+    one job computes it, every later use reads the files, and the result no
+    longer depends on the lineage that produced it (it survives executor
+    loss).  For derived tables read more than once."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
