@@ -85,14 +85,3 @@ def l2_normalize(df: DataFrame, keys, weight_col: str = "weight",
     norm = F.sqrt(F.sum(F.col(weight_col) * F.col(weight_col)).over(w))
     scaled = F.when(norm > 0, F.col(weight_col) / norm).otherwise(F.lit(0.0))
     return df.withColumn(out_col or weight_col, scaled)
-
-
-def tfidf_features(df: DataFrame, keys, tokens_col: str, idf: IdfModel | None = None,
-                   fit_docs: DataFrame | None = None, num_buckets: int = 10000,
-                   algo: str = "murmur3"):
-    """TF -> IDF (fitted on ``df`` unless given) -> TF-IDF -> L2, the
-    feature half of the text pipeline.  Returns ``(features, idf_model)``."""
-    tf = hashed_tf(df, keys, tokens_col, num_buckets, algo, keep_empty=True)
-    if idf is None:
-        idf = idf_fit(tf, fit_docs if fit_docs is not None else df)
-    return l2_normalize(tfidf(tf, idf), keys), idf

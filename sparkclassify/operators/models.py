@@ -13,7 +13,6 @@ from pyspark.ml.classification import (LogisticRegression, NaiveBayes,
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def random_forest(features_col: str = "features", label_col: str = "label",
@@ -95,7 +94,3 @@ def feature_importances(model, feature_names, spark) -> DataFrame:
     imp = model.featureImportances.toArray()
     return spark.createDataFrame([(n, float(v)) for n, v in zip(feature_names, imp)],
                                  "feature string, importance double")
-
-
-def positive_probability(df: DataFrame, col: str = "probability", index: int = 1):
-    return vector_to_array(F.col(col))[index]

@@ -27,15 +27,6 @@ class TextNaiveBayesModel:
     algo: str
 
 
-def text_features(df: DataFrame, keys, tokens_col: str, label_col: str | None,
-                  idf: IdfModel | None, num_buckets: int, algo: str):
-    carry = list(keys) + ([label_col] if label_col else [])
-    tf = hashed_tf(df, carry, tokens_col, num_buckets, algo, keep_empty=True)
-    if idf is None:
-        idf = idf_fit(tf, df)
-    return l2_normalize(tfidf(tf, idf), list(keys)), idf
-
-
 def fit_text_naive_bayes(train: DataFrame, keys, tokens_col: str = "terms",
                          label_col: str = "label", num_buckets: int = 10000,
                          algo: str = "murmur3", smoothing: float = 1.0) -> TextNaiveBayesModel:

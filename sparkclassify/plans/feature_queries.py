@@ -8,7 +8,6 @@ from ..operators.features import hashed_tf, idf_fit, l2_normalize, tfidf
 from ..operators.naive_bayes import naive_bayes_fit
 from ..operators.sampling import with_split_part
 from ..operators.text_model import fit_text_naive_bayes, score_text_naive_bayes
-from ..operators.features import IdfModel  # noqa: F401
 from . import sqlparts as S
 from .catalog import register
 from .common import SPLIT_SEED, doc_terms, document_lines, line_terms, with_lang_label

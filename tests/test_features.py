@@ -6,8 +6,7 @@ import math
 import pytest
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import IDF, Normalizer
-from pyspark.ml.linalg import SparseVector, Vectors
-from pyspark.sql import functions as F
+from pyspark.ml.linalg import SparseVector
 
 from sparkclassify.functions.text import clean_text
 from sparkclassify.operators.features import hashed_tf, idf_fit, l2_normalize, tfidf

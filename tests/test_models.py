@@ -1,7 +1,6 @@
 """Estimators: invariants, the original jobs' traps, quality floors."""
 
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sparkclassify.operators.metrics import area_under_roc, classification_summary

@@ -1,8 +1,5 @@
 """Sources, cleaning and splits."""
 
-import os
-import tempfile
-
 import pytest
 from pyspark.sql import functions as F
 

@@ -1,6 +1,5 @@
 """A fitted pipeline scores a file stream exactly like the batch input."""
 
-from pyspark.sql import functions as F
 
 from sparkclassify.functions.text import clean_text
 from sparkclassify.operators.models import text_naive_bayes_pipeline
