@@ -78,3 +78,18 @@ def test_split_filter_reaches_the_scan_side(spark):
     plan = _plan(test.select(F.col("doc_id")))
     first_exchange = plan.index("Exchange")
     assert "md5" in plan[first_exchange:], plan
+
+
+def test_hot_document_lines_spread_over_tasks(spark):
+    """One document with most of all lines: after the exchange by
+    (doc_id, line_no) no task holds much more than its share."""
+    from sparkclassify.operators.partitioning import by_key
+    from sparkclassify.sources.lines import explode_lines
+    big = "\n".join(f"line {i}" for i in range(4000))
+    docs = spark.createDataFrame([(0, big)] + [(i, "a\nb") for i in range(1, 200)],
+                                 "doc_id long, text string")
+    lines = by_key(explode_lines(docs, keep=("doc_id",)), ["doc_id", "line_no"], 8)
+    sizes = [r["n"] for r in lines.groupBy(F.spark_partition_id().alias("p"))
+             .agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 8
+    assert max(sizes) < 0.2 * sum(sizes), sizes
