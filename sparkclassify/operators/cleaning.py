@@ -31,13 +31,18 @@ def drop_nulls(df: DataFrame, subset) -> DataFrame:
 
 def cast_numeric(df: DataFrame, cols, strict: bool = True,
                  to: str = "double") -> DataFrame:
-    """String -> number.  ``strict`` fails the job on a bad value (ANSI
-    ``cast``, like ``toDouble``); otherwise bad values become null
-    (``try_cast``)."""
+    """String -> number.  ``strict`` fails the job on a bad value, like
+    ``toDouble`` did, whatever the session's ANSI setting; otherwise bad
+    values become null (``try_cast``).  Nulls stay null either way."""
     out = df
     for c in cols:
         src = F.col(c)
-        out = out.withColumn(c, src.cast(to) if strict else src.try_cast(to))
+        value = src.try_cast(to)
+        if strict:
+            bad = src.isNotNull() & value.isNull()
+            value = F.when(bad, F.raise_error(F.concat(
+                F.lit(f"cast_numeric: not a {to} in column {c}: "), src))).otherwise(value)
+        out = out.withColumn(c, value)
     return out
 
 

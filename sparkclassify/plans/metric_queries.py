@@ -47,7 +47,8 @@ def quality_scores(spark, sf_dir):
     labels = load_table(spark, sf_dir, "labels").select("doc_id", "quality")
     # ASCII letters counted by deleting them (per-character map).
     letters = F.length("text") - F.length(F.translate("text", ASCII_LETTERS, ""))
-    score = F.lit(1.0) - letters / F.length("text")
+    score = (F.when(F.length("text") == 0, F.lit(0.0))
+              .otherwise(F.lit(1.0) - letters / F.length("text")))
     return (docs.join(labels, "doc_id")
                 .select("doc_id", score.alias("score"),
                         F.col("quality").cast("double").alias("label"))
@@ -120,7 +121,8 @@ def metric_weighted_f1(spark, sf_dir):
 
 def _curve_sql(score: str) -> str:
     return f"""WITH s AS (
-  SELECT d.doc_id, 1.0 - length(regexp_replace(d.text, '[^A-Za-z]', '', 'g')) / length(d.text) AS score,
+  SELECT d.doc_id, CASE WHEN length(d.text) = 0 THEN 0.0
+    ELSE 1.0 - length(regexp_replace(d.text, '[^A-Za-z]', '', 'g')) / length(d.text) END AS score,
     CAST(l.quality AS DOUBLE) AS label FROM documents d JOIN labels l USING (doc_id)),
 s2 AS (SELECT doc_id, label, score,
   CASE WHEN score >= 0.25 THEN 1.0 ELSE 0.0 END AS prediction FROM s),
