@@ -49,13 +49,13 @@ def _line_tf_idf(spark, sf_dir):
     return tf, idf_fit(tf, document_lines(spark, sf_dir).select("doc_id"))
 
 
-@register("idf_weights", _TF_SQL + "\nSELECT bucket, doc_freq, idf FROM idf")
+@register("idf_weights", _TF_SQL + "\nSELECT bucket, doc_freq, idf FROM idf", round6=('idf',))
 def idf_weights(spark, sf_dir):
     _, idf = _line_tf_idf(spark, sf_dir)
     return idf.weights
 
 
-@register("tfidf", _TF_SQL + "\nSELECT doc_id, line_no, bucket, weight FROM w")
+@register("tfidf", _TF_SQL + "\nSELECT doc_id, line_no, bucket, weight FROM w", round6=('weight',))
 def tfidf_query(spark, sf_dir):
     tf, idf = _line_tf_idf(spark, sf_dir)
     return tfidf(tf, idf)
@@ -66,7 +66,7 @@ SELECT doc_id, line_no, bucket,
   CASE WHEN sqrt(sum(weight * weight) OVER (PARTITION BY doc_id, line_no)) > 0
        THEN weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc_id, line_no))
        ELSE 0.0 END AS weight
-FROM w""")
+FROM w""", round6=('weight',))
 def l2_normalize_query(spark, sf_dir):
     tf, idf = _line_tf_idf(spark, sf_dir)
     return l2_normalize(tfidf(tf, idf), LINE_KEYS)
@@ -88,7 +88,7 @@ def _doc_parts(spark, sf_dir, by_doc=False):
 
 @register("nb_model", _DOC_SRC + """
 SELECT th.label, th.bucket, c.log_prior, th.log_theta
-FROM nb_theta th JOIN nb_c c USING (label)""")
+FROM nb_theta th JOIN nb_c c USING (label)""", round6=('log_prior', 'log_theta'))
 def nb_model(spark, sf_dir):
     """Fitted long-form model: per (class, bucket) log prior and log theta."""
     train, _ = _doc_parts(spark, sf_dir)
@@ -100,7 +100,8 @@ def nb_model(spark, sf_dir):
 
 
 @register("nb_score", _DOC_SRC + """
-SELECT doc_id, label, prediction, score, probability FROM nb_scored""")
+SELECT doc_id, label, prediction, score, probability FROM nb_scored""",
+          round6=("score", "probability"))
 def nb_score(spark, sf_dir):
     """Held-out documents scored by the model fitted on the training part."""
     train, test = _doc_parts(spark, sf_dir, by_doc=True)

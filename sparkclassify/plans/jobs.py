@@ -162,7 +162,8 @@ src AS (SELECT doc_id, line_no, label, terms,
 
 
 @register("job_text_naive_bayes", _J4_SQL + """
-SELECT doc_id, line_no, label, prediction, score, probability FROM nb_scored""")
+SELECT doc_id, line_no, label, prediction, score, probability FROM nb_scored""",
+          round6=("score", "probability"))
 def job_text_naive_bayes(spark, sf_dir):
     """J4 with md5 buckets, so that SQL can check every score."""
     return text_naive_bayes(spark, sf_dir, algo="md5")
@@ -183,7 +184,8 @@ cls2 AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
 SELECT CAST(sum(n_label) AS BIGINT) AS n, sum(tp) / sum(n_label) AS accuracy,
   sum(precision * n_label) / sum(n_label) AS weighted_precision,
   sum(recall * n_label) / sum(n_label) AS weighted_recall,
-  sum(f1 * n_label) / sum(n_label) AS weighted_f1 FROM cls2""")
+  sum(f1 * n_label) / sum(n_label) AS weighted_f1 FROM cls2""",
+          round6=("accuracy", "weighted_precision", "weighted_recall", "weighted_f1"))
 def job_text_naive_bayes_eval(spark, sf_dir):
     """J4 evaluated: accuracy, weighted precision / recall / F1 of the
     held-out lines (the original job computed none)."""

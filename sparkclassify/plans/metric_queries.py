@@ -87,14 +87,16 @@ def confusion_matrix_query(spark, sf_dir):
 
 
 @register("class_metrics", _PAIRS_SQL + """
-SELECT label, n_label, tp, n_pred, precision, recall, f1 FROM cls2""")
+SELECT label, n_label, tp, n_pred, precision, recall, f1 FROM cls2""",
+          round6=("precision", "recall", "f1"))
 def class_metrics(spark, sf_dir):
     return class_table(lang_pairs(spark, sf_dir))
 
 
 @register("metric_accuracy", _PAIRS_SQL + """
 SELECT avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END) AS accuracy,
-  (SELECT accuracy FROM summary) AS accuracy_from_confusion FROM pairs""")
+  (SELECT accuracy FROM summary) AS accuracy_from_confusion FROM pairs""",
+          round6=("accuracy", "accuracy_from_confusion"))
 def metric_accuracy(spark, sf_dir):
     """Both routes of the original job: mean of hits, and from the
     confusion table."""
@@ -107,13 +109,13 @@ def metric_accuracy(spark, sf_dir):
 
 
 @register("metric_weighted_precision", _PAIRS_SQL + """
-SELECT n, weighted_precision FROM summary""")
+SELECT n, weighted_precision FROM summary""", round6=('weighted_precision',))
 def metric_weighted_precision(spark, sf_dir):
     return classification_summary(lang_pairs(spark, sf_dir)).select("n", "weighted_precision")
 
 
 @register("metric_weighted_f1", _PAIRS_SQL + """
-SELECT n, weighted_recall, weighted_f1 FROM summary""")
+SELECT n, weighted_recall, weighted_f1 FROM summary""", round6=('weighted_recall', 'weighted_f1'))
 def metric_weighted_f1(spark, sf_dir):
     return classification_summary(lang_pairs(spark, sf_dir)).select(
         "n", "weighted_recall", "weighted_f1")
@@ -148,33 +150,36 @@ pts AS (
 
 @register("metric_auroc", _curve_sql("score") + """
 SELECT sum((fpr - prev_fpr) * (tpr + prev_tpr) / 2
-  + CASE WHEN is_last THEN (1 - fpr) * (tpr + 1) / 2 ELSE 0.0 END) AS auroc FROM pts""")
+  + CASE WHEN is_last THEN (1 - fpr) * (tpr + 1) / 2 ELSE 0.0 END) AS auroc FROM pts""",
+          round6=("auroc",))
 def metric_auroc(spark, sf_dir):
     return area_under_roc(quality_scores(spark, sf_dir), "score", "label")
 
 
 @register("metric_auroc_hard", _curve_sql("prediction") + """
 SELECT sum((fpr - prev_fpr) * (tpr + prev_tpr) / 2
-  + CASE WHEN is_last THEN (1 - fpr) * (tpr + 1) / 2 ELSE 0.0 END) AS auroc FROM pts""")
+  + CASE WHEN is_last THEN (1 - fpr) * (tpr + 1) / 2 ELSE 0.0 END) AS auroc FROM pts""",
+          round6=("auroc",))
 def metric_auroc_hard(spark, sf_dir):
     """The same area from 0/1 predictions: a three-point curve."""
     return area_under_roc(quality_scores(spark, sf_dir), "prediction", "label")
 
 
 @register("metric_aupr", _curve_sql("score") + """
-SELECT sum((tpr - prev_tpr) * (precision + prev_precision) / 2) AS aupr FROM pts""")
+SELECT sum((tpr - prev_tpr) * (precision + prev_precision) / 2) AS aupr FROM pts""",
+          round6=("aupr",))
 def metric_aupr(spark, sf_dir):
     return area_under_pr(quality_scores(spark, sf_dir), "score", "label")
 
 
 @register("roc_curve", _curve_sql("score") + """
-SELECT threshold, fpr, tpr FROM pts""")
+SELECT threshold, fpr, tpr FROM pts""", round6=('threshold', 'fpr', 'tpr'))
 def roc_curve(spark, sf_dir):
     return binary_curve(quality_scores(spark, sf_dir)).select("threshold", "fpr", "tpr")
 
 
 @register("pr_curve", _curve_sql("score") + """
-SELECT threshold, tpr AS recall, precision FROM pts""")
+SELECT threshold, tpr AS recall, precision FROM pts""", round6=('threshold', 'recall', 'precision'))
 def pr_curve(spark, sf_dir):
     return binary_curve(quality_scores(spark, sf_dir)).select(
         "threshold", F.col("tpr").alias("recall"), "precision")

@@ -32,6 +32,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
+        if os.environ.get("ORACLE_EXACT"):
+            return v + 0.0
         return round(v, 6) + 0.0
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
