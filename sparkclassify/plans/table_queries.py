@@ -199,3 +199,41 @@ def label_index(spark, sf_dir):
     part = load_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     indexed, _ = index_labels(part, "p_type", "type_index")
     return indexed
+
+
+@register("page_lines", """SELECT p.page_id, CAST(u.n - 1 AS INTEGER) AS line_no,
+  CAST(length(u.line) AS INTEGER) AS line_chars, u.line
+FROM pages p, unnest(string_split(p.html, chr(10))) WITH ORDINALITY AS u(line, n)""")
+def page_lines(spark, sf_dir):
+    """Raw web pages as a keyed line source."""
+    pages = load_table(spark, sf_dir, "pages").select("page_id", "html")
+    lines = explode_lines(pages, "html", "line", "line_no", keep=("page_id",))
+    return lines.select("page_id", "line_no", F.length("line").alias("line_chars"), "line")
+
+
+@register("event_type_index", """WITH idx AS (
+  SELECT event_type, CAST(row_number() OVER (ORDER BY count(*) DESC, event_type) - 1 AS DOUBLE)
+    AS type_index
+  FROM events GROUP BY event_type)
+SELECT event_id, event_type, type_index FROM events JOIN idx USING (event_type)""")
+def event_type_index(spark, sf_dir):
+    """Label index over the event stream's types (most frequent -> 0.0)."""
+    events = load_table(spark, sf_dir, "events").select("event_id", "event_type")
+    indexed, _ = index_labels(events, "event_type", "type_index")
+    return indexed
+
+
+@register("embedding_vectors", """SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n_dims,
+  sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS l2_norm,
+  CAST(label AS DOUBLE) AS label
+FROM embeddings""", round6=("l2_norm",))
+def embedding_vectors(spark, sf_dir):
+    """Stored ``array<float>`` embeddings as ML vectors (``array_to_vector``)
+    with their width and L2 norm, read back with ``vector_to_array``."""
+    from pyspark.ml.functions import array_to_vector
+    emb = load_table(spark, sf_dir, "embeddings")
+    vec = emb.select("vec_id", array_to_vector("embedding").alias("features"),
+                     F.col("label").cast("double").alias("label"))
+    arr = vector_to_array(F.col("features"))
+    sq = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x)
+    return vec.select("vec_id", F.size(arr).alias("n_dims"), F.sqrt(sq).alias("l2_norm"), "label")
