@@ -53,11 +53,14 @@ class IdfModel:
         return F.log(self.n_docs.cast("double") + F.lit(1.0))
 
 
-def idf_fit(tf: DataFrame, docs: DataFrame, min_doc_freq: int = 0) -> IdfModel:
+def idf_fit(tf: DataFrame, docs: DataFrame | None, min_doc_freq: int = 0,
+            n_docs: int | None = None) -> IdfModel:
     """``idf = ln((m + 1) / (df + 1))``; buckets with ``df < min_doc_freq``
     get 0.  ``m`` counts the training rows in ``docs`` (rows without any
-    term count too), as a scalar subquery: no cross join, no collect."""
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    term count too), as a scalar subquery: no cross join, no collect; a
+    caller that already knows it passes ``n_docs`` instead."""
+    n_docs = (F.lit(n_docs) if n_docs is not None
+              else docs.select(F.count(F.lit(1))).scalar())
     doc_freq = (tf.where(F.col("bucket").isNotNull())
                   .groupBy("bucket").agg(F.count(F.lit(1)).alias("doc_freq")))
     idf = F.log((n_docs.cast("double") + 1.0) / (F.col("doc_freq") + 1.0))

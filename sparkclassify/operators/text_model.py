@@ -53,7 +53,7 @@ def fit_text_naive_bayes(train: DataFrame, keys, tokens_col: str = "terms",
         counts = spark.createDataFrame(
             [(float(r[label_col]), int(r["n_docs"])) for r in per_class],
             f"{label_col} double, n_docs bigint")
-        fitted = idf_fit(tf, docs)
+        fitted = idf_fit(tf, None, n_docs=n_docs)
         idf = IdfModel(materialize(fitted.weights, "idf"), F.lit(n_docs))
         feats = l2_normalize(tfidf(tf, idf), keys)
         _, sums = naive_bayes_stats(feats, docs.select(label_col), label_col)
