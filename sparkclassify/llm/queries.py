@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from .bpe import op8_bpe
 from .language import op1_language
+from .near_duplicates import OP3_SQL, op3_jaccard_join
 from .quality import OP9_SQL, op9_quality
 from .token_counts import op6_token_counts
 
 QUERIES = {
     "op1_language": op1_language,
+    "op3_jaccard_join": op3_jaccard_join,
     "op6_token_counts": op6_token_counts,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
 }
 ORACLE_SQL = {
+    "op3_jaccard_join": OP3_SQL,
     "op9_quality": OP9_SQL,
 }
