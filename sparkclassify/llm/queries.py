@@ -6,6 +6,7 @@ from .bpe import op8_bpe
 from .language import op1_language
 from .near_duplicates import OP3_SQL, op3_jaccard_join
 from .quality import OP9_SQL, op9_quality
+from .repeats import op10_repeats
 from .token_counts import op6_token_counts
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
+    "op10_repeats": op10_repeats,
 }
 ORACLE_SQL = {
     "op3_jaccard_join": OP3_SQL,
