@@ -7,11 +7,15 @@ from .language import op1_language
 from .near_duplicates import OP3_SQL, op3_jaccard_join
 from .quality import OP9_SQL, op9_quality
 from .repeats import op10_repeats
+from .sharding import op2_sharding
 from .token_counts import op6_token_counts
+from .top_k import OP5_SQL, op5_top_k
 
 QUERIES = {
     "op1_language": op1_language,
+    "op2_sharding": op2_sharding,
     "op3_jaccard_join": op3_jaccard_join,
+    "op5_top_k": op5_top_k,
     "op6_token_counts": op6_token_counts,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
@@ -19,5 +23,6 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op3_jaccard_join": OP3_SQL,
+    "op5_top_k": OP5_SQL,
     "op9_quality": OP9_SQL,
 }
