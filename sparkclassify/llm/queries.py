@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe import op8_bpe
 from .language import op1_language
 from .near_duplicates import OP3_SQL, op3_jaccard_join
+from .pii import op4_personal_data
 from .quality import OP9_SQL, op9_quality
 from .repeats import op10_repeats
 from .sharding import op2_sharding
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_language": op1_language,
     "op2_sharding": op2_sharding,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_personal_data": op4_personal_data,
     "op5_top_k": op5_top_k,
     "op6_token_counts": op6_token_counts,
     "op8_bpe": op8_bpe,
