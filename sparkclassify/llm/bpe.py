@@ -229,30 +229,30 @@ def decode_column(rows: DataFrame, ids_col: str, vocabulary, out_col: str = "dec
     return rows.mapInArrow(run, rows.schema.add(out_col, "binary"))
 
 
-def token_digests(rows: DataFrame, id_col: str, text_col: str, vocabulary) -> DataFrame:
-    """Encode, then decode the ids: per row the number of tokens and digests
-    of the ids and of the decoded bytes."""
+def token_digests(rows: DataFrame, id_col: str, text_col: str, vocabulary, with_ids: bool = False) -> DataFrame:
+    """Encode, then decode the ids: per row the number of tokens, digests of
+    the ids and of the decoded bytes, and the ids themselves on demand."""
     narrow = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
         encoder = worker_encoder(vocabulary)
-        for batch in batches:
-            sizes, of_ids, of_bytes = [], [], []
-            for part in texts_of(batch.column(1)):
-                for text in part:
-                    ids = encoder.encode(text)
-                    sizes.append(len(ids) // 4)
-                    of_ids.append(hashlib.sha256(ids).hexdigest())
-                    of_bytes.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(of_ids, pa.string()),
-                 pa.array(of_bytes, pa.string())],
-                ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                encoded = [encoder.encode(t) for part in texts_of(batch.column(1)) for t in part]
+                columns = [
+                    batch.column(0), pa.array([len(ids) // 4 for ids in encoded], pa.int64()),
+                    pa.array([hashlib.sha256(ids).hexdigest() for ids in encoded], pa.string()),
+                    pa.array([hashlib.sha256(encoder.decode(ids)).hexdigest() for ids in encoded], pa.string())]
+                if with_ids:
+                    columns.append(pa.array([np.frombuffer(ids, "<i4") for ids in encoded], pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
     kind = narrow.schema["id"].dataType.simpleString()
-    return narrow.mapInArrow(
-        run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    ).withColumnRenamed("id", id_col)
+    out = narrow.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+                            + ", ids array<int>" * with_ids)
+    return out.withColumnRenamed("id", id_col)
 
 
 def op8_bpe(spark, sf_dir):

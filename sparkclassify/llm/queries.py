@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op8_bpe
 from .language import op1_language
+from .mixing import op7_mixing
 from .near_duplicates import OP3_SQL, op3_jaccard_join
 from .pii import op4_personal_data
 from .quality import OP9_SQL, op9_quality
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_personal_data": op4_personal_data,
     "op5_top_k": op5_top_k,
     "op6_token_counts": op6_token_counts,
+    "op7_mixing": op7_mixing,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_repeats": op10_repeats,

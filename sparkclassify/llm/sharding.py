@@ -52,12 +52,17 @@ def text_size(text_col: str, overhead: int) -> Column:
     return F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + F.lit(overhead)
 
 
+def _longs(values) -> Column:
+    """A constant array; written as text, since it may be long."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def _probe(sizes: DataFrame, splitters: list[dict], shift: int, below: int):
     """The sub-range that holds each splitter, with the exact bytes and rows
     before it and in it.  ``below``: shift of the ranges already settled."""
-    spark = sizes.sparkSession
-    want = spark.createDataFrame(
-        [(s["i"], s["range"], s["target"] - s["bytes"]) for s in splitters], "i int, r long, want long")
+    want = sizes.sparkSession.range(1).select(F.inline(F.arrays_zip(
+        _longs(s["i"] for s in splitters).alias("i"), _longs(s["range"] for s in splitters).alias("r"),
+        _longs(s["target"] - s["bytes"] for s in splitters).alias("want"))))
     ranged = sizes.select(F.shiftright("key", below).alias("r"), F.shiftright("key", shift).alias("s"), "size")
     if below < KEY_BITS:
         # one row per open range, at most one per splitter
@@ -105,11 +110,6 @@ def find_splitters(sizes: DataFrame, config: ShardConfig):
     return sorted(edges), per_shard, rows
 
 
-def _longs(values) -> Column:
-    """A constant array; written as text, since it may be long."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
-
-
 def _count_up_to(edges: list[int], key: Column) -> Column:
     """How many of the ascending ``edges`` are at most ``key``, by halving."""
     if not edges:
