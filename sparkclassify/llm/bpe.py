@@ -28,6 +28,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType
+
+from .common import with_field
 
 RANKS_FILE = "byte_bpe_50k.tiktoken"
 _NEVER = 1 << 62
@@ -211,7 +214,7 @@ def encode_column(rows: DataFrame, text_col: str, vocabulary, out_col: str = "id
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(ids, pa.list_(pa.int64()))], [*batch.schema.names, out_col])
 
-    return rows.mapInArrow(run, rows.schema.add(out_col, "array<bigint>"))
+    return rows.mapInArrow(run, with_field(rows.schema, out_col, ArrayType(LongType())))
 
 
 def decode_column(rows: DataFrame, ids_col: str, vocabulary, out_col: str = "decoded") -> DataFrame:
@@ -226,7 +229,7 @@ def decode_column(rows: DataFrame, ids_col: str, vocabulary, out_col: str = "dec
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, out_col])
 
-    return rows.mapInArrow(run, rows.schema.add(out_col, "binary"))
+    return rows.mapInArrow(run, with_field(rows.schema, out_col, BinaryType()))
 
 
 def token_digests(rows: DataFrame, id_col: str, text_col: str, vocabulary, with_ids: bool = False) -> DataFrame:

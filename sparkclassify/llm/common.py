@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import DataType, StructField, StructType
 
 from ..session import checkpoint_root
 
@@ -22,3 +23,8 @@ def fresh_name(df: DataFrame, base: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def with_field(schema: StructType, name: str, kind: DataType) -> StructType:
+    """A copy of ``schema`` with one more column."""
+    return StructType([*schema.fields, StructField(name, kind)])

@@ -39,8 +39,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
-from .common import fresh_name, settle
+from .common import fresh_name, settle, with_field
 from .components import connected_components
 from .textblocks import (LOWER, _U, blocks, mix, text_array, window_hashes, word_bounds, word_hashes)
 
@@ -388,7 +389,7 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())],
                                              [*batch.schema.names, cls])
 
-    marked = docs.mapInArrow(run, docs.schema.add(cls, "binary"))
+    marked = docs.mapInArrow(run, with_field(docs.schema, cls, BinaryType()))
     stay = marked.join(keeper, marked[cls].eqNullSafe(keeper["keep_cls"])
                        & marked[id_col].eqNullSafe(keeper["keep_id"]), "left_semi")
     one = stay.dropDuplicates([id_col, cls])
