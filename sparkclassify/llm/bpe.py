@@ -203,7 +203,9 @@ def texts_of(column: pa.Array, step: int = 256):
 
 
 def encode_column(rows: DataFrame, text_col: str, vocabulary, out_col: str = "ids") -> DataFrame:
-    """All columns and ``out_col``: the text's token ids as array<long>."""
+    """All columns and ``out_col``: the text's token ids as array<long>; it
+    replaces an input column of that name."""
+    rows = rows.drop(out_col)
     place = rows.columns.index(text_col)
 
     def run(batches):
@@ -219,6 +221,7 @@ def encode_column(rows: DataFrame, text_col: str, vocabulary, out_col: str = "id
 
 def decode_column(rows: DataFrame, ids_col: str, vocabulary, out_col: str = "decoded") -> DataFrame:
     """All columns and ``out_col``: the bytes of the token ids (null: none)."""
+    rows = rows.drop(out_col)
     place = rows.columns.index(ids_col)
 
     def run(batches):

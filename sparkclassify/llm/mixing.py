@@ -1,8 +1,8 @@
 """Soft-membership mixing of documents to target domain weights.
 
-A classifier learned from a labelled table (logistic regression on hashed
-words and character shares, fitted on a bounded hash sample of the labelled
-rows) predicts how likely each document belongs to each domain.  A document
+A classifier learned from a labelled table (logistic regression on
+frequent words and character shares, fitted on a bounded hash sample of the
+labelled rows) predicts how likely each document belongs to each domain.  A document
 then counts for every domain with ``tokens * posterior``.  Nonnegative rates
 (expected copies) are fitted by projected-gradient least squares, so that the
 expected domain token totals match the targets.
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, VectorAssembler
+from pyspark.ml.feature import CountVectorizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,9 +40,10 @@ class MixConfig:
     targets: tuple = (("good", 0.92), ("poor", 0.04), ("toxic", 0.04))   # token shares
     total_tokens: int | None = None      # default: as many as the input has
     training_rows: int = 20_000
-    hash_buckets: int = 1 << 14
-    regularisation: float = 1e-3
-    iterations: int = 40
+    vocabulary: int = 1024               # most frequent words of the training rows
+    least_documents: int = 5             # that hold a word of the vocabulary
+    regularisation: float = 0.01
+    iterations: int = 30
     most_steps: int = 25
     tolerance: float = 1e-7              # of the total, per domain
 
@@ -70,16 +71,17 @@ def _features(rows: DataFrame, text: Column) -> DataFrame:
     return df
 
 
-def _vectors(rows: DataFrame, text: Column, config: MixConfig) -> DataFrame:
-    df = HashingTF(inputCol="__words", outputCol="__tf", numFeatures=config.hash_buckets, binary=True).transform(
-        _features(rows, text))
-    shares = ["__symbols", "__upper", "__digits", "__repeats"]
-    df = VectorAssembler(inputCols=["__tf", *shares], outputCol="__x").transform(df)
-    return df.drop("__words", "__tf", "__text", *shares)
+_SHARES = ["__symbols", "__upper", "__digits", "__repeats"]
+
+
+def _vectors(features: DataFrame, words) -> DataFrame:
+    df = VectorAssembler(inputCols=["__tf", *_SHARES], outputCol="__x").transform(words.transform(features))
+    return df.drop("__words", "__tf", "__text", *_SHARES)
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, config: MixConfig):
-    """The fitted model; an int if one domain is all there is, None if none."""
+    """The fitted (vocabulary, classifier); an int if one domain is all there
+    is, None if none."""
     number = F.create_map(*[F.lit(x) for k, d in enumerate(config.domains) for x in (d, float(k))])
     labelled = (labels.select(F.col("doc_id").alias("__id"), number[F.col("domain")].alias("__label"),
                               F.xxhash64(F.lit("mixing sample"), "doc_id", "domain").alias("__h"))
@@ -89,13 +91,19 @@ def fit_domains(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     chosen = labelled.filter(near).orderBy("__h", "__id").limit(config.training_rows)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__raw"))
     # at most training_rows rows, so this broadcast is bounded
-    train = settle(_vectors(rows.join(F.broadcast(chosen), "__id"), F.col("__raw"), config).select("__x", "__label"))
+    train = settle(_features(rows.join(F.broadcast(chosen), "__id"), F.col("__raw")).drop("__raw", "__text"))
     present = sorted(int(r[0]) for r in train.select("__label").distinct().collect())
     if len(present) < 2:
         return present[0] if present else None
-    return LogisticRegression(featuresCol="__x", labelCol="__label", probabilityCol="__prob", predictionCol="__pred",
-                              rawPredictionCol="__raw_score", family="multinomial", standardization=True,
-                              regParam=config.regularisation, maxIter=config.iterations).fit(train)
+    counter = CountVectorizer(inputCol="__words", outputCol="__tf", vocabSize=config.vocabulary, binary=True,
+                              minDF=float(min(config.least_documents, train.count())))
+    # a mark that no text has, so the vocabulary is never empty; it is constant, so it weighs nothing
+    words = counter.fit(train.withColumn("__words", F.array_append("__words", F.lit(" "))))
+    classifier = LogisticRegression(
+        featuresCol="__x", labelCol="__label", probabilityCol="__prob", predictionCol="__pred",
+        rawPredictionCol="__raw_score", family="multinomial", regParam=config.regularisation,
+        maxIter=config.iterations)
+    return words, classifier.fit(_vectors(train, words))
 
 
 def with_posteriors(rows: DataFrame, text: Column, model, config: MixConfig) -> DataFrame:
@@ -104,9 +112,10 @@ def with_posteriors(rows: DataFrame, text: Column, model, config: MixConfig) ->
     if model is None or isinstance(model, int):
         fixed = F.array(*[F.lit(1.0 if i == model else 0.0) for i in range(k)])
         return _features(rows, text).select(*rows.columns, "__tokens", fixed.alias("__p"))
-    scored = model.transform(_vectors(rows, text, config))
+    words, classifier = model
+    scored = classifier.transform(_vectors(_features(rows, text), words))
     known = vector_to_array("__prob")
-    padded = F.concat(known, F.array_repeat(F.lit(0.0), k - model.numClasses)) if model.numClasses < k else known
+    padded = F.concat(known, F.array_repeat(F.lit(0.0), k - classifier.numClasses))
     return scored.select(*rows.columns, "__tokens", padded.alias("__p"))
 
 

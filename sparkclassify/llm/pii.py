@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_name, settle
+from .common import settle
 
 # The base kinds in their order, and the characters of their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -231,10 +231,11 @@ def sanitise(docs: DataFrame, text_col: str = "text", config: PiiConfig = PiiCon
     generalised terms by ``[term]``, removed terms by nothing; all other
     columns and texts unchanged."""
     _, terms = _analysed(docs, text_col, [], config)
-    mark = fresh_name(docs, "personal_terms")
-    keyed = base_spans(docs.withColumn(mark, F.xxhash64(F.coalesce(text_col, F.lit("")))), text_col, [*docs.columns, mark])
-    keyed = keyed.join(terms.withColumnRenamed("__h", mark), mark, "left")
-    text = F.col(f"`{text_col}`")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col(f"`{text_col}`").alias("raw"),
+                         F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("__h"))
+    keyed = base_spans(packed, "raw", ["row", "raw", "__h"]).join(terms, "__h", "left")
+    text = F.col("raw")
     tags = F.array(*[F.lit(f"[{k}]") for k in (*KINDS, TERM)])
     base = F.transform("__base", lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), F.element_at(tags, s["kind"] + 1).alias("tag")))
@@ -252,7 +253,8 @@ def sanitise(docs: DataFrame, text_col: str = "text", config: PiiConfig = PiiCon
         lambda acc: F.concat(F.concat_ws("", acc["out"]), F.substring(text, acc["at"] + 1, F.length(text))))
     touched = (F.size("__base") > 0) | F.col("__terms").isNotNull()
     return keyed.select(*[
-        F.when(touched, rewritten).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+        F.when(touched, rewritten).otherwise(text).alias(c) if c == text_col else F.col("row")[c].alias(c)
+        for c in docs.columns])
 
 
 def op4_personal_data(spark, sf_dir):

@@ -125,8 +125,10 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   config: ShardConfig = ShardConfig()) -> DataFrame:
     """``keep`` (columns or expressions; all columns by default) with
     ``shard`` (0-based) and ``slot`` (0-based place in the shard) of every
-    row.  Only ``keep`` goes through the exchange."""
-    keep = [F.col(f"`{c}`") for c in docs.columns] if keep is None else list(keep)
+    row; they replace input columns of those names.  Only ``keep`` goes
+    through the exchange."""
+    if keep is None:
+        keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("shard", "slot")]
     sizes = settle(docs.select(shard_key(id_col, text_col).alias("key"),
                                text_size(text_col, config.row_overhead).alias("size")))
     edges, per_shard, _ = find_splitters(sizes, config)
