@@ -73,14 +73,14 @@ def test_disclosing_terms(spark):
     for i in range(9):                              # copies of one text are one witness
         rows.append((1300, "Umberto sent u@mail.example"))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    text = dict(rows)
-    found = {r.doc_id: [tuple(s.split(":")) for s in r.spans.split(",") if s] for r in find_personal_data(df).collect()}
+    text, config = dict(rows), PiiConfig(generalise_share=0.6)
+    found = {r.doc_id: [tuple(s.split(":")) for s in r.spans.split(",") if s] for r in find_personal_data(df, config=config).collect()}
     words = lambda i: {text[i][int(a):int(b)] for k, a, b in found[i] if k == "term"}
     assert all("Zoltan" in words(1000 + i) and "common" not in words(1000 + i) for i in range(6))
     assert all("quartz" in words(1200 + i) for i in range(3))
     assert found[1300] == [("email", "13", "27")]
     assert not any(found[i] for i in text if i < 1000 or 1100 <= i < 1200)
-    clean = {r.doc_id: r.text for r in sanitise(df).collect()}
+    clean = {r.doc_id: r.text for r in sanitise(df, config=config).collect()}
     assert "Zoltan" not in clean[1000] and "[email]" in clean[1000] and "common" in clean[1000]
     assert "[term]" in clean[1200] and "quartz" not in clean[1200]
     assert all(clean[i] == text[i] for i in text if i < 1000 or 1100 <= i < 1200)
