@@ -15,17 +15,20 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 
 
+FOREST_SEED = 98765
+
+
 def random_forest(features_col: str = "features", label_col: str = "label",
                   num_trees: int = 20, max_depth: int = 5, impurity: str = "gini",
-                  feature_subset: str = "sqrt", seed: int | None = None,
+                  feature_subset: str = "sqrt", seed: int = FOREST_SEED,
                   **params) -> RandomForestClassifier:
-    """Random forest; ``sqrt`` features per split as in the original jobs."""
+    """Random forest; ``sqrt`` features per split as in the original jobs.
+    The seed is fixed (PySpark's own default is a string hash that changes
+    with every process)."""
     rf = RandomForestClassifier(featuresCol=features_col, labelCol=label_col,
                                 numTrees=num_trees, maxDepth=max_depth,
                                 impurity=impurity, featureSubsetStrategy=feature_subset,
-                                **params)
-    if seed is not None:
-        rf = rf.setSeed(seed)
+                                seed=seed, **params)
     return rf
 
 

@@ -76,8 +76,7 @@ def naive_bayes_fit(features: DataFrame, docs: DataFrame, label_col: str = "labe
 
 
 def naive_bayes_score(model: NaiveBayesModel, features: DataFrame, keys,
-                      label_col: str = "label", class_values=None,
-                      l2_normalize: bool = False) -> DataFrame:
+                      label_col: str = "label", l2_normalize: bool = False) -> DataFrame:
     """Score documents given as long-form features (one row per document
     and bucket, documents without terms as a null-bucket row).
 
@@ -98,9 +97,6 @@ def naive_bayes_score(model: NaiveBayesModel, features: DataFrame, keys,
     keys = list(keys)
     rows = (model.classes.select(label_col, "log_prior", "log_default")
             .orderBy(label_col).collect())
-    if class_values is not None:
-        wanted = {float(v) for v in class_values}
-        rows = [r for r in rows if float(r[0]) in wanted]
     values = [r[0] for r in rows]
     deltas = (model.theta.join(F.broadcast(model.classes.select(label_col, "log_default")),
                                label_col)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The character probes counted per document.
+# The character probes counted per document (a choice, nothing demands them).
 CHAR_PROBES = ("ñ", "ß", "ç", "é", "è", "ü", "ö", "ä", "í", "ó",
                "th", "qu", "sch", "ei", "ou", "the", "ing", "ent")
 

@@ -49,9 +49,9 @@ def quality_scores(spark, sf_dir):
     letters = F.length("text") - F.length(F.translate("text", ASCII_LETTERS, ""))
     score = (F.when(F.length("text") == 0, F.lit(0.0))
               .otherwise(F.lit(1.0) - letters / F.length("text")))
-    return (docs.join(labels, "doc_id")
-                .select("doc_id", score.alias("score"),
-                        F.col("quality").cast("double").alias("label"))
+    # Scored before the join: one double per document goes through it.
+    return (docs.select("doc_id", score.alias("score")).join(labels, "doc_id")
+                .select("doc_id", "score", F.col("quality").cast("double").alias("label"))
                 .withColumn("prediction", F.when(F.col("score") >= 0.25, 1.0).otherwise(0.0)))
 
 

@@ -1,14 +1,12 @@
 """Session creation and the shared folder used to cut lineage.
 
-On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names.
-It is read from the running session; a folder of our own is only set when
-nothing is configured (tests, laptops).
+The shared folder is whatever ``spark.checkpoint.dir`` names; it is read from
+the running session and never written.  Only what cuts lineage needs it.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,18 +39,12 @@ def get_spark(app: str = "sparkclassify", master: str | None = None,
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    checkpoint_root(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and written tables.
-
-    Uses ``spark.checkpoint.dir`` (or a directory already set on the
-    context); only when neither exists, a fresh local folder is created,
-    which is what a test session wants.
-    """
+    """The shared folder for checkpoints and written tables: the one set on
+    the context, or else the one ``spark.checkpoint.dir`` names."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if root:
@@ -60,16 +52,36 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="sparkclassify-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise RuntimeError(
+            "no shared folder: set spark.checkpoint.dir to a folder that the driver and all "
+            "executors can reach, for instance get_spark(extra_conf={'spark.checkpoint.dir': ...})")
     sc.setCheckpointDir(root)
-    return sc.getCheckpointDir() or root
+    return sc.getCheckpointDir()
+
+
+_WRITTEN: list[str] = []
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path below the shared folder for a written table."""
+    """A new, unique path below the shared folder for a written table; it
+    lives until ``release_tables``."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/sparkclassify-{name}-{uuid.uuid4().hex}"
+    path = f"{root}/sparkclassify-{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete every table this process has written below the shared folder.
+    To be called once results that read them have been consumed; returns how
+    many there were."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _WRITTEN:
+        path = hadoop.Path(_WRITTEN.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def table_path(sf_dir: str, name: str) -> str:

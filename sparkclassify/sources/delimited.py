@@ -16,13 +16,16 @@ from pyspark.sql.types import StructType
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType | str,
                    header: bool = True, sep: str = ",", strict: bool = True,
-                   null_value: str | None = None) -> DataFrame:
+                   null_value: str | None = None, empty_value: str | None = None,
+                   multi_line: bool = False) -> DataFrame:
     """Read delimited files.
 
     ``header=True`` skips the first line of *every* file (the original
     skipped one row for the whole data set, which is the same for a single
     file).  ``strict`` selects ``FAILFAST`` versus ``PERMISSIVE`` (bad
-    fields become null).
+    fields become null).  ``empty_value`` is the marker that stands for an
+    empty string (without one it reads as null); ``multi_line`` lets quoted
+    values hold newlines, at the price that a file is read by one task.
     """
     reader = (spark.read.schema(schema)
               .option("header", str(header).lower())
@@ -30,15 +33,26 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | str,
               .option("mode", "FAILFAST" if strict else "PERMISSIVE"))
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
+    if empty_value is not None:
+        reader = reader.option("emptyValue", empty_value)
+    if multi_line:
+        reader = reader.option("multiLine", "true")
     return reader.csv(path)
 
 
 def write_delimited(df: DataFrame, path: str, header: bool = True,
-                    quote_all: bool = False) -> None:
-    (df.write.mode("errorifexists")
-       .option("header", str(header).lower())
-       .option("quoteAll", str(quote_all).lower())
-       .csv(path))
+                    quote_all: bool = False, null_value: str | None = None,
+                    empty_value: str | None = None) -> None:
+    """Write delimited files; ``null_value`` and ``empty_value`` are the
+    markers for nulls and empty strings."""
+    writer = (df.write.mode("errorifexists")
+                .option("header", str(header).lower())
+                .option("quoteAll", str(quote_all).lower()))
+    if null_value is not None:
+        writer = writer.option("nullValue", null_value)
+    if empty_value is not None:
+        writer = writer.option("emptyValue", empty_value)
+    writer.csv(path)
 
 
 def select_positions(df: DataFrame, positions, names=None) -> DataFrame:

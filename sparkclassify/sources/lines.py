@@ -20,13 +20,14 @@ def explode_lines(df: DataFrame, text_col: str = "text", line_col: str = "line",
     Each output row keeps the columns in ``keep`` (e.g. the document id),
     so that lines remain attributable to their document; ``number_col``
     (0-based position) makes ``(id, line_no)`` a key.  The explode is local
-    to the task holding the document: no shuffle.
+    to the task holding the document: no shuffle.  A null text keeps one
+    row with a null line (and number); dropping nulls is the caller's decision.
     """
     parts = F.split(F.col(text_col), "\n")
     keep_cols = [F.col(k) for k in keep]
     if number_col:
-        return df.select(*keep_cols, F.posexplode(parts).alias(number_col, line_col))
-    return df.select(*keep_cols, F.explode(parts).alias(line_col))
+        return df.select(*keep_cols, F.posexplode_outer(parts).alias(number_col, line_col))
+    return df.select(*keep_cols, F.explode_outer(parts).alias(line_col))
 
 
 def write_lines(df: DataFrame, path: str, text_col: str = "text") -> None:

@@ -10,10 +10,11 @@ SF_MEDIUM = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from sparkclassify.session import get_spark
     s = get_spark("sparkclassify-tests", master="local[*]", shuffle_partitions=8,
                   extra_conf={"spark.ui.enabled": "false",
+                              "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
                               "spark.ui.showConsoleProgress": "false"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
