@@ -1,4 +1,10 @@
-"""Hashed TF -> IDF -> L2 -> naive Bayes as one fitted unit (long form).
+"""Hashed TF -> IDF -> L2 -> naive Bayes as one fitted unit.
+
+Two forms: rows of (document, bucket, weight), and one sparse vector per
+document (``fit_text_vectors``).  The vector form is row-local from text to
+score; no exchange carries text or features, whatever the input's layout.
+
+The long form:
 
 This is the six-stage text pipeline (tokenizer, stop words, hashing, IDF,
 normaliser, naive Bayes) with the token steps done by the caller, so the
@@ -10,6 +16,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.feature import IDF, HashingTF, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,3 +86,28 @@ def score_text_naive_bayes(model: TextNaiveBayesModel, df: DataFrame, keys,
     tf = hashed_tf(df, carry, tokens_col, model.num_buckets, model.algo, keep_empty=True)
     return naive_bayes_score(model.nb, tfidf(tf, model.idf), carry, label_col or "label",
                              l2_normalize=True)
+
+
+def fit_text_vectors(train: DataFrame, tokens_col: str = "terms", label_col: str = "label",
+                     num_features: int = 10000, smoothing: float = 1.0) -> PipelineModel:
+    """HashingTF -> IDF -> Normalizer -> NaiveBayes fitted on token arrays.
+
+    The training term vectors are written once to the shared folder; the two
+    fits, each a tree aggregate of fixed-size vectors, read them there."""
+    hashing = HashingTF(inputCol=tokens_col, outputCol="tf", numFeatures=num_features)
+    tf = materialize(hashing.transform(train.select(label_col, tokens_col)).select(label_col, "tf"), "tf")
+    idf = IDF(inputCol="tf", outputCol="tfidf").fit(tf)
+    unit = Normalizer(inputCol="tfidf", outputCol="features", p=2.0)
+    bayes = NaiveBayes(featuresCol="features", labelCol=label_col, smoothing=smoothing,
+                       modelType="multinomial").fit(unit.transform(idf.transform(tf)))
+    return PipelineModel(stages=[hashing, idf, unit, bayes])
+
+
+def score_text_vectors(model: PipelineModel, df: DataFrame, keep) -> DataFrame:
+    """``keep..., prediction, score, probability``: the winning class, its
+    raw score and its probability."""
+    out = model.transform(df)
+    best = F.col("prediction").cast("int") + 1
+    return out.select(*keep, "prediction",
+                      F.element_at(vector_to_array("rawPrediction"), best).alias("score"),
+                      F.element_at(vector_to_array("probability"), best).alias("probability"))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_text, java_trim, strip_punctuation
-from ..operators.partitioning import by_key, is_narrow, spread
+from ..functions.text import java_trim, strip_punctuation
+from ..operators.partitioning import spread
+from ..operators.sampling import hash_split
 from ..operators.text import clean_column, remove_stop_words, tokenize
+from ..operators.vectors import label_indexer
 from ..session import load_table
 from ..sources.lines import explode_lines
 
@@ -17,58 +19,35 @@ def english_label(lang_col: str = "lang"):
     return F.when(F.col(lang_col) == "en", F.lit(0.0)).otherwise(F.lit(1.0))
 
 
-def documents(spark: SparkSession, sf_dir: str, cols, by_doc: bool = False) -> DataFrame:
-    """Columns of ``documents``; with ``by_doc`` hash-partitioned by
-    ``doc_id`` straight after the scan, so that the per-document text work
-    after it runs in parallel and every later aggregate or window keyed by
-    the document finds its input clustered (see ``partitioning.by_key``)."""
-    docs = load_table(spark, sf_dir, "documents").select(*cols)
-    return by_key(docs, "doc_id") if by_doc else spread(docs, "doc_id")
+def documents(spark: SparkSession, sf_dir: str, cols) -> DataFrame:
+    """Columns of ``documents``, spread over the task slots when the scan has
+    fewer splits (see ``partitioning.spread``); what follows is the same
+    row-local plan either way."""
+    return spread(load_table(spark, sf_dir, "documents").select(*cols), "doc_id")
 
 
-LINE_KEY = ("doc_id", "line_no")
-
-
-def document_lines(spark: SparkSession, sf_dir: str, by_line: bool = False) -> DataFrame:
-    """``documents`` split into lines: (doc_id, line_no, label, line).
-
-    With ``by_line`` the lines are hash-partitioned by (doc_id, line_no)
-    right after the task-local split: every later aggregate or window per
-    line finds its input clustered, and a document holding a large share
-    of all lines is spread over all tasks instead of loading one."""
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` split into lines: (doc_id, line_no, label, line)."""
     docs = documents(spark, sf_dir, ["doc_id", english_label().alias("label"), "text"])
-    lines = explode_lines(docs, "text", "line", "line_no", keep=("doc_id", "label"))
-    return by_key(lines, LINE_KEY) if by_line else lines
+    return explode_lines(docs, "text", "line", "line_no", keep=("doc_id", "label"))
 
 
-def clean_lines(spark: SparkSession, sf_dir: str, by_line: bool = False) -> DataFrame:
+def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, line_no, label, clean): each line stripped, trimmed and
     lower-cased.
 
     Stripping and lower-casing map characters one by one and keep the
-    newline, so on a wide scan they run once per document in the scan
-    tasks, before the split, and shrink what the exchange by line moves;
-    only the trim is per line.  On a narrow scan (few splits) the raw lines
-    are exchanged first and cleaned in parallel after it, which saves the
-    extra exchange that spreading the documents would cost."""
-    scan = load_table(spark, sf_dir, "documents")
-    label = english_label().alias("label")
-    if by_line and is_narrow(scan):
-        lines = explode_lines(scan.select("doc_id", label, "text"), "text", "line", "line_no",
-                              keep=("doc_id", "label"))
-        lines = by_key(lines, LINE_KEY)
-        return lines.select("doc_id", "line_no", "label", clean_text("line").alias("clean"))
-    docs = documents(spark, sf_dir, ["doc_id", label,
-                                     F.lower(strip_punctuation("text")).alias("text")])
+    newline, so they run once per document, before the split; only the trim
+    is per line."""
+    docs = documents(spark, sf_dir, ["doc_id", english_label().alias("label"), "text"])
+    docs = docs.select("doc_id", "label", F.lower(strip_punctuation("text")).alias("text"))
     lines = explode_lines(docs, "text", "line", "line_no", keep=("doc_id", "label"))
-    if by_line:
-        lines = by_key(lines, LINE_KEY)
     return lines.select("doc_id", "line_no", "label", java_trim("line").alias("clean"))
 
 
-def line_terms(spark: SparkSession, sf_dir: str, by_line: bool = False) -> DataFrame:
+def line_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, line_no, label, terms): tokenised, stop words removed."""
-    toks = tokenize(clean_lines(spark, sf_dir, by_line), "clean", "words")
+    toks = tokenize(clean_lines(spark, sf_dir), "clean", "words")
     return remove_stop_words(toks, "words", "terms").select(
         "doc_id", "line_no", "label", "terms")
 
@@ -77,16 +56,16 @@ def line_terms(spark: SparkSession, sf_dir: str, by_line: bool = False) -> DataF
 SPLIT_SEED = 98765
 
 
-def doc_terms(spark: SparkSession, sf_dir: str, by_doc: bool = False) -> DataFrame:
+def doc_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents: (doc_id, lang, terms)."""
-    docs = documents(spark, sf_dir, ["doc_id", "lang", "text"], by_doc)
+    docs = documents(spark, sf_dir, ["doc_id", "lang", "text"])
     toks = tokenize(clean_column(docs, "text", "clean"), "clean", "words")
     return remove_stop_words(toks, "words", "terms").select("doc_id", "lang", "terms")
 
 
-def with_lang_label(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Index ``lang`` (most frequent -> 0.0, ties alphabetical), fitted on
-    all documents."""
-    from ..operators.vectors import label_indexer
-    docs = load_table(spark, sf_dir, "documents").select("lang")
-    return label_indexer("lang", "label").fit(docs).transform(df)
+def lang_label_model(spark: SparkSession, sf_dir: str, split):
+    """Indexer of ``lang`` (most frequent -> 0.0, ties alphabetical), fitted
+    on the training part of a split by document."""
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "lang")
+    train = hash_split(docs, ["doc_id"], list(split), SPLIT_SEED)[0]
+    return label_indexer("lang", "label", handle_invalid="skip").fit(train)

@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.features import hashed_tf, idf_fit, l2_normalize, tfidf
-from ..operators.naive_bayes import naive_bayes_fit
-from ..operators.sampling import with_split_part
-from ..operators.text_model import fit_text_naive_bayes, score_text_naive_bayes
+from ..operators.sampling import hash_split
+from ..operators.text_model import fit_text_naive_bayes, fit_text_vectors, score_text_vectors
+from ..session import materialize
 from . import sqlparts as S
 from .catalog import register
-from .common import SPLIT_SEED, doc_terms, document_lines, line_terms, with_lang_label
+from .common import SPLIT_SEED, doc_terms, lang_label_model, line_terms
 
 LINE_KEYS = ["doc_id", "line_no"]
 
+_MURMUR_SQL = f"""WITH {S.LINE_TERMS},
+exploded AS (SELECT doc_id, line_no, unnest(terms) AS term FROM line_terms),
+{S.murmur3_buckets('exploded', byte_tail=True)}
+SELECT doc_id, line_no, bucket, CAST(count(*) AS DOUBLE) AS tf
+FROM exploded JOIN term_bucket USING (term) GROUP BY ALL"""
+
 _TF_SQL = f"""WITH {S.LINE_TERMS},
 tf AS (
   SELECT doc_id, line_no, {S.md5_bucket('term')} AS bucket, CAST(count(*) AS DOUBLE) AS tf
@@ -29,24 +35,23 @@ w AS (SELECT doc_id, line_no, bucket, tf * idf AS weight FROM tf JOIN idf USING
 @register("hashed_tf", _TF_SQL + "\nSELECT doc_id, line_no, bucket, tf FROM tf")
 def hashed_tf_query(spark, sf_dir):
     """Term counts per (line, md5 bucket of 10000)."""
-    return hashed_tf(line_terms(spark, sf_dir, by_line=True), LINE_KEYS, "terms", 10000, "md5")
+    return hashed_tf(line_terms(spark, sf_dir), LINE_KEYS, "terms", 10000, "md5")
 
 
-@register("hashed_tf_murmur3")
+@register("hashed_tf_murmur3", _MURMUR_SQL)
 def hashed_tf_murmur3(spark, sf_dir):
-    """Same with the Murmur3 buckets of the original runs (no SQL engine
-    besides Spark has this hash; golden buckets are checked in tests)."""
-    return hashed_tf(line_terms(spark, sf_dir, by_line=True), LINE_KEYS, "terms", 10000,
-                     "murmur3")
+    """Same with the Murmur3 buckets of the original runs."""
+    return hashed_tf(line_terms(spark, sf_dir), LINE_KEYS, "terms", 10000, "murmur3")
 
 
 def _line_tf_idf(spark, sf_dir):
-    # Clustered by line: the TF aggregate and the L2 window need no exchange.
-    terms = line_terms(spark, sf_dir, by_line=True)
-    tf = hashed_tf(terms, LINE_KEYS, "terms", 10000, "md5")
-    # The IDF counts lines, including lines without terms; the raw line
-    # split has the same rows and needs no cleaning to be counted.
-    return tf, idf_fit(tf, document_lines(spark, sf_dir).select("doc_id"))
+    """(TF rows, IDF): terms are exploded, hashed and counted once; the
+    written TF table, which keeps lines without terms, also gives the number
+    of lines."""
+    tf = materialize(hashed_tf(line_terms(spark, sf_dir), LINE_KEYS, "terms", 10000, "md5",
+                               keep_empty=True), "tf")
+    lines = tf.select(*LINE_KEYS).distinct()
+    return tf.where(F.col("bucket").isNotNull()), idf_fit(tf, lines)
 
 
 @register("idf_weights", _TF_SQL + "\nSELECT bucket, doc_freq, idf FROM idf", round6=('idf',))
@@ -73,37 +78,37 @@ def l2_normalize_query(spark, sf_dir):
 
 
 # Whole documents, 4 languages: label = index of lang, split by doc id.
-_DOC_SRC = f"""WITH {S.DOC_TERMS}, {S.LANG_INDEX},
+_DOC_SRC = f"""WITH {S.DOC_TERMS}, {S.lang_index(S.split_part(['doc_id'], [0.8, 0.2], SPLIT_SEED) + ' = 0')},
 src AS (
   SELECT doc_id, li.label, terms, {S.split_part(['doc_id'], [0.8, 0.2], SPLIT_SEED)} AS part
   FROM doc_terms JOIN lang_index li USING (lang)),
-{S.nb_chain('src', 'doc_id')}"""
+{{chain}}"""
+_LONG_SQL = _DOC_SRC.format(chain=S.nb_chain('src', 'doc_id'))
+_VECTOR_SQL = _DOC_SRC.format(chain=S.nb_chain('src', 'doc_id', murmur=True))
 
 
-def _doc_parts(spark, sf_dir, by_doc=False):
-    docs = with_lang_label(doc_terms(spark, sf_dir, by_doc), spark, sf_dir)
-    docs = with_split_part(docs, ["doc_id"], [0.8, 0.2], SPLIT_SEED)
-    return docs.where(F.col("part") == 0), docs.where(F.col("part") == 1)
+def _doc_parts(spark, sf_dir):
+    split = [0.8, 0.2]
+    docs = lang_label_model(spark, sf_dir, split).transform(doc_terms(spark, sf_dir))
+    return hash_split(docs.select("doc_id", "label", "terms"), ["doc_id"], split, SPLIT_SEED)
 
 
-@register("nb_model", _DOC_SRC + """
+@register("nb_model", _LONG_SQL + """
 SELECT th.label, th.bucket, c.log_prior, th.log_theta
 FROM nb_theta th JOIN nb_c c USING (label)""", round6=('log_prior', 'log_theta'))
 def nb_model(spark, sf_dir):
     """Fitted long-form model: per (class, bucket) log prior and log theta."""
     train, _ = _doc_parts(spark, sf_dir)
-    tf = hashed_tf(train, ["doc_id", "label"], "terms", 10000, "md5", keep_empty=True)
-    feats = l2_normalize(tfidf(tf, idf_fit(tf, train)), ["doc_id"])
-    model = naive_bayes_fit(feats, train.select("label"))
+    model = fit_text_naive_bayes(train, ["doc_id"], algo="md5").nb
     return (model.theta.join(model.classes.select("label", "log_prior"), "label")
             .select("label", "bucket", "log_prior", "log_theta"))
 
 
-@register("nb_score", _DOC_SRC + """
+@register("nb_score", _VECTOR_SQL + """
 SELECT doc_id, label, prediction, score, probability FROM nb_scored""",
           round6=("score", "probability"))
 def nb_score(spark, sf_dir):
-    """Held-out documents scored by the model fitted on the training part."""
-    train, test = _doc_parts(spark, sf_dir, by_doc=True)
-    model = fit_text_naive_bayes(train, ["doc_id"], algo="md5")
-    return score_text_naive_bayes(model, test, ["doc_id"])
+    """Held-out documents scored by the vector-form model fitted on the
+    training part."""
+    train, test = _doc_parts(spark, sf_dir)
+    return score_text_vectors(fit_text_vectors(train), test, ["doc_id", "label"])

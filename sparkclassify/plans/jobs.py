@@ -22,7 +22,7 @@ from ..operators.metrics import area_under_pr, area_under_roc, classification_su
 from ..operators.models import build_pipeline, logistic_regression, random_forest, score
 from ..operators.partitioning import for_iterations
 from ..operators.sampling import hash_split
-from ..operators.text_model import fit_text_naive_bayes, score_text_naive_bayes
+from ..operators.text_model import fit_text_vectors, score_text_vectors
 from ..operators.tuning import (IMPURITY_GRID, MAX_DEPTH_GRID, NUM_TREES_GRID,
                                 TUNER_SEED, holdout_search)
 from ..operators.vectors import assembler, label_indexer
@@ -141,32 +141,29 @@ def job_logistic_binary_eval(spark, sf_dir):
         F.col("auroc"), hard_roc.alias("auroc_hard"), hard_pr.alias("aupr_hard"))
 
 
-def text_naive_bayes(spark, sf_dir, algo: str = "murmur3", num_buckets: int = 10000,
-                     split=(0.8, 0.2), smoothing: float = 1.0):
-    """J4: document lines -> clean -> tokens -> stop words; split by
-    document; TF-IDF + naive Bayes fitted on the training lines; the test
-    lines scored.  Lines are hash-partitioned by (doc_id, line_no) once,
-    so counting terms, normalising and scoring per line need no further
-    exchange of line data."""
-    terms = line_terms(spark, sf_dir, by_line=True)
+def text_naive_bayes(spark, sf_dir, num_features: int = 10000, split=(0.8, 0.2),
+                     smoothing: float = 1.0):
+    """J4: document lines -> clean -> tokens -> stop words -> hashed TF ->
+    IDF -> L2 -> naive Bayes, one row per line throughout; split by document,
+    fitted on the training lines, the test lines scored."""
+    terms = line_terms(spark, sf_dir)
     train, test = hash_split(terms, ["doc_id"], list(split), SPLIT_SEED)
-    keys = ["doc_id", "line_no"]
-    model = fit_text_naive_bayes(train, keys, "terms", "label", num_buckets, algo, smoothing)
-    return score_text_naive_bayes(model, test, keys, "terms", "label")
+    model = fit_text_vectors(train, "terms", "label", num_features, smoothing)
+    return score_text_vectors(model, test, ["doc_id", "line_no", "label"])
 
 
 _J4_SQL = f"""WITH {S.LINE_TERMS},
 src AS (SELECT doc_id, line_no, label, terms,
   {S.split_part(['doc_id'], [0.8, 0.2], SPLIT_SEED)} AS part FROM line_terms),
-{S.nb_chain('src', 'doc_id, line_no')}"""
+{S.nb_chain('src', 'doc_id, line_no', murmur=True)}"""
 
 
 @register("job_text_naive_bayes", _J4_SQL + """
 SELECT doc_id, line_no, label, prediction, score, probability FROM nb_scored""",
           round6=("score", "probability"))
 def job_text_naive_bayes(spark, sf_dir):
-    """J4 with md5 buckets, so that SQL can check every score."""
-    return text_naive_bayes(spark, sf_dir, algo="md5")
+    """J4: held-out lines with their predictions; SQL checks every score."""
+    return text_naive_bayes(spark, sf_dir)
 
 
 @register("job_text_naive_bayes_eval", _J4_SQL + """,
@@ -189,4 +186,4 @@ SELECT CAST(sum(n_label) AS BIGINT) AS n, sum(tp) / sum(n_label) AS accuracy,
 def job_text_naive_bayes_eval(spark, sf_dir):
     """J4 evaluated: accuracy, weighted precision / recall / F1 of the
     held-out lines (the original job computed none)."""
-    return classification_summary(text_naive_bayes(spark, sf_dir, algo="md5"))
+    return classification_summary(text_naive_bayes(spark, sf_dir))

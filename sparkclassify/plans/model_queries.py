@@ -4,18 +4,19 @@ quality floors instead."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators.models import (build_pipeline, feature_importances, lr_coefficients,
                                 random_forest, score, text_naive_bayes_pipeline)
 from ..operators.sampling import hash_split
+from ..operators.text_model import score_text_vectors
 from ..operators.tuning import search_results
+from ..session import materialize
 from ..operators.vectors import assembler, label_indexer
 from .catalog import register
 from .common import SPLIT_SEED, clean_lines
 from .doc_features import feature_names
-from .jobs import QUERY_GRID, doc_stat_table, logistic_job, persisted, tuned_forest
+from .jobs import _J4_SQL, QUERY_GRID, doc_stat_table, logistic_job, persisted, tuned_forest
 
 
 def _forest_model(spark, sf_dir):
@@ -60,18 +61,19 @@ def lr_training_summary(spark, sf_dir):
         "doc_id", "label", "prediction")
 
 
-@register("nb_pipeline")
+@register("nb_pipeline", _J4_SQL + """
+SELECT doc_id, line_no, label, prediction, score, probability FROM nb_scored""",
+          round6=("score", "probability"))
 def nb_pipeline(spark, sf_dir):
-    """Vector-form six-stage text pipeline on document lines (English or
-    not), fitted on the training documents' lines."""
+    """Vector-form six-stage text pipeline (Tokenizer, StopWordsRemover,
+    HashingTF, IDF, Normalizer, NaiveBayes) as one ``Pipeline`` on document
+    lines (English or not), fitted on the training documents' lines."""
     lines = clean_lines(spark, sf_dir)
     train, test = hash_split(lines, ["doc_id"], [0.8, 0.2], SPLIT_SEED)
-    # IDF and naive Bayes each pass over the training lines: keep them
-    # (all partitions: tokenising and hashing run again in each pass).
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    # IDF and naive Bayes each pass over the training lines.
+    train = materialize(train, "lines")
     model = text_naive_bayes_pipeline("clean", "label").fit(train)
-    train.unpersist()
-    return score(model, test, keep=["doc_id", "line_no", "label"])
+    return score_text_vectors(model, test, ["doc_id", "line_no", "label"])
 
 
 @register("tuned_rf_predict")

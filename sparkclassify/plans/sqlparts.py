@@ -73,9 +73,49 @@ line_terms AS (
 DOC_TERMS = f"""doc_terms AS (
   SELECT doc_id, lang, {no_stop_words(tokens(clean('text')))} AS terms FROM documents)"""
 
-LANG_INDEX = """lang_index AS (
+def lang_index(where: str = "true") -> str:
+    """Label index of ``lang`` fitted on the documents of ``where``."""
+    return f"""lang_index AS (
   SELECT lang, CAST(row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS DOUBLE) AS label
-  FROM documents GROUP BY lang)"""
+  FROM documents WHERE {where} GROUP BY lang)"""
+
+
+LANG_INDEX = lang_index()
+
+
+def murmur3_buckets(terms: str, n: int = 10000, byte_tail: bool = False) -> str:
+    """CTE ``term_bucket(term, bucket)`` of the distinct ASCII terms of the
+    relation ``terms(term)``: 32-bit Murmur3, seed 42, over the bytes, then a
+    positive modulus.  ``byte_tail`` mixes each byte after the last whole
+    block as a block of its own (Spark SQL's ``hash``, the original runs);
+    without it the tail is mixed the standard way (``HashingTF`` since 3.0)."""
+    low = "4294967295::UBIGINT"
+
+    def byte(i):
+        return f"CAST(unicode(substr(term, CAST({i} AS BIGINT), 1)) AS UBIGINT)"
+
+    def times(x, c):
+        return f"(({x} * {c}::UBIGINT) & {low})"
+
+    def turn(x, by):
+        return f"((({x} << {by}) | ({x} >> {32 - by})) & {low})"
+
+    def scramble(k):
+        return times(turn(times(k, 0xCC9E2D51), 15), 0x1B873593)
+
+    blocks = f"[{byte('4 * i + 1')} + 256 * {byte('4 * i + 2')} + 65536 * {byte('4 * i + 3')} + 16777216 * {byte('4 * i + 4')} FOR i IN range(n // 4)]"
+    rest = f"[{byte('i')} FOR i IN range(4 * (n // 4) + 1, n + 1)]"
+    tail = " + ".join(f"(CASE WHEN n % 4 > {i} THEN {byte(f'4 * (n // 4) + {i + 1}')} ELSE 0::UBIGINT END) * {256 ** i}" for i in range(3))
+    step = f"(({turn('xor(h, ' + scramble('k') + ')', 13)} * 5::UBIGINT + 3864292196::UBIGINT) & {low})"
+    return f"""mm0 AS (SELECT DISTINCT term, strlen(term) AS n FROM {terms} WHERE term IS NOT NULL),
+mm1 AS (SELECT term, n, {f'list_concat({blocks}, {rest})' if byte_tail else blocks} AS parts,
+  {'0::UBIGINT' if byte_tail else tail} AS tail FROM mm0),
+mm2 AS (SELECT term, xor(xor(list_reduce(list_concat([42::UBIGINT], parts), lambda h, k: {step}),
+  {scramble('tail')}), CAST(n AS UBIGINT)) AS h FROM mm1),
+mm3 AS (SELECT term, {times('xor(h, h >> 16)', 0x85EBCA6B)} AS h FROM mm2),
+mm4 AS (SELECT term, {times('xor(h, h >> 13)', 0xC2B2AE35)} AS h FROM mm3),
+mm5 AS (SELECT term, CAST(xor(h, h >> 16) AS BIGINT) AS h FROM mm4),
+term_bucket AS (SELECT term, CAST((((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % {n}) + {n}) % {n} AS INTEGER) AS bucket FROM mm5)"""
 
 
 def unnest_outer(terms: str) -> str:
@@ -83,20 +123,24 @@ def unnest_outer(terms: str) -> str:
     return f"unnest(CASE WHEN len({terms}) = 0 THEN [NULL]::VARCHAR[] ELSE {terms} END)"
 
 
-def nb_chain(src: str, keys: str, n: int = 10000, lam: float = 1.0) -> str:
+def nb_chain(src: str, keys: str, n: int = 10000, lam: float = 1.0, murmur: bool = False) -> str:
     """CTEs for the text naive Bayes pipeline over ``src`` (columns
     ``keys``, ``label``, ``terms``, ``part``; part 0 trains, 1 tests):
-    md5 TF -> IDF (train) -> TF-IDF -> L2 -> NB fit -> test scores.
+    TF (md5 buckets, or with ``murmur`` those of ``HashingTF``) -> IDF
+    (train) -> TF-IDF -> L2 -> NB fit -> test scores.
     Defines ``nb_theta`` and ``nb_scored``."""
-    b = md5_bucket("term", n)
+    b = "bucket" if murmur else md5_bucket("term", n)
+    look = " LEFT JOIN term_bucket USING (term)" if murmur else ""
+    before = (f"src_terms AS (SELECT unnest(terms) AS term FROM {src}),\n" + murmur3_buckets("src_terms", n) + ",\n"
+              if murmur else "")
     part_keys = keys
-    return f"""nb_train AS (SELECT * FROM {src} WHERE part = 0),
+    return before + f"""nb_train AS (SELECT * FROM {src} WHERE part = 0),
 nb_test AS (SELECT * FROM {src} WHERE part = 1),
 nb_m AS (SELECT CAST(count(*) AS DOUBLE) AS m FROM nb_train),
 nb_tf AS (
   SELECT {keys}, label, CASE WHEN term IS NULL THEN NULL ELSE {b} END AS bucket,
     CAST(count(term) AS DOUBLE) AS tf
-  FROM (SELECT {keys}, label, {unnest_outer('terms')} AS term FROM nb_train)
+  FROM (SELECT {keys}, label, {unnest_outer('terms')} AS term FROM nb_train){look}
   GROUP BY ALL),
 nb_idf AS (
   SELECT bucket, ln(((SELECT m FROM nb_m) + 1.0) / (count(*) + 1.0)) AS idf
@@ -125,7 +169,7 @@ nb_theta AS (
 nb_ttf AS (
   SELECT {keys}, label, CASE WHEN term IS NULL THEN NULL ELSE {b} END AS bucket,
     CAST(count(term) AS DOUBLE) AS tf
-  FROM (SELECT {keys}, label, {unnest_outer('terms')} AS term FROM nb_test)
+  FROM (SELECT {keys}, label, {unnest_outer('terms')} AS term FROM nb_test){look}
   GROUP BY ALL),
 nb_tw AS (
   SELECT {keys}, label, bucket,
