@@ -160,19 +160,30 @@ def binary_curve(scored: DataFrame, score_col: str = "score", label_col: str = "
         (F.col("tp") + F.col("fp") == n_pos + n_neg).alias("is_last"))
 
 
+def _roc_area():
+    closing = F.when(F.col("is_last"), (1 - F.col("fpr")) * (F.col("tpr") + 1) / 2).otherwise(0.0)
+    return F.sum((F.col("fpr") - F.col("prev_fpr")) * (F.col("tpr") + F.col("prev_tpr")) / 2 + closing).alias("auroc")
+
+
+def _pr_area():
+    return F.sum((F.col("tpr") - F.col("prev_tpr"))
+                 * (F.col("precision") + F.col("prev_precision")) / 2).alias("aupr")
+
+
 def area_under_roc(scored: DataFrame, score_col: str = "score", label_col: str = "label",
                    num_blocks: int | None = None) -> DataFrame:
     """Trapezoids between consecutive ROC points, from (0, 0) to (1, 1)."""
-    c = binary_curve(scored, score_col, label_col, num_blocks)
-    closing = F.when(F.col("is_last"), (1 - F.col("fpr")) * (F.col("tpr") + 1) / 2).otherwise(0.0)
-    return c.agg(F.sum((F.col("fpr") - F.col("prev_fpr"))
-                       * (F.col("tpr") + F.col("prev_tpr")) / 2 + closing).alias("auroc"))
+    return binary_curve(scored, score_col, label_col, num_blocks).agg(_roc_area())
 
 
 def area_under_pr(scored: DataFrame, score_col: str = "score", label_col: str = "label",
                   num_blocks: int | None = None) -> DataFrame:
     """Trapezoids over (recall, precision), starting at recall 0 with the
     precision of the first threshold."""
-    c = binary_curve(scored, score_col, label_col, num_blocks)
-    return c.agg(F.sum((F.col("tpr") - F.col("prev_tpr"))
-                       * (F.col("precision") + F.col("prev_precision")) / 2).alias("aupr"))
+    return binary_curve(scored, score_col, label_col, num_blocks).agg(_pr_area())
+
+
+def both_areas(scored: DataFrame, score_col: str = "score", label_col: str = "label",
+               num_blocks: int | None = None) -> DataFrame:
+    """``auroc`` and ``aupr`` from one curve."""
+    return binary_curve(scored, score_col, label_col, num_blocks).agg(_roc_area(), _pr_area())

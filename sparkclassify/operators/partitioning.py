@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from ..session import materialize
+
+FIT_PARTITIONS = 8
+
 
 def by_key(df: DataFrame, keys, num_partitions: int | None = None) -> DataFrame:
-    """Hash-partition rows by ``keys`` once, up front.
-
-    Every later aggregate or window keyed by a superset of ``keys`` (term
-    counts per (doc, bucket), the L2 norm per doc, naive Bayes scores per
-    doc) then finds its input already clustered and plans no exchange.
-    For text this moves the compact raw text once instead of the exploded
-    (doc, bucket, weight) rows two or three times.  The partition count
-    defaults to ``spark.sql.shuffle.partitions``; AQE may coalesce.
-    """
+    """Hash-partition rows by ``keys``; later aggregates and windows keyed by
+    a superset of them find their input clustered.  The partition count
+    defaults to ``spark.sql.shuffle.partitions``; AQE may coalesce."""
     cols = [keys] if isinstance(keys, str) else list(keys)
     if num_partitions:
         return df.repartition(num_partitions, *cols)
@@ -32,32 +33,30 @@ def spread(df: DataFrame, keys, min_partitions: int | None = None) -> DataFrame:
     scan but runs no job.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if not is_narrow(df, want):
+    if df.rdd.getNumPartitions() >= want:
         return df
     cols = [keys] if isinstance(keys, str) else list(keys)
     return df.repartition(want, *cols)
 
 
-def is_narrow(df: DataFrame, min_partitions: int | None = None) -> bool:
-    """Fewer partitions than task slots (plans the scan, runs no job)."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.rdd.getNumPartitions() < want
-
-
-def for_iterations(df: DataFrame, rows_per_partition: int = 1_000_000) -> DataFrame:
-    """Persist a training table that an estimator will scan many times
-    (one Spark job per L-BFGS step or tree level) and give it as many
-    partitions as its row count needs.
+def fit_table(df: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """A feature table for iterative fits: computed once into the shared
+    folder, then read in one layout, ``partitions`` hash partitions of ``key``
+    in key order.
 
-    The count is the action that fills the cache.  Too many tiny
-    partitions cost a task each and an extra tree-aggregate level in every
-    iteration; merging cached partitions with ``coalesce`` moves no data.
-    A table of 10^9 rows keeps 1000 partitions, one of 10^4 rows gets one.
+    Tree bagging and sampling draw per partition, so a fixed layout makes a
+    fit the same on any cluster and for any layout of the input.  Feature rows
+    are small; raise ``partitions`` so that one fits in a task's memory.
     """
-    from pyspark import StorageLevel
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = cached.count()
-    want = max(1, -(-rows // rows_per_partition))
-    if cached.rdd.getNumPartitions() > want:
-        return cached.coalesce(want)
-    return cached
+    written = materialize(df, "features")
+    return written.repartition(partitions, key).sortWithinPartitions(key)
+
+
+@contextmanager
+def kept(df: DataFrame):
+    """``df`` persisted while a fit passes over it many times."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()

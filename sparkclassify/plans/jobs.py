@@ -15,18 +15,18 @@ the split is the same on any cluster.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.metrics import area_under_pr, area_under_roc, classification_summary
-from ..operators.models import build_pipeline, logistic_regression, random_forest, score
-from ..operators.partitioning import for_iterations
+from ..operators.metrics import area_under_roc, both_areas, classification_summary
+from ..operators.models import build_pipeline, logistic_regression, random_forest
+from ..operators.partitioning import fit_table, kept
 from ..operators.sampling import hash_split
 from ..operators.text_model import fit_text_vectors, score_text_vectors
-from ..operators.tuning import (IMPURITY_GRID, MAX_DEPTH_GRID, NUM_TREES_GRID,
-                                TUNER_SEED, holdout_search)
+from ..operators.tuning import IMPURITY_GRID, MAX_DEPTH_GRID, NUM_TREES_GRID, holdout_search
 from ..operators.vectors import assembler, label_indexer
-from ..session import load_table
+from ..session import load_table, materialize
 from . import sqlparts as S
 from .catalog import register
 from .common import SPLIT_SEED, documents, line_terms
@@ -34,11 +34,6 @@ from .doc_features import char_statistics, feature_names
 
 FULL_GRID = {"numTrees": NUM_TREES_GRID, "maxDepth": MAX_DEPTH_GRID,
              "impurity": IMPURITY_GRID}
-# The registered queries search 4 candidates; 120 sequential forest fits
-# take many minutes even on tiny data.
-QUERY_GRID = {"numTrees": (8, 16), "maxDepth": (4, 10)}
-
-
 def doc_stat_table(spark, sf_dir, target: str = "lang") -> DataFrame:
     """(doc_id, target, features...) for all documents (``lang``) or for
     the labelled ones (``quality``)."""
@@ -51,44 +46,55 @@ def doc_stat_table(spark, sf_dir, target: str = "lang") -> DataFrame:
     return stats.drop("lang").join(labels, "doc_id")
 
 
-def persisted(df: DataFrame) -> DataFrame:
-    """Keep a feature table for the many passes a fit makes over it.
-    Feature rows are small (tens of doubles per document) next to the
-    text they are computed from, so the text is scanned once."""
-    return for_iterations(df)
+def prepare(train: DataFrame, target: str):
+    """Indexer and assembler fitted on the training part, as one model."""
+    return build_pipeline(label_indexer(target, "label", handle_invalid="skip"),
+                          assembler(feature_names(), "features")).fit(train)
 
 
-def tuned_forest(data: DataFrame, target: str, grid=None, split=(0.85, 0.15),
-                 tuner_ratio: float = 0.85, parallelism: int = 4):
-    """Split -> [indexer, assembler, forest] pipeline tuned by hold-out
-    search on the training part -> scored test part.
+_SEARCHES: dict = {}
 
-    Returns ``(test_predictions, tvs_model)``."""
-    data = persisted(data)
-    train, test = hash_split(data, ["doc_id"], list(split), SPLIT_SEED)
-    rf = random_forest("features", "label", feature_subset="sqrt")
-    pipe = build_pipeline(label_indexer(target, "label"),
-                          assembler(feature_names(), "features"), rf)
-    model = holdout_search(pipe, rf, grid or FULL_GRID, train, "label",
-                           tuner_ratio, TUNER_SEED, parallelism)
-    predictions = score(model, test, keep=["doc_id", target, "label"])
-    return predictions, model
+
+def forest_search(spark, sf_dir, target: str, tuner_ratio: float, grid=None) -> tuple:
+    """``(data parts, preparation, search)`` of a tuned forest job.  The
+    search itself (120 numbers) is remembered for the session, so queries
+    that report on one job do not repeat it."""
+    data = fit_table(doc_stat_table(spark, sf_dir, target), "doc_id")
+    train, test = hash_split(data, ["doc_id"], [0.85, 0.15], SPLIT_SEED)
+    ready = prepare(train, target)
+    known = (spark.sparkContext.applicationId, sf_dir, target, tuner_ratio, str(grid))
+    if known not in _SEARCHES:
+        _SEARCHES[known] = holdout_search(random_forest(), grid or FULL_GRID, ready.transform(train),
+                                          train_ratio=tuner_ratio)
+    return train, test, ready, _SEARCHES[known]
+
+
+def tuned_forest(spark, sf_dir, target: str, tuner_ratio: float, grid=None):
+    """Search on the training part, refit the winner on all of it, score the
+    test part: ``(scored test rows, fitted forest, search)``."""
+    train, test, ready, search = forest_search(spark, sf_dir, target, tuner_ratio, grid)
+    names = {"numTrees": "num_trees", "maxDepth": "max_depth", "impurity": "impurity"}
+    best = random_forest(**{names[k]: v for k, v in search.candidates[search.best].items()})
+    with kept(ready.transform(train)) as prepared:
+        model = best.fit(prepared)
+    return model.transform(ready.transform(test)), model, search
+
+
+def forest_job(spark, sf_dir, target: str, tuner_ratio: float) -> DataFrame:
+    scored, _, _ = tuned_forest(spark, sf_dir, target, tuner_ratio)
+    return scored.select("doc_id", target, "label", "prediction")
 
 
 @register("job_tuned_forest_multiclass")
-def job_tuned_forest_multiclass(spark, sf_dir, grid=QUERY_GRID):
+def job_tuned_forest_multiclass(spark, sf_dir):
     """J1: test predictions of the tuned 4-language forest."""
-    preds, _ = tuned_forest(doc_stat_table(spark, sf_dir, "lang"), "lang", grid,
-                            (0.85, 0.15), 0.85)
-    return preds
+    return forest_job(spark, sf_dir, "lang", 0.85)
 
 
 @register("job_tuned_forest_binary")
-def job_tuned_forest_binary(spark, sf_dir, grid=QUERY_GRID):
+def job_tuned_forest_binary(spark, sf_dir):
     """J2: test predictions of the tuned quality forest."""
-    preds, _ = tuned_forest(doc_stat_table(spark, sf_dir, "quality"), "quality", grid,
-                            (0.85, 0.15), 0.80)
-    return preds
+    return forest_job(spark, sf_dir, "quality", 0.80)
 
 
 @register("job_tuned_forest_multiclass_eval")
@@ -105,40 +111,37 @@ def job_tuned_forest_binary_eval(spark, sf_dir):
 
 def logistic_job(spark, sf_dir, split=(0.75, 0.25), reg_param: float = 0.0):
     """J3 core: [indexer, assembler, LR] fitted on the training part.
-    Returns ``(test_predictions_with_p, pipeline_model)``; ``p`` is the
-    probability of class 1 (the less frequent quality)."""
-    data = persisted(doc_stat_table(spark, sf_dir, "quality"))
+    Returns ``(scored test rows, LR model, prepared training rows)``; ``p`` is
+    the probability of class 1 (the less frequent quality)."""
+    data = fit_table(doc_stat_table(spark, sf_dir, "quality"), "doc_id")
     train, test = hash_split(data, ["doc_id"], list(split), SPLIT_SEED)
-    lr = logistic_regression("features", "label", reg_param=reg_param, elastic_net=0.75)
-    pipe = build_pipeline(label_indexer("quality", "label"),
-                          assembler(feature_names(), "features"), lr)
-    model = pipe.fit(train)
-    out = model.transform(test).select(
-        "doc_id", "label", "prediction", "rawPrediction", "probability")
-    from pyspark.ml.functions import vector_to_array
-    out = out.select("doc_id", "label", "prediction",
-                     vector_to_array("rawPrediction")[1].alias("raw_score"),
-                     vector_to_array("probability")[1].alias("p"))
-    return out, model
+    ready = prepare(train, "quality")
+    prepared = ready.transform(train)
+    with kept(prepared) as rows:
+        model = logistic_regression("features", "label", reg_param=reg_param, elastic_net=0.75).fit(rows)
+    out = model.transform(ready.transform(test)).select(
+        "doc_id", "label", "prediction",
+        vector_to_array("rawPrediction")[1].alias("raw_score"),
+        vector_to_array("probability")[1].alias("p"))
+    return out, model, prepared
 
 
 @register("job_logistic_binary")
 def job_logistic_binary(spark, sf_dir):
     """J3: held-out predictions with raw score and probability of class 1."""
-    preds, _ = logistic_job(spark, sf_dir)
-    return preds
+    return logistic_job(spark, sf_dir)[0]
 
 
 @register("job_logistic_binary_eval")
 def job_logistic_binary_eval(spark, sf_dir):
     """J3 evaluated like the original: area under ROC from the raw scores,
-    then areas under ROC and PR from the hard predictions.  One row; the
-    three aggregates are joined as scalar subqueries."""
-    preds, _ = logistic_job(spark, sf_dir)
-    hard_roc = area_under_roc(preds, "prediction", "label").select("auroc").scalar()
-    hard_pr = area_under_pr(preds, "prediction", "label").select("aupr").scalar()
-    return area_under_roc(preds, "raw_score", "label").select(
-        F.col("auroc"), hard_roc.alias("auroc_hard"), hard_pr.alias("aupr_hard"))
+    then areas under ROC and PR from the hard predictions.  The test part is
+    scored once; both hard areas come from one curve."""
+    pairs = materialize(logistic_job(spark, sf_dir)[0].select("label", "prediction", "raw_score"), "scores")
+    hard = both_areas(pairs, "prediction", "label").select(
+        F.col("auroc").alias("auroc_hard"), F.col("aupr").alias("aupr_hard"))
+    raw = area_under_roc(pairs, "raw_score", "label")
+    return hard.select(raw.scalar().alias("auroc"), "auroc_hard", "aupr_hard")
 
 
 def text_naive_bayes(spark, sf_dir, num_features: int = 10000, split=(0.8, 0.2),

@@ -1,31 +1,36 @@
-"""Queries for the estimators (M1-M8).  Training has no SQL equivalent,
-so these register no oracle statement; tests check invariants and
-quality floors instead."""
+"""Queries for the estimators (M1-M8).
+
+A fit has no SQL equivalent, so the queries that return fitted values register
+no oracle statement; beside each stands a ``..._check`` query whose rows SQL
+knows: the right rows and labels, and the conditions any correct model meets
+on them."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators.models import (build_pipeline, feature_importances, lr_coefficients,
-                                random_forest, score, text_naive_bayes_pipeline)
+from ..operators.metrics import classification_summary
+from ..operators.models import feature_importances, lr_coefficients, random_forest, score, text_naive_bayes_pipeline
+from ..operators.partitioning import fit_table, kept
 from ..operators.sampling import hash_split
 from ..operators.text_model import score_text_vectors
-from ..operators.tuning import search_results
+from ..operators.tuning import IMPURITY_GRID, MAX_DEPTH_GRID, NUM_TREES_GRID, TUNER_SEED, search_results
 from ..session import materialize
-from ..operators.vectors import assembler, label_indexer
+from . import sqlparts as S
 from .catalog import register
 from .common import SPLIT_SEED, clean_lines
 from .doc_features import feature_names
-from .jobs import _J4_SQL, QUERY_GRID, doc_stat_table, logistic_job, persisted, tuned_forest
+from .jobs import _J4_SQL, doc_stat_table, forest_job, forest_search, logistic_job, prepare, tuned_forest
 
 
 def _forest_model(spark, sf_dir):
-    data = persisted(doc_stat_table(spark, sf_dir, "lang"))
+    data = fit_table(doc_stat_table(spark, sf_dir, "lang"), "doc_id")
     train, test = hash_split(data, ["doc_id"], [0.85, 0.15], SPLIT_SEED)
-    rf = random_forest("features", "label", num_trees=16, max_depth=4, seed=SPLIT_SEED)
-    pipe = build_pipeline(label_indexer("lang", "label"),
-                          assembler(feature_names(), "features"), rf)
-    return pipe.fit(train), test
+    ready = prepare(train, "lang")
+    with kept(ready.transform(train)) as rows:
+        model = random_forest(num_trees=16, max_depth=4).fit(rows)
+    return model, ready.transform(test)
 
 
 @register("rf_predict")
@@ -38,27 +43,24 @@ def rf_predict(spark, sf_dir):
 @register("rf_feature_importance")
 def rf_feature_importance(spark, sf_dir):
     model, _ = _forest_model(spark, sf_dir)
-    return feature_importances(model.stages[-1], feature_names(), spark)
+    return feature_importances(model, feature_names(), spark)
 
 
 @register("lr_predict")
 def lr_predict(spark, sf_dir):
-    preds, _ = logistic_job(spark, sf_dir)
-    return preds.select("doc_id", "label", "prediction", "p")
+    return logistic_job(spark, sf_dir)[0].select("doc_id", "label", "prediction", "p")
 
 
 @register("lr_coefficients")
 def lr_coefficients_query(spark, sf_dir):
-    _, model = logistic_job(spark, sf_dir)
-    return lr_coefficients(model.stages[-1], feature_names(), spark)
+    return lr_coefficients(logistic_job(spark, sf_dir)[1], feature_names(), spark)
 
 
 @register("lr_training_summary")
 def lr_training_summary(spark, sf_dir):
-    """The training-set predictions kept in the LR model's summary."""
-    _, model = logistic_job(spark, sf_dir)
-    return model.stages[-1].summary.predictions.select(
-        "doc_id", "label", "prediction")
+    """The training-set predictions, which the LR model's summary holds."""
+    _, model, prepared = logistic_job(spark, sf_dir)
+    return model.transform(prepared).select("doc_id", "label", "prediction")
 
 
 @register("nb_pipeline", _J4_SQL + """
@@ -78,13 +80,165 @@ def nb_pipeline(spark, sf_dir):
 
 @register("tuned_rf_predict")
 def tuned_rf_predict(spark, sf_dir):
-    preds, _ = tuned_forest(doc_stat_table(spark, sf_dir, "lang"), "lang", QUERY_GRID)
-    return preds
+    return forest_job(spark, sf_dir, "lang", 0.85)
 
 
 @register("search_results")
 def search_results_query(spark, sf_dir):
     """One row per candidate of the hold-out search with its weighted F1."""
-    _, model = tuned_forest(doc_stat_table(spark, sf_dir, "lang"), "lang", QUERY_GRID)
-    return search_results(model, QUERY_GRID, spark).withColumn(
-        "metric", F.round("metric", 6))
+    search = forest_search(spark, sf_dir, "lang", 0.85)[-1]
+    return search_results(search, spark).withColumn("metric", F.round("metric", 6))
+
+
+# -- what any correct model must satisfy on the right rows ---------------------
+
+_LANG_TRAIN = S.split_part(["doc_id"], [0.85, 0.15], SPLIT_SEED) + " = 0"
+_QUALITY = """q AS (SELECT doc_id, CAST(quality AS VARCHAR) AS quality FROM documents JOIN labels USING (doc_id))"""
+
+
+def _quality_index(split) -> str:
+    return f"""{_QUALITY}, qi AS (
+  SELECT quality, CAST(row_number() OVER (ORDER BY count(*) DESC, quality) - 1 AS DOUBLE) AS label
+  FROM q WHERE {S.split_part(['doc_id'], split, SPLIT_SEED)} = 0 GROUP BY quality)"""
+
+
+_LANG_CHECK_SQL = f"""WITH {S.lang_index(_LANG_TRAIN)}
+SELECT doc_id, li.label, true AS sums_to_one, true AS is_argmax, true AS in_range
+FROM documents JOIN lang_index li USING (lang) WHERE NOT ({_LANG_TRAIN})"""
+
+
+def _quality_check_sql(split) -> str:
+    return f"""WITH {_quality_index(split)}
+SELECT doc_id, qi.label, true AS sums_to_one, true AS is_argmax, true AS in_range
+FROM q JOIN qi USING (quality) WHERE {S.split_part(['doc_id'], split, SPLIT_SEED)} = 1"""
+
+
+def checked(scored):
+    """Per scored row: probabilities sum to 1 and lie in [0, 1], and the
+    prediction is the first class with the highest one."""
+    p = vector_to_array("probability")
+    return scored.select(
+        "doc_id", "label",
+        (F.abs(F.aggregate(p, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias("sums_to_one"),
+        (F.array_position(p, F.array_max(p)) - 1 == F.col("prediction")).alias("is_argmax"),
+        F.forall(p, lambda x: (x >= 0) & (x <= 1)).alias("in_range"))
+
+
+@register("rf_predict_check", _LANG_CHECK_SQL)
+def rf_predict_check(spark, sf_dir):
+    """The test part with its label index, and the probability rules."""
+    model, test = _forest_model(spark, sf_dir)
+    return checked(model.transform(test))
+
+
+@register("tuned_forest_multiclass_check", _LANG_CHECK_SQL)
+def tuned_forest_multiclass_check(spark, sf_dir):
+    return checked(tuned_forest(spark, sf_dir, "lang", 0.85)[0])
+
+
+@register("tuned_forest_binary_check", _quality_check_sql([0.85, 0.15]))
+def tuned_forest_binary_check(spark, sf_dir):
+    return checked(tuned_forest(spark, sf_dir, "quality", 0.80)[0])
+
+
+@register("rf_feature_importance_check", """SELECT 'sum' AS quantity, true AS holds
+UNION ALL SELECT 'not negative', true""")
+def rf_feature_importance_check(spark, sf_dir):
+    """Importances are not negative and sum to 1."""
+    v = rf_feature_importance(spark, sf_dir).agg(F.sum("importance").alias("s"), F.min("importance").alias("m"))
+    return v.select(F.explode(F.array(
+        F.struct(F.lit("sum").alias("quantity"), (F.abs(F.col("s") - 1) < 1e-9).alias("holds")),
+        F.struct(F.lit("not negative").alias("quantity"), (F.col("m") >= 0).alias("holds")))).alias("r")).select("r.*")
+
+
+@register("lr_predict_check", f"""WITH {_quality_index([0.75, 0.25])}
+SELECT doc_id, qi.label, true AS in_range, true AS consistent FROM q JOIN qi USING (quality)
+WHERE {S.split_part(['doc_id'], [0.75, 0.25], SPLIT_SEED)} = 1""")
+def lr_predict_check(spark, sf_dir):
+    """Test part and label index; p is the logistic of the raw score and the
+    prediction says whether it is over one half."""
+    out = logistic_job(spark, sf_dir)[0]
+    logistic = 1 / (1 + F.exp(-F.col("raw_score")))
+    return out.select("doc_id", "label", F.col("p").between(0.0, 1.0).alias("in_range"), (
+        (F.abs(F.col("p") - logistic) < 1e-9) & ((F.col("p") > 0.5) == (F.col("prediction") == 1.0))).alias("consistent"))
+
+
+@register("lr_training_check", f"""WITH {_quality_index([0.75, 0.25])}
+SELECT doc_id, qi.label FROM q JOIN qi USING (quality)
+WHERE {S.split_part(['doc_id'], [0.75, 0.25], SPLIT_SEED)} = 0""")
+def lr_training_check(spark, sf_dir):
+    """The rows the summary is about: training part with its label index."""
+    return lr_training_summary(spark, sf_dir).select("doc_id", "label")
+
+
+@register("lr_optimality_check", f"""WITH {_quality_index([0.75, 0.25])},
+n AS (SELECT count(*) AS n_rows FROM q JOIN qi USING (quality) WHERE {S.split_part(['doc_id'], [0.75, 0.25], SPLIT_SEED)} = 0)
+SELECT f.feature, n_rows, true AS at_optimum
+FROM n, (SELECT unnest([{', '.join(f"'{f}'" for f in [*feature_names(), '(intercept)'])}]) AS feature) f""")
+def lr_optimality_check(spark, sf_dir):
+    """First-order condition of the fit (regularisation is 0): for every
+    standardised feature, and the intercept, the mean of ``(p - y) * x`` over
+    the training rows is 0 to 0.002."""
+    _, model, prepared = logistic_job(spark, sf_dir)
+    names = feature_names()
+    rows = model.transform(prepared).select(
+        (vector_to_array("probability")[1] - F.col("label")).alias("miss"), *names)
+    x = lambda c: F.when(F.stddev(c) > 0, F.avg(F.col("miss") * F.col(c)) / F.stddev(c)).otherwise(0.0)
+    got = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.avg("miss").alias("(intercept)"), *[x(c).alias(c) for c in names])
+    return got.select("n_rows", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), (F.abs(F.col(f"`{c}`")) < 2e-3).alias("at_optimum"))
+        for c in [*names, "(intercept)"]])).alias("r")).select("r.feature", "n_rows", "r.at_optimum")
+
+
+@register("search_results_check", f"""WITH t AS (
+  SELECT {S.split_part(['doc_id'], [0.85, 0.15], TUNER_SEED)} AS part FROM documents WHERE {_LANG_TRAIN})
+SELECT CAST(a AS INTEGER) AS "numTrees", CAST(b AS INTEGER) AS "maxDepth", c AS impurity,
+  (SELECT count(*) FROM t WHERE part = 0) AS train_rows, (SELECT count(*) FROM t WHERE part = 1) AS validation_rows,
+  true AS in_range, true AS one_winner_with_the_maximum
+FROM (SELECT unnest({list(NUM_TREES_GRID)}) AS a), (SELECT unnest({list(MAX_DEPTH_GRID)}) AS b),
+  (SELECT unnest({list(IMPURITY_GRID)}) AS c)""")
+def search_results_check(spark, sf_dir):
+    """All candidates, the sizes of the inner split, and exactly one winner,
+    whose F1 is the highest."""
+    search = forest_search(spark, sf_dir, "lang", 0.85)[-1]
+    rows = search_results(search, spark)
+    good = rows.agg(((F.sum(F.col("winner").cast("int")) == 1)
+                     & (F.max(F.when(F.col("winner"), F.col("metric"))) == F.max("metric"))).alias("g"))
+    return rows.select("numTrees", "maxDepth", "impurity", F.lit(search.train_rows).cast("long").alias("train_rows"),
+                       F.lit(search.validation_rows).cast("long").alias("validation_rows"),
+                       F.col("metric").between(0.0, 1.0).alias("in_range"),
+                       good.scalar().alias("one_winner_with_the_maximum"))
+
+
+def _eval_check_sql(pairs: str) -> str:
+    return f"""{pairs}
+SELECT (SELECT count(*) FROM p) AS n, true AS beats_majority, true AS in_range"""
+
+
+def _eval_check(pairs):
+    """Rows evaluated, and whether weighted F1 is at least that of always
+    naming the most frequent class."""
+    pairs = materialize(pairs.select("label", "prediction"), "pairs")
+    top = pairs.groupBy("label").count().orderBy(F.desc("count"), "label").limit(1).select("label")
+    base = classification_summary(pairs.withColumn("prediction", top.scalar())).select("weighted_f1")
+    s = classification_summary(pairs)
+    return s.select("n", (F.col("weighted_f1") >= base.scalar()).alias("beats_majority"),
+                    (F.col("accuracy").between(0.0, 1.0) & F.col("weighted_f1").between(0.0, 1.0)).alias("in_range"))
+
+
+@register("tuned_forest_multiclass_eval_check", _eval_check_sql(
+    f"WITH p AS (SELECT doc_id FROM documents WHERE lang IS NOT NULL AND NOT ({_LANG_TRAIN}))"))
+def tuned_forest_multiclass_eval_check(spark, sf_dir):
+    return _eval_check(forest_job(spark, sf_dir, "lang", 0.85))
+
+
+@register("tuned_forest_binary_eval_check", _eval_check_sql(
+    f"WITH {_QUALITY}, p AS (SELECT doc_id FROM q WHERE {S.split_part(['doc_id'], [0.85, 0.15], SPLIT_SEED)} = 1)"))
+def tuned_forest_binary_eval_check(spark, sf_dir):
+    return _eval_check(forest_job(spark, sf_dir, "quality", 0.80))
+
+
+@register("logistic_binary_eval_check", _eval_check_sql(
+    f"WITH {_QUALITY}, p AS (SELECT doc_id FROM q WHERE {S.split_part(['doc_id'], [0.75, 0.25], SPLIT_SEED)} = 1)"))
+def logistic_binary_eval_check(spark, sf_dir):
+    return _eval_check(logistic_job(spark, sf_dir)[0])

@@ -237,3 +237,24 @@ def embedding_vectors(spark, sf_dir):
     arr = vector_to_array(F.col("features"))
     sq = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x)
     return vec.select("vec_id", F.size(arr).alias("n_dims"), F.sqrt(sq).alias("l2_norm"), "label")
+
+
+@register("loader_chain", """WITH t AS (
+  SELECT p_partkey, p_brand, p_size, p_retailprice FROM part WHERE p_size % 7 <> 0),
+idx AS (SELECT p_brand, CAST(row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS DOUBLE) AS label
+  FROM t GROUP BY p_brand)
+SELECT p_partkey, CAST(p_size AS DOUBLE) AS f0, p_retailprice AS f1, label FROM t JOIN idx USING (p_brand)""")
+def loader_chain(spark, sf_dir):
+    """The tabular loader as one chain over the whole ``part`` table: written
+    as quoted CSV with ``?`` for some sizes -> read as text -> rows with the
+    marker dropped -> strict cast -> vector -> label index."""
+    size = F.when(F.col("p_size") % 7 == 0, "?").otherwise(F.col("p_size").cast("string"))
+    part = load_table(spark, sf_dir, "part").select(
+        "p_partkey", "p_brand", size.alias("p_size"), F.col("p_retailprice").cast("string").alias("p_retailprice"))
+    path = shared_path(spark, "loader")
+    write_delimited(part, path, header=True, quote_all=True)
+    rows = read_delimited(spark, path, "p_partkey BIGINT, p_brand STRING, p_size STRING, p_retailprice STRING")
+    numeric = cast_numeric(drop_missing(rows, ["p_size"], "?"), ["p_size", "p_retailprice"], strict=True)
+    indexed, _ = index_labels(assemble(numeric, ["p_size", "p_retailprice"], "features"), "p_brand", "label")
+    x = vector_to_array("features")
+    return indexed.select("p_partkey", x[0].alias("f0"), x[1].alias("f1"), "label")

@@ -8,10 +8,9 @@ from sparkclassify.operators.models import (build_pipeline, logistic_regression,
                                             text_naive_bayes_pipeline)
 from sparkclassify.operators.tuning import grid_rows, param_grid
 from sparkclassify.operators.vectors import assembler, label_indexer
-from sparkclassify.plans.jobs import (FULL_GRID, job_tuned_forest_binary,
-                                      job_tuned_forest_multiclass, logistic_job, text_naive_bayes)
+from sparkclassify.plans.jobs import FULL_GRID, logistic_job, text_naive_bayes, tuned_forest
 
-from .conftest import SF_MEDIUM, SF_SMALL
+from .conftest import SF_MEDIUM
 from .fixtures import flowers, mail
 
 
@@ -55,22 +54,21 @@ def test_one_class_naive_bayes(spark):
     assert list(r.probability.toArray()) == [1.0] and r.prediction == 0.0
 
 
-def test_job_forest_multiclass_floor(spark):
-    preds = job_tuned_forest_multiclass(spark, SF_MEDIUM)
-    s = classification_summary(preds).first()
-    assert s.weighted_f1 >= 0.95
+# Two candidates: the full grid is searched by the registered queries.
+SMALL_GRID = {"numTrees": (8, 16), "maxDepth": (10,), "impurity": ("gini",)}
 
 
-def test_job_forest_binary_runs(spark):
-    preds = job_tuned_forest_binary(spark, SF_SMALL)
-    s = classification_summary(preds).first()
-    assert s.n == preds.count() and 0.0 <= s.weighted_f1 <= 1.0
+def test_job_forest_multiclass_floor(spark):
+    preds, _, search = tuned_forest(spark, SF_MEDIUM, "lang", 0.85, SMALL_GRID)
+    assert classification_summary(preds).first().weighted_f1 >= 0.95
+    assert len(search.metrics) == 2 and search.metrics[search.best] == max(search.metrics)
+    assert search.train_rows + search.validation_rows == 852
 
 
 def test_job_forest_binary_beats_majority_class(spark):
     """J2 on sf0.01: weighted F1 must beat always predicting the most
-    frequent class of the same test rows (measured 0.92 against 0.80)."""
-    preds = job_tuned_forest_binary(spark, SF_MEDIUM)
+    frequent class of the same test rows."""
+    preds = tuned_forest(spark, SF_MEDIUM, "quality", 0.80, SMALL_GRID)[0]
     s = classification_summary(preds).first()
     majority = preds.groupBy("label").count().orderBy(F.desc("count")).first()["label"]
     base = classification_summary(preds.withColumn("prediction", F.lit(majority))).first()
@@ -78,15 +76,15 @@ def test_job_forest_binary_beats_majority_class(spark):
 
 
 def test_job_logistic_floor(spark):
-    preds, _ = logistic_job(spark, SF_MEDIUM)
+    preds = logistic_job(spark, SF_MEDIUM)[0]
     auroc = area_under_roc(preds, "raw_score", "label").first().auroc
     assert auroc >= 0.75
     assert preds.where((F.col("p") >= 0.5) != (F.col("prediction") == 1.0)).count() == 0
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
-@pytest.mark.parametrize("algo", ["md5", "murmur3"])
-def test_job_text_naive_bayes_floor(spark, algo):
-    preds = text_naive_bayes(spark, SF_MEDIUM, algo=algo)
+def test_job_text_naive_bayes_floor(spark):
+    preds = text_naive_bayes(spark, SF_MEDIUM)
     s = classification_summary(preds).first()
     assert s.n == 1855
     assert s.weighted_f1 >= 0.95

@@ -8,7 +8,8 @@ from sparkclassify.plans.catalog import all_oracle_sql, all_queries
 from .conftest import SF_SMALL
 from .oracle_harness import compare, duck
 
-SQL = all_oracle_sql()
+# The full 120-candidate searches are left to the driver's comparison.
+SQL = {k: v for k, v in all_oracle_sql().items() if not k.startswith(("tuned_", "search_"))}
 
 
 @pytest.fixture(scope="module")

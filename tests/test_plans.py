@@ -4,11 +4,10 @@ import re
 
 from pyspark.sql import functions as F
 
-from sparkclassify.operators.features import hashed_tf, l2_normalize, tfidf, idf_fit
-from sparkclassify.operators.metrics import area_under_roc
+from sparkclassify.operators.metrics import area_under_roc, class_table
 from sparkclassify.operators.sampling import hash_split
-from sparkclassify.operators.text_model import fit_text_naive_bayes, score_text_naive_bayes
-from sparkclassify.plans.common import SPLIT_SEED, document_lines, line_terms
+from sparkclassify.operators.text_model import fit_text_vectors, score_text_vectors
+from sparkclassify.plans.common import SPLIT_SEED, line_terms
 from sparkclassify.plans.metric_queries import quality_scores
 
 from .conftest import SF_MEDIUM
@@ -22,40 +21,30 @@ def _exchanges(plan: str):
     return re.findall(r"Exchange (\w+)\(([^)]*)\)", plan)
 
 
-def test_scoring_moves_line_data_once(spark):
-    terms = line_terms(spark, SF_MEDIUM, by_line=True)
-    train, test = hash_split(terms, ["doc_id"], [0.8, 0.2], SPLIT_SEED)
-    keys = ["doc_id", "line_no"]
-    model = fit_text_naive_bayes(train, keys, "terms", "label", 10000, "murmur3")
-    plan = _plan(score_text_naive_bayes(model, test, keys, "terms", "label"))
-    line_exchanges = [e for e in _exchanges(plan) if "line_no" in e[1]]
-    assert len(line_exchanges) == 1, plan
-    # No window (the L2 scaling is folded into the aggregate).
-    assert "Window" not in plan.split("BroadcastExchange")[0]
-
-
-def test_text_work_stays_after_the_exchange(spark):
-    """No cleaning or tokenising expression below the line exchange (the
-    inferred explode filter would put one there)."""
-    tf = hashed_tf(line_terms(spark, SF_MEDIUM, by_line=True), ["doc_id", "line_no"],
-                   "terms", 10000, "md5")
-    plan = _plan(tf)
-    below = plan.split("Exchange hashpartitioning(doc_id")[-1]
-    assert "translate" not in below and "lambdafunction" not in below, plan
-
-
-def test_per_line_aggregate_and_window_need_no_exchange(spark):
-    terms = line_terms(spark, SF_MEDIUM, by_line=True)
-    tf = hashed_tf(terms, ["doc_id", "line_no"], "terms", 10000, "md5")
-    feats = l2_normalize(tfidf(tf, idf_fit(tf, document_lines(spark, SF_MEDIUM))),
-                         ["doc_id", "line_no"])
-    plan = _plan(feats)
-    keyed = [ln for ln in plan.splitlines()
-             if "Exchange hashpartitioning" in ln and "line_no" in ln]
-    # The only exchanges keyed by line are the explicit line exchanges (main
-    # branch and IDF branch), none added for the aggregate or the window.
-    assert keyed and all("REPARTITION_BY" in ln for ln in keyed), keyed
-    assert "BroadcastHashJoin" in plan
+def test_text_job_is_row_local(spark):
+    """From text to score no exchange but the one that spreads a narrow scan."""
+    train, test = hash_split(line_terms(spark, SF_MEDIUM), ["doc_id"], [0.8, 0.2], SPLIT_SEED)
+    model = fit_text_vectors(train)
+    plan = _plan(score_text_vectors(model, test, ["doc_id", "line_no", "label"]))
+    assert len(_exchanges(plan)) <= 1 and "Join" not in plan and "Aggregate" not in plan, plan
+    assert "Python" not in plan
+
+
+def test_class_table_reads_the_pairs_once(spark):
+    pairs = quality_scores(spark, SF_MEDIUM)
+    plan = _plan(class_table(pairs, "prediction", "label"))
+    assert plan.count("FileScan") == _plan(pairs).count("FileScan"), plan
+
+
+def test_no_text_goes_through_the_label_join(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(quality_scores(spark, SF_MEDIUM))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    above = plan[:plan.index("SortMergeJoin")] + plan[plan.index("SortMergeJoin"):].split("Project")[0]
+    assert "text" not in above, plan
 
 
 def test_scan_prunes_columns(spark):
@@ -72,14 +61,6 @@ def test_curve_sorts_in_blocks_not_one_task(spark):
     assert running and all(re.search(r"\], \[_block#\d+\], \[score", ln) for ln in running), running
 
 
-def test_split_filter_reaches_the_scan_side(spark):
-    terms = line_terms(spark, SF_MEDIUM, by_line=True)
-    _, test = hash_split(terms, ["doc_id"], [0.8, 0.2], SPLIT_SEED)
-    plan = _plan(test.select(F.col("doc_id")))
-    first_exchange = plan.index("Exchange")
-    assert "md5" in plan[first_exchange:], plan
-
-
 def test_hot_document_lines_spread_over_tasks(spark):
     """One document with most of all lines: after the exchange by
     (doc_id, line_no) no task holds much more than its share."""

@@ -7,7 +7,7 @@ from sparkclassify.operators.cleaning import cast_numeric, drop_missing, drop_nu
 from sparkclassify.operators.sampling import hash_split, union_all, with_split_part
 from sparkclassify.operators.vectors import assemble, index_labels
 from sparkclassify.session import load_table
-from sparkclassify.sources.delimited import read_delimited, select_positions
+from sparkclassify.sources.delimited import read_delimited, select_positions, write_delimited
 from sparkclassify.sources.lines import explode_lines, read_lines
 from sparkclassify.sources.reports import describe_schema, preview
 
@@ -118,3 +118,18 @@ def test_describe_schema(spark):
     rows = {r.name: r for r in describe_schema(df).collect()}
     assert rows["a"].data_type == "int" and rows["a"].n_nulls == 0
     assert rows["b"].n_nulls == 1 and rows["b"].n_rows == 2 and rows["b"].position == 1
+
+
+def test_delimited_round_trip_of_empty_null_and_newline(spark, tmp_path):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "two\nlines"), (4, 'a "quoted", value')], "id int, v string")
+    path = str(tmp_path / "csv")
+    write_delimited(df, path, quote_all=True, null_value="\\N", empty_value="<empty>")
+    got = read_delimited(spark, path, "id int, v string", null_value="\\N", empty_value="<empty>", multi_line=True)
+    assert sorted(tuple(r) for r in got.replace("<empty>", "", ["v"]).collect()) == sorted(tuple(r) for r in df.collect())
+
+
+def test_null_text_keeps_a_row(spark):
+    df = spark.createDataFrame([(1, "a\nb"), (2, None), (3, "")], "id int, text string")
+    got = sorted((r.id, r.line_no, r.line) for r in explode_lines(df, keep=("id",)).collect() if r.line is not None)
+    assert got == [(1, 0, "a"), (1, 1, "b"), (3, 0, "")]
+    assert [tuple(r) for r in explode_lines(df, keep=("id",)).filter("line IS NULL").collect()] == [(2, None, None)]
