@@ -190,25 +190,23 @@ line_stat AS (
     sum(length(regexp_replace(line, '[\\x20\\x09-\\x0D]', '', 'g'))) AS dup_line_chars
   FROM line_rank WHERE k > 1 GROUP BY doc_id),
 words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM d),
+three AS (
+  SELECT words.doc_id, i, array_to_string(ws[i:i + 2], ' ') AS g
+  FROM words JOIN d USING (doc_id) WHERE i + 2 <= len(ws)),
+repeated AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM three) WHERE c > 1),
 grams AS (
-  SELECT words.doc_id, i, length(w) AS chars, n,
-    CASE WHEN i + n - 1 <= len(ws) THEN array_to_string(ws[i:i + n - 1], ' ') END AS g
-  FROM words JOIN d USING (doc_id),
-    (SELECT unnest([{_RULES.repeat_window}, {', '.join(str(n) for n, _ in _RULES.later_ngram_percent)}]) AS n)),
-seen AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, n, g ORDER BY i) AS k,
-    count(*) OVER (PARTITION BY doc_id, n, g) AS c FROM grams),
-cover AS (
-  SELECT doc_id, n, chars,
-    CASE WHEN i - max(CASE WHEN g IS NOT NULL AND c > 1 THEN i END)
-      OVER (PARTITION BY doc_id, n ORDER BY i) < n THEN 1 ELSE 0 END AS repeated,
-    CASE WHEN i - max(CASE WHEN g IS NOT NULL AND k > 1 THEN i END)
-      OVER (PARTITION BY doc_id, n ORDER BY i) < n THEN 1 ELSE 0 END AS later
-  FROM seen),
+  SELECT r.doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS g
+  FROM repeated r JOIN d USING (doc_id), (SELECT unnest([{', '.join(str(n) for n, _ in _RULES.later_ngram_percent)}]) AS n)
+  WHERE i + n - 1 <= len(ws)),
+later AS (
+  SELECT doc_id, n, i FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, n, g ORDER BY i) AS k FROM grams) WHERE k > 1),
+covered AS (
+  SELECT DISTINCT doc_id, n, unnest(range(i, i + n)) AS i FROM later
+  UNION SELECT doc_id, 3 AS n, unnest(range(i, i + 3)) AS i FROM repeated),
 word_stat AS (
-  SELECT doc_id, sum(CASE WHEN n = 3 THEN repeated ELSE 0 END) AS n_repeat_words,
-    {', '.join(f"sum(CASE WHEN n = {n} THEN later * chars ELSE 0 END) AS later{n}" for n, _ in _RULES.later_ngram_percent)}
-  FROM cover GROUP BY doc_id),
+  SELECT doc_id, count(*) FILTER (n = 3) AS n_repeat_words,
+    {', '.join(f"sum(length(w)) FILTER (n = {n}) AS later{n}" for n, _ in _RULES.later_ngram_percent)}
+  FROM covered JOIN words USING (doc_id, i) GROUP BY doc_id),
 base AS (
   SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
     CAST(length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
