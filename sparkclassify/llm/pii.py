@@ -260,3 +260,73 @@ def sanitise(docs: DataFrame, text_col: str = "text", config: PiiConfig = PiiCon
 def op4_personal_data(spark, sf_dir):
     """Spans of personal data in every row of ``documents``."""
     return find_personal_data(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def _oracle_sql(config: PiiConfig = PiiConfig()) -> str:
+    """The same in DuckDB SQL, with the patterns as the contract gives them."""
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+        "card": r"[0-9](?:[\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+    valid = {
+        "email": "true",
+        "ip": "len([x FOR x IN string_split(v, '.') IF CAST(x AS HUGEINT) > 255]) = 0",
+        "card": """length(g) BETWEEN 14 AND 19 AND list_sum([CASE WHEN (length(g) - j) % 2 = 0 THEN CAST(g[j] AS INTEGER)
+          ELSE 2 * CAST(g[j] AS INTEGER) - CASE WHEN g[j] > '4' THEN 9 ELSE 0 END END FOR j IN range(1, length(g) + 1)]) % 10 = 0""",
+        "phone": "length(g) BETWEEN 10 AND 15"}
+    pieces = "\nUNION ALL ".join(f"""SELECT r, {k} AS kind, '{name}' AS name,
+    unnest(regexp_extract_all(text, '{patterns[name]}')) AS v,
+    unnest(string_split_regex(text, '{patterns[name]}')[1:len(regexp_extract_all(text, '{patterns[name]}'))]) AS gap,
+    unnest(range(len(regexp_extract_all(text, '{patterns[name]}')))) AS i FROM d""" for k, name in enumerate(KINDS))
+    checks = " ".join(f"WHEN kind = {k} THEN {valid[name]}" for k, name in enumerate(KINDS))
+    term = r"\p{L}{3,}"
+    place = """sum(length(gap)) OVER (PARTITION BY {by} ORDER BY i)
+    + coalesce(sum(length({v})) OVER (PARTITION BY {by} ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"""
+    counts = ", ".join(f"CAST(coalesce(count(*) FILTER (kind = {k}), 0) AS BIGINT) AS n_{name}" for k, name in enumerate(KINDS))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+pieces AS ({pieces}),
+placed AS (SELECT r, kind, name, v, {place.format(by='r, kind', v='v')} AS a, regexp_replace(v, '[^0-9]', '', 'g') AS g FROM pieces),
+base AS (SELECT r, kind, name, v, a, a + length(v) AS b FROM placed WHERE CASE {checks} END),
+sides AS (
+  SELECT r, name || ':' || lower(v) AS e, a AS anchor, 0 AS side, greatest(0, a - {config.reach}) AS l,
+    text[greatest(0, a - {config.reach}) + 1:a] AS part, a > {config.reach} AS cut_l, false AS cut_r FROM base JOIN d USING (r)
+  UNION ALL SELECT r, name || ':' || lower(v), a, 1, b, text[b + 1:b + {config.reach}], false,
+    b + {config.reach} < length(text) FROM base JOIN d USING (r)),
+cleared AS (
+  SELECT r, e, anchor, side, l, part, regexp_replace(CASE WHEN cut_l THEN regexp_replace(part, '^\\p{{L}}+', '') ELSE part END,
+    CASE WHEN cut_r THEN '\\p{{L}}+$' ELSE '^$' END, '') AS c,
+    CASE WHEN cut_l THEN length(part) - length(regexp_replace(part, '^\\p{{L}}+', '')) ELSE 0 END AS shift FROM sides),
+found AS (
+  SELECT r, e, anchor, side, l + shift AS l, unnest(regexp_extract_all(c, '{term}')) AS w,
+    unnest(string_split_regex(c, '{term}')[1:len(regexp_extract_all(c, '{term}'))]) AS gap,
+    unnest(range(len(regexp_extract_all(c, '{term}')))) AS i FROM cleared),
+near AS (
+  SELECT DISTINCT r, e, lower(w) AS t, x AS a, x + length(w) AS b
+  FROM (SELECT *, l + {place.format(by='r, e, anchor, side', v='w')} AS x FROM found) f
+  WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.r = f.r AND base.a < x + length(w) AND x < base.b)),
+pairs AS (
+  SELECT e, t, count(DISTINCT r) AS n_et FROM near JOIN d USING (r)
+  GROUP BY e, t HAVING count(DISTINCT text) >= {config.support}),
+value AS (SELECT e, count(*) AS n_e FROM (SELECT DISTINCT r, name || ':' || lower(v) AS e FROM base) GROUP BY e),
+word AS (
+  SELECT t, count(*) AS n_t FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '{term}'))) AS t FROM d)
+  WHERE t IN (SELECT t FROM pairs) GROUP BY t),
+total AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM d),
+over AS (
+  SELECT e, t FROM pairs JOIN value USING (e) JOIN word USING (t), total
+  WHERE n_e < n AND round(log2(n_et * n / (n_e * n_t)) / log2(n / n_e), 9) >= {config.generalise_share}),
+spans AS (
+  SELECT r, kind, name, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b FROM base
+  UNION ALL SELECT DISTINCT r, {len(KINDS)}, '{TERM}', CAST(a AS BIGINT), CAST(b AS BIGINT) FROM near JOIN over USING (e, t)),
+joined AS (
+  SELECT r, {counts},
+    string_agg(name || ':' || a || ':' || b, ',' ORDER BY a, kind, b) FILTER (kind < {len(KINDS)}) AS of_base,
+    string_agg(name || ':' || a || ':' || b, ',' ORDER BY a, kind, b) AS of_all FROM spans GROUP BY r)
+SELECT doc_id, {', '.join(f'coalesce(n_{k}, 0) AS n_{k}' for k in KINDS)},
+  sha256(coalesce(of_base, '')) AS base_sha256, coalesce(of_all, '') AS spans
+FROM d LEFT JOIN joined USING (r)"""
+
+
+OP4_SQL = _oracle_sql()

@@ -6,7 +6,7 @@ from .bpe import op8_bpe
 from .language import op1_language
 from .mixing import op7_mixing
 from .near_duplicates import OP3_SQL, op3_jaccard_join
-from .pii import op4_personal_data
+from .pii import OP4_SQL, op4_personal_data
 from .quality import OP9_SQL, op9_quality
 from .repeats import op10_repeats
 from .sharding import op2_sharding
@@ -27,6 +27,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op3_jaccard_join": OP3_SQL,
+    "op4_personal_data": OP4_SQL,
     "op5_top_k": OP5_SQL,
     "op9_quality": OP9_SQL,
 }

@@ -2,7 +2,10 @@ import hashlib
 import random
 import re
 
-from sparkclassify.llm.pii import KINDS, PiiConfig, find_personal_data, op4_personal_data, sanitise
+import duckdb
+
+from sparkclassify.llm.pii import (KINDS, PiiConfig, _oracle_sql, find_personal_data, op4_personal_data,
+                                   sanitise)
 
 from . import cases
 
@@ -80,6 +83,10 @@ def test_disclosing_terms(spark):
     assert all("quartz" in words(1200 + i) for i in range(3))
     assert found[1300] == [("email", "13", "27")]
     assert not any(found[i] for i in text if i < 1000 or 1100 <= i < 1200)
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    want = con.execute(_oracle_sql(config)).fetchall()
+    assert sorted(want) == sorted(tuple(r) for r in find_personal_data(df, config=config).collect())
     clean = {r.doc_id: r.text for r in sanitise(df, config=config).collect()}
     assert "Zoltan" not in clean[1000] and "[email]" in clean[1000] and "common" in clean[1000]
     assert "[term]" in clean[1200] and "quartz" not in clean[1200]
