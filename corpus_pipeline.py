@@ -9,8 +9,6 @@ last returns the token ids of each document.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkclassify.llm.bpe import share_vocabulary, token_digests
@@ -18,7 +16,7 @@ from sparkclassify.llm.mixing import domain_of_labels, mix
 from sparkclassify.llm.near_duplicates import keep_one_per_component
 from sparkclassify.llm.pii import sanitise
 from sparkclassify.llm.quality import quality_filter
-from sparkclassify.session import checkpoint_root
+from sparkclassify.session import shared_path
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,8 +59,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``; what each returns is written below the
-    shared checkpoint folder and read by the next."""
-    root = f"{checkpoint_root(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    shared checkpoint folder and read by the next (``release_tables`` deletes
+    it once the result has been consumed)."""
+    root = shared_path(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{root}/{k}")
