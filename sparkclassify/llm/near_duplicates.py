@@ -7,11 +7,11 @@ Jaccard similarity reaches the threshold; linked documents form components.
    set.  Equal sets are one class from here on, however many copies there
    are; each block of documents sends a class once.
 2. ``shared_shingles`` finds which shingles occur in two sets or more.  A
-   block sends every distinct shingle once, to a hash range; shingles that
-   several of its documents hold are settled in the block itself, so a passage
-   in a third of all documents costs one entry per block.  A set can only link
-   if at least the needed overlap of its shingles is shared; others end here.
-3. The first shared shingles of a set, as many as any partner must meet, give
+   block sends every distinct shingle once, to a hash range, with the number
+   of its sets that hold it; a passage in a third of all documents costs one
+   entry per block.  A set can only link if at least the needed overlap of its
+   shingles is shared; others end here.
+3. The rarest shared shingles of a set, as many as any partner must meet, give
    star edges; their components are the units of the search.  A very large
    unit is cut into blocks and searched block against block.
 4. ``search_unit`` answers T-occurrence queries by DivideSkip inside a unit.
@@ -21,7 +21,8 @@ Jaccard similarity reaches the threshold; linked documents form components.
    components is missed.
 5. Components of the links give each class its smallest document id.
 
-Shingles are compared by 64-bit hashes, sets by 128-bit digests.
+Shingles are compared by 64-bit hashes inside a document and by 48 of those
+bits between two documents, sets by 128-bit digests.
 
 Defined results: null text, empty text and text without a word have an empty
 set, size 0, and are linked with nothing (``component_id`` is their own id).
@@ -50,8 +51,8 @@ from .textblocks import (LOWER, _U, blocks, mix, text_array, window_hashes, word
 class JaccardConfig:
     words: int = 5
     percent: int = 75
-    block_bytes: int = 4 << 20
-    unit_postings: int = 2_000_000   # larger units are searched in blocks
+    block_bytes: int = 8 << 20
+    unit_postings: int = 1_000_000   # larger units are searched in blocks
     mu: float = 0.0085               # DivideSkip's weight of a long list
 
 
@@ -104,21 +105,42 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, config: JaccardCon
 
 
 # -- which shingles do sets share ------------------------------------------
+#
+# Shingle ids on the wire are the upper 48 bits of the hashes.
 
-_PIECES = "part int, block binary, table binary, sizes binary, idx binary, hashes binary, flags binary"
+_PIECES = "part int, block binary, table binary, sizes binary, idx binary, hashes binary, counts binary"
+
+
+def pack_hashes(ids: np.ndarray) -> bytes:
+    """48-bit ids in six bytes each; ascending ones with small gaps as the
+    first id and four-byte gaps."""
+    if ids.size and (ids[1:] >= ids[:-1]).all():
+        gaps = np.diff(ids)
+        if not gaps.size or gaps.max() < 1 << 32:
+            return b"g" + ids[:1].tobytes() + gaps.astype("<u4").tobytes()
+    return b"w" + np.ascontiguousarray(ids.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def unpack_hashes(raw: bytes) -> np.ndarray:
+    if raw[:1] == b"g":
+        gaps = np.frombuffer(raw, "<u4", offset=9)
+        return np.cumsum(np.concatenate([np.frombuffer(raw, _U, 1, 1), gaps.astype(_U)]), dtype=_U)
+    wide = np.zeros(((len(raw) - 1) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, 6)
+    return wide.view("<u8").ravel().astype(_U)
 
 
 def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int32(), *[pa.binary()] * 6]
     return pa.RecordBatch.from_arrays(
         [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
-        ["part", "block", "table", "sizes", "idx", "hashes", "flags"])
+        ["part", "block", "table", "sizes", "idx", "hashes", "counts"])
 
 
 def _split_block(sets: list[np.ndarray], parts: int):
-    """One table row of the block's distinct sets, with what they share
-    inside the block, and one row per hash range with each distinct shingle
-    once (flag: already known to be shared)."""
+    """One table row of the block's distinct sets, with the places of what
+    they share inside the block, and one row per hash range with each distinct
+    shingle once and the number of sets that hold it."""
     own = {}
     for s in sets:
         if s.size:
@@ -126,25 +148,26 @@ def _split_block(sets: list[np.ndarray], parts: int):
     if not own:
         return
     classes = sorted(own)
-    arrays = [own[c] for c in classes]
+    arrays = [own[c] >> _U(16) for c in classes]
     sizes = np.array([a.size for a in arrays], np.int64)
-    hashes = np.concatenate(arrays)
-    idx = np.repeat(np.arange(len(arrays), dtype=np.uint32), sizes)
-    order = np.argsort(hashes, kind="stable")
-    hashes, idx = hashes[order], idx[order]
-    first = np.concatenate([[True], hashes[1:] != hashes[:-1]])
-    several = ~first
-    several[:-1] |= ~first[1:]
+    ids = np.concatenate(arrays)
+    kind = np.uint16 if len(arrays) <= 1 << 16 else np.uint32
+    idx = np.repeat(np.arange(len(arrays), dtype=kind), sizes)
+    order = np.argsort(ids, kind="stable")
+    ids, idx = ids[order], idx[order]
+    first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    counts = np.diff(np.append(first, ids.size))
+    several = np.repeat(counts > 1, counts)
     block = hashlib.md5(b"".join(classes)).digest()
-    part = ((hashes >> _U(32)) * _U(parts)) >> _U(32)
     home = int.from_bytes(block[:4], "little") % parts
     yield (home, block, b"".join(classes), sizes.tobytes(),
-           idx[several].tobytes(), hashes[several].tobytes(), None)
-    hashes, idx, part, several = hashes[first], idx[first], part[first], several[first]
+           idx[several].tobytes(), pack_hashes(ids[several]), None)
+    ids, idx, counts = ids[first], idx[first], np.minimum(counts, 255).astype(np.uint8)
+    part = ((ids >> _U(16)) * _U(parts)) >> _U(32)
     cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-    for lo, hi in zip(cuts, [*cuts[1:], hashes.size]):
-        yield (int(part[lo]), block, None, None, idx[lo:hi].tobytes(), hashes[lo:hi].tobytes(),
-               several[lo:hi].astype(np.uint8).tobytes())
+    for lo, hi in zip(cuts, [*cuts[1:], ids.size]):
+        yield (int(part[lo]), block, None, None, idx[lo:hi].tobytes(), pack_hashes(ids[lo:hi]),
+               counts[lo:hi].tobytes())
 
 
 def _groups(batches, key: int):
@@ -160,50 +183,66 @@ def _groups(batches, key: int):
         yield held
 
 
+def _indices(raw: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(raw, np.uint16 if len(raw) == 2 * count else np.uint32)
+
+
 def _shared_of_part(rows: list[tuple]):
-    """Of one hash range: per block, the entries whose shingle occurs in
-    another block or is flagged; table rows pass through."""
+    """Of one hash range: per block, the shingles that two sets or more hold,
+    with the (capped) power of two of how many; table rows pass through."""
     yield from (r for r in rows if r[2] is not None)
     rows = [r for r in rows if r[2] is None]
     if not rows:
         return
-    hashes = np.concatenate([np.frombuffer(r[5], _U) for r in rows])
-    idx = np.concatenate([np.frombuffer(r[4], np.uint32) for r in rows])
-    flags = np.concatenate([np.frombuffer(r[6], np.uint8) for r in rows]).astype(bool)
-    source = np.repeat(np.arange(len(rows)), [len(r[6]) for r in rows])
-    order = np.argsort(hashes, kind="stable")
-    same = hashes[order][1:] == hashes[order][:-1]
-    shared = np.zeros(hashes.size, bool)
-    shared[1:] = same
-    shared[:-1] |= same
-    hit = np.zeros(hashes.size, bool)
-    hit[order] = shared
-    hit &= ~flags                         # flagged entries are in the block's own row
-    at = np.flatnonzero(hit)
-    cuts = np.searchsorted(source[at], np.arange(len(rows) + 1))
-    for k, r in enumerate(rows):
-        mine = at[cuts[k]:cuts[k + 1]]
-        if mine.size:
-            yield (r[0], r[1], None, None, idx[mine].tobytes(), hashes[mine].tobytes(), None)
+    ids = np.concatenate([unpack_hashes(r[5]) for r in rows])
+    order = np.argsort(ids, kind="stable")
+    ranked = ids[order]
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    counts = np.concatenate([np.frombuffer(r[6], np.uint8) for r in rows])
+    total = np.add.reduceat(counts[order].astype(np.int64), first)
+    rarity = np.zeros(ids.size, np.uint8)
+    rarity[order] = np.repeat(np.log2(total).astype(np.uint8), np.diff(np.append(first, ids.size)))
+    at = 0
+    for r in rows:
+        n = len(r[6])
+        mine = rarity[at:at + n]
+        hit = mine > 0
+        if hit.any():
+            yield (r[0], r[1], None, None, _indices(r[4], n)[hit].tobytes(),
+                   pack_hashes(ids[at:at + n][hit]), mine[hit].tobytes())
+        at += n
 
 
 def _sets_of_block(rows: list[tuple], percent: int):
-    """``(cls, n, shared hashes)`` of the block's sets that share enough."""
+    """``(cls, n, shared ids, rarest first)`` of the sets that share enough."""
     table = next(r for r in rows if r[2] is not None)
+    rows = [r for r in rows if r[2] is None]
+    if not rows:
+        return
     sizes = np.frombuffer(table[3], np.int64)
-    idx = np.concatenate([np.frombuffer(r[4], np.uint32) for r in rows])
-    hashes = np.concatenate([np.frombuffer(r[5], _U) for r in rows])
-    order = np.lexsort((hashes, idx))
-    idx, hashes = idx[order], hashes[order]
+    known = np.concatenate([unpack_hashes(r[5]) for r in rows])
+    rarity = np.concatenate([np.frombuffer(r[6], np.uint8) for r in rows])
+    idx = np.concatenate([_indices(r[4], len(r[6])) for r in rows])
+    order = np.argsort(known)
+    known, rarity, idx = known[order], rarity[order], idx[order]
+    local = unpack_hashes(table[5]) if len(table[4]) else np.zeros(0, _U)
+    places = np.searchsorted(known, local)
+    alone = np.ones(known.size, bool)
+    alone[places] = False                       # listed by the block itself, for each of its sets
+    ids = np.concatenate([known[alone], local])
+    rare = np.concatenate([rarity[alone], rarity[places]])
+    idx = np.concatenate([idx[alone], _indices(table[4], local.size)]).astype(np.int64)
+    order = np.lexsort((ids, rare, idx))
+    idx, ids = idx[order], ids[order]
     cuts = np.searchsorted(idx, np.arange(sizes.size + 1))
     enough = np.diff(cuts) >= needed_overlap(sizes, percent)
     for i in np.flatnonzero(enough):
-        yield table[2][16 * i:16 * i + 16], int(sizes[i]), hashes[cuts[i]:cuts[i + 1]].tobytes()
+        yield table[2][16 * i:16 * i + 16], int(sizes[i]), pack_hashes(ids[cuts[i]:cuts[i + 1]])
 
 
 def shared_shingles(docs: DataFrame, text_col: str, config: JaccardConfig) -> DataFrame:
     """``(cls, n, shared)`` of the classes that share enough shingles with
-    others: ``shared`` holds those shingles' hashes in ascending order."""
+    others: ``shared`` packs the shared ids, the rarest first."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def split(batches):
@@ -243,8 +282,8 @@ def candidate_units(sets: DataFrame, config: JaccardConfig) -> DataFrame:
     def prefixes(batches):
         for batch in batches:
             for cls, n, shared in zip(*(c.to_pylist() for c in batch.columns)):
-                hashes = np.frombuffer(shared, np.int64)
-                head = hashes[:hashes.size - int(needed_overlap(n, percent)) + 1]
+                ids = unpack_hashes(shared)
+                head = ids[:ids.size - int(needed_overlap(n, percent)) + 1].astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(head), pa.array([cls] * head.size, pa.binary())], ["h", "cls"])
 
@@ -255,7 +294,7 @@ def candidate_units(sets: DataFrame, config: JaccardConfig) -> DataFrame:
         F.col("root").alias("a"), F.col("cls").alias("b")).distinct()
     label = settle(connected_components(edges).withColumnRenamed("component", "label"))
     member = sets.join(label, sets["cls"] == label["node"]).select(
-        "cls", "n", "shared", "label", (F.octet_length("shared") / 8).alias("m"))
+        "cls", "n", "shared", "label", (F.octet_length("shared") / 6).alias("m"))
     blocks_of = (member.groupBy("label").agg(F.ceil(F.sum("m") / config.unit_postings).cast("int").alias("nb")))
     member = member.join(blocks_of, "label").withColumn("b", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1))
@@ -327,7 +366,7 @@ def links_of_units(units: DataFrame, config: JaccardConfig) -> DataFrame:
         held: list = []
 
         def answer():
-            sets = [np.frombuffer(r[5], _U) for r in held]
+            sets = [unpack_hashes(r[5]) for r in held]
             pairs = search_unit(np.array([r[4] for r in held]), sets, config) if len(held) > 1 else []
             return pa.RecordBatch.from_arrays(
                 [pa.array([held[x][3] for x, _ in pairs], pa.binary()),
