@@ -15,6 +15,8 @@ rate is stored between steps.  Each step is one distributed sum; what reaches
 the driver is one number per domain and step (the Gram matrix once).
 DataFrame functions and ``pyspark.ml`` only, no text goes through an exchange.
 
+A token is a word here: a run of characters between spaces and punctuation.
+
 Defined results: null is the empty text, with no token; a domain no labelled
 row has gets posterior 0 and its target cannot be met; without labelled rows
 all rates are 1; an empty table gives an empty result; repeated rows have the
@@ -58,20 +60,26 @@ def domain_of_labels(labels: DataFrame) -> DataFrame:
         F.col("quality") == 0, "poor").otherwise("good").alias("domain")).filter("doc_id IS NOT NULL")
 
 
+# Characters that end a word besides the space.
+_BREAKS = "\t\n\x0b\x0c\r.,;:?()[]\"'"
+
+
 def _features(rows: DataFrame, text: Column) -> DataFrame:
-    """``rows`` with ``__tokens`` and the vector ``__x``."""
+    """``rows`` with ``__words``, their number ``__tokens``, and the shares
+    of symbols, capitals and repeated words."""
     chars = F.greatest(F.length("__text"), F.lit(1)).cast("double")
     share = lambda pattern: 1 - F.length(F.regexp_replace("__text", pattern, "")) / chars
     df = rows.withColumn("__text", F.coalesce(text, F.lit("")))
-    df = df.withColumn("__words", F.filter(F.split(F.lower("__text"), r"[^\p{L}]+"), lambda w: w != ""))
-    df = df.withColumns({
-        "__tokens": F.size(F.filter(F.split("__text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long"),
-        "__symbols": share(r"[^\p{L}\p{N}\s]+"), "__upper": share(r"\p{Lu}+"), "__digits": share(r"\p{N}+"),
+    # a split at one plain character needs no pattern
+    spaced = F.translate(F.lower("__text"), _BREAKS, " " * len(_BREAKS))
+    df = df.withColumn("__words", F.filter(F.split(spaced, " "), lambda w: w != ""))
+    return df.withColumns({
+        "__tokens": F.size("__words").cast("long"),
+        "__symbols": share("[!#$%&*|<>]+"), "__upper": share(r"\p{Lu}+"),
         "__repeats": F.when(F.size("__words") > 0, 1 - F.size(F.array_distinct("__words")) / F.size("__words")).otherwise(0.0)})
-    return df
 
 
-_SHARES = ["__symbols", "__upper", "__digits", "__repeats"]
+_SHARES = ["__symbols", "__upper", "__repeats"]
 
 
 def _vectors(features: DataFrame, words) -> DataFrame:
