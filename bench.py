@@ -45,7 +45,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = sys.argv[1:]
     from sparkclassify.plans.catalog import all_queries
-    from sparkclassify.session import get_spark
+    from sparkclassify.session import get_spark, release_tables
     spark = get_spark("sparkclassify-bench", master=f"local[{cpus}]",
                       shuffle_partitions=max(cpus, 8),
                       extra_conf={"spark.ui.enabled": "false",
@@ -64,6 +64,7 @@ def main() -> None:
         t0 = time.time()
         qs[query](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
+        release_tables(spark)
         print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3),
