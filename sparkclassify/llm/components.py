@@ -19,30 +19,34 @@ def _stars(pairs: DataFrame) -> DataFrame:
     return pairs.join(_smallest_neighbour(pairs), "u")
 
 
+def _unsettled(e: DataFrame) -> int:
+    """Nodes that keep ``e`` from being stars: larger ends with several
+    smaller ones, or with larger ones of their own."""
+    ends = e.select(F.col("v").alias("n"), F.lit(1).alias("v"), F.lit(0).alias("u")).unionByName(
+        e.select(F.col("u").alias("n"), F.lit(0).alias("v"), F.lit(1).alias("u")))
+    per_node = ends.groupBy("n").agg(F.sum("v").alias("v"), F.sum("u").alias("u"))
+    return per_node.filter("v > 1 OR (v > 0 AND u > 0)").count()
+
+
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``(node, component)`` of every node of ``edges(a, b)``: the smallest
     node of its component.  Nulls and loops are ignored; no edge, no row.
 
     Each round links all larger neighbours of a node to the smallest one
-    (large star), then the smaller ones likewise (small star); the stars stop
-    changing after O(log^2 n) rounds.  Only two totals reach the driver.
+    (large star), then the smaller ones likewise (small star), until only
+    stars are left, after O(log^2 n) rounds.  One number reaches the driver.
     """
     e = settle(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
                .filter("u < v").distinct())
-    seen = None
     for _ in range(most_rounds):
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if tuple(now) == seen:
+        if not _unsettled(e):
             return e.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(
                 e.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())
-        seen = tuple(now)
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (_stars(both).filter("v > u").select(F.col("m").alias("u"), "v")
-                 .filter("u < v").distinct())
-        large = settle(large)
-        down = large.select(F.col("v").alias("u"), F.col("u").alias("v"))
-        stars = _stars(down)
-        e = settle(stars.select(F.col("m").alias("u"), "v")
-                   .unionByName(stars.select(F.col("m").alias("u"), F.col("u").alias("v")))
+        large = settle(_stars(both).filter("v > u").select(F.col("m").alias("u"), "v")
+                       .filter("u < v").distinct())
+        down = _stars(large.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        e = settle(down.select(F.col("m").alias("u"), "v")
+                   .unionByName(down.select(F.col("m").alias("u"), F.col("u").alias("v")))
                    .filter("u < v").distinct())
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
