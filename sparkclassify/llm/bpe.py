@@ -19,7 +19,9 @@ rows and other columns play no part.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
+from contextlib import contextmanager
 
 import ahocorasick
 import numpy as np
@@ -74,7 +76,7 @@ class BytePairEncoder:
     """Encoder and decoder of one vocabulary."""
 
     def __init__(self, tokens: list[bytes], halves, pattern: str,
-                 memo_pieces: int = 1 << 19, memo_pairs: int = 1 << 20, memo_length: int = 48):
+                 memo_pieces: int = 1 << 17, memo_pairs: int = 1 << 17, memo_length: int = 48):
         self.tokens, self.halves = tokens, halves
         self.rank_of = {t: r for r, t in enumerate(tokens) if t}
         self.find = regex.compile(pattern).findall
@@ -175,25 +177,23 @@ class BytePairEncoder:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_WORKER: dict = {}
-
-
-def worker_encoder(shared) -> BytePairEncoder:
-    """One encoder per Python worker and broadcast vocabulary."""
-    found = _WORKER.get(shared.value["key"])
-    if found is None:
-        _WORKER.clear()
-        found = _WORKER[shared.value["key"]] = BytePairEncoder(
-            shared.value["tokens"], shared.value["halves"], shared.value["pattern"])
-    return found
+@contextmanager
+def worker_encoder(shared):
+    """The encoder of a task.  It and its memos go with the task: a Python
+    worker lives on for other stages, which need the memory."""
+    encoder = BytePairEncoder(shared.value["tokens"], shared.value["halves"], shared.value["pattern"])
+    try:
+        yield encoder
+    finally:
+        encoder.__dict__.clear()
+        gc.collect()
 
 
 def share_vocabulary(spark, path: str | None = None, pattern: str = public_tokenizers.PATTERN):
     """The vocabulary as a broadcast variable."""
     tokens = read_ranks(path or public_tokenizers.path(RANKS_FILE))
-    key = hashlib.sha256(b"\0".join(tokens) + pattern.encode()).hexdigest()
     return spark.sparkContext.broadcast(
-        {"key": key, "tokens": tokens, "halves": token_halves(tokens), "pattern": pattern})
+        {"tokens": tokens, "halves": token_halves(tokens), "pattern": pattern})
 
 
 def texts_of(column: pa.Array, step: int = 256):
@@ -209,12 +209,12 @@ def encode_column(rows: DataFrame, text_col: str, vocabulary, out_col: str = "id
     place = rows.columns.index(text_col)
 
     def run(batches):
-        encoder = worker_encoder(vocabulary)
-        for batch in batches:
-            ids = [np.frombuffer(encoder.encode(t), "<u4").astype(np.int64)
-                   for part in texts_of(batch.column(place)) for t in part]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(ids, pa.list_(pa.int64()))], [*batch.schema.names, out_col])
+        with worker_encoder(vocabulary) as encoder:
+            for batch in batches:
+                ids = [np.frombuffer(encoder.encode(t), "<u4").astype(np.int64)
+                       for part in texts_of(batch.column(place)) for t in part]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(ids, pa.list_(pa.int64()))], [*batch.schema.names, out_col])
 
     return rows.mapInArrow(run, with_field(rows.schema, out_col, ArrayType(LongType())))
 
@@ -225,12 +225,12 @@ def decode_column(rows: DataFrame, ids_col: str, vocabulary, out_col: str = "dec
     place = rows.columns.index(ids_col)
 
     def run(batches):
-        encoder = worker_encoder(vocabulary)
-        for batch in batches:
-            texts = [b"".join(encoder.tokens[i] for i in ids or ())
-                     for ids in batch.column(place).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, out_col])
+        with worker_encoder(vocabulary) as encoder:
+            for batch in batches:
+                texts = [b"".join(encoder.tokens[i] for i in ids or ())
+                         for ids in batch.column(place).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, out_col])
 
     return rows.mapInArrow(run, with_field(rows.schema, out_col, BinaryType()))
 
@@ -241,18 +241,18 @@ def token_digests(rows: DataFrame, id_col: str, text_col: str, vocabulary, with_
     narrow = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
-        encoder = worker_encoder(vocabulary)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                encoded = [encoder.encode(t) for part in texts_of(batch.column(1)) for t in part]
-                columns = [
-                    batch.column(0), pa.array([len(ids) // 4 for ids in encoded], pa.int64()),
-                    pa.array([hashlib.sha256(ids).hexdigest() for ids in encoded], pa.string()),
-                    pa.array([hashlib.sha256(encoder.decode(ids)).hexdigest() for ids in encoded], pa.string())]
-                if with_ids:
-                    columns.append(pa.array([np.frombuffer(ids, "<i4") for ids in encoded], pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays(columns, names)
+        with worker_encoder(vocabulary) as encoder:
+            for whole in batches:
+                for at in range(0, whole.num_rows, 256):
+                    batch = whole.slice(at, 256)
+                    encoded = [encoder.encode(t) for part in texts_of(batch.column(1)) for t in part]
+                    columns = [
+                        batch.column(0), pa.array([len(ids) // 4 for ids in encoded], pa.int64()),
+                        pa.array([hashlib.sha256(ids).hexdigest() for ids in encoded], pa.string()),
+                        pa.array([hashlib.sha256(encoder.decode(ids)).hexdigest() for ids in encoded], pa.string())]
+                    if with_ids:
+                        columns.append(pa.array([np.frombuffer(ids, "<i4") for ids in encoded], pa.list_(pa.int32())))
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
     kind = narrow.schema["id"].dataType.simpleString()

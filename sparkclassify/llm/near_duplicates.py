@@ -51,7 +51,7 @@ from .textblocks import (LOWER, _U, blocks, mix, text_array, window_hashes, word
 class JaccardConfig:
     words: int = 5
     percent: int = 75
-    block_bytes: int = 8 << 20
+    block_bytes: int = 4 << 20
     unit_postings: int = 1_000_000   # larger units are searched in blocks
     mu: float = 0.0085               # DivideSkip's weight of a long list
 
@@ -95,10 +95,10 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, config: JaccardCon
 
     def run(batches):
         for batch in batches:
-            sets = [s for part in _block_sets(text_array(batch, "text"), config) for s in part]
+            found = [(s.size, _digest(s)) for part in _block_sets(text_array(batch, "text"), config) for s in part]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.size for s in sets], pa.int64()),
-                 pa.array([_digest(s) for s in sets], pa.binary())], ["id", "n_shingles", "cls"])
+                [batch.column(0), pa.array([n for n, _ in found], pa.int64()),
+                 pa.array([d for _, d in found], pa.binary())], ["id", "n_shingles", "cls"])
 
     kind = narrow.schema["id"].dataType.simpleString()
     return narrow.mapInArrow(run, f"id {kind}, n_shingles long, cls binary")
@@ -243,7 +243,8 @@ def _sets_of_block(rows: list[tuple], percent: int):
 def shared_shingles(docs: DataFrame, text_col: str, config: JaccardConfig) -> DataFrame:
     """``(cls, n, shared)`` of the classes that share enough shingles with
     others: ``shared`` packs the shared ids, the rarest first."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = 2 * tasks                  # a task reads its hash ranges one after the other
 
     def split(batches):
         for batch in batches:
@@ -266,9 +267,9 @@ def shared_shingles(docs: DataFrame, text_col: str, config: JaccardConfig) -> Da
                      pa.array([r[2] for r in out], pa.binary())], ["cls", "n", "shared"])
 
     pieces = docs.select(F.col(text_col).alias("text")).mapInArrow(split, _PIECES)
-    found = (pieces.repartition(parts, "part").sortWithinPartitions("part")
+    found = (pieces.repartition(tasks, "part").sortWithinPartitions("part")
              .mapInArrow(by_part, _PIECES))
-    sets = (found.repartition(parts, "block").sortWithinPartitions("block")
+    sets = (found.repartition(tasks, "block").sortWithinPartitions("block")
             .mapInArrow(by_block, "cls binary, n long, shared binary"))
     return settle(sets.dropDuplicates(["cls"]))
 
@@ -422,11 +423,13 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: st
     place = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
-            texts = text_array(pa.RecordBatch.from_arrays([batch.column(place)], ["text"]), "text")
-            found = [_digest(s) for part in _block_sets(texts, config) for s in part]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())],
-                                             [*batch.schema.names, cls])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):      # small batches back to the JVM
+                batch = whole.slice(at, 1024)
+                texts = text_array(pa.RecordBatch.from_arrays([batch.column(place)], ["text"]), "text")
+                found = [_digest(s) for part in _block_sets(texts, config) for s in part]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())],
+                                                 [*batch.schema.names, cls])
 
     marked = docs.mapInArrow(run, with_field(docs.schema, cls, BinaryType()))
     stay = marked.join(keeper, marked[cls].eqNullSafe(keeper["keep_cls"])

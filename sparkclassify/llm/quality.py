@@ -162,9 +162,11 @@ def quality_filter(docs: DataFrame, text_col: str = "text",
     place = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
-            texts = text_array(pa.RecordBatch.from_arrays([batch.column(place)], ["text"]), "text")
-            yield batch.filter(_profile_columns(texts, rules)[-1])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):      # small batches back to the JVM
+                batch = whole.slice(at, 1024)
+                texts = text_array(pa.RecordBatch.from_arrays([batch.column(place)], ["text"]), "text")
+                yield batch.filter(_profile_columns(texts, rules)[-1])
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -39,7 +39,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power_tables(n: int):
     if _powers[0].size < n:
-        size = 1 << max(16, int(n - 1).bit_length())
+        size = -(-n // (1 << 16)) * (1 << 16)
         for k, base in ((0, _PRIME), (1, _INVERSE)):
             steps = np.full(size, base, _U)
             steps[0] = 1
@@ -57,9 +57,9 @@ def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
 
 
 def text_array(batch: pa.RecordBatch, column: str) -> pa.Array:
-    """The text column as plain UTF-8, null as empty."""
-    texts = pc.fill_null(batch.column(batch.schema.get_field_index(column)), "")
-    return texts.cast(pa.large_string())
+    """The text column, null as empty; not copied unless it has nulls."""
+    texts = batch.column(batch.schema.get_field_index(column))
+    return pc.fill_null(texts, "") if texts.null_count else texts
 
 
 def blocks(texts: pa.Array, limit: int = BLOCK_BYTES):
@@ -67,7 +67,9 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES):
     ``offsets`` has one entry more than the block has documents."""
     _, offset_buffer, data_buffer = texts.buffers()
     n = len(texts)
-    offsets = np.frombuffer(offset_buffer, np.int64, n + 1, texts.offset * 8)
+    kind = np.dtype(np.int64 if pa.types.is_large_string(texts.type) else np.int32)
+    offsets = (np.frombuffer(offset_buffer, kind, n + 1, texts.offset * kind.itemsize).astype(np.int64)
+               if n else np.zeros(1, np.int64))
     raw = (np.frombuffer(data_buffer, np.uint8) if data_buffer is not None and data_buffer.size
            else np.zeros(0, np.uint8))
     row = 0

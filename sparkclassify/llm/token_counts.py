@@ -30,10 +30,10 @@ BAND = 1024
 def encoded_lengths(rows: DataFrame, text_col: str, vocabulary) -> DataFrame:
     """``n_tokens`` of every row."""
     def run(batches):
-        encoder = worker_encoder(vocabulary)
-        for batch in batches:
-            sizes = [len(encoder.encode(t)) // 4 for part in texts_of(batch.column(0)) for t in part]
-            yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64())], ["n_tokens"])
+        with worker_encoder(vocabulary) as encoder:
+            for batch in batches:
+                sizes = [len(encoder.encode(t)) // 4 for part in texts_of(batch.column(0)) for t in part]
+                yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64())], ["n_tokens"])
 
     return rows.select(F.col(text_col).alias("text")).mapInArrow(run, "n_tokens long")
 
