@@ -8,7 +8,7 @@ from .mixing import op7_mixing
 from .near_duplicates import OP3_SQL, op3_jaccard_join
 from .pii import OP4_SQL, op4_personal_data
 from .quality import OP9_SQL, op9_quality
-from .repeats import op10_repeats
+from .repeats import OP10_SQL, op10_repeats
 from .sharding import op2_sharding
 from .token_counts import op6_token_counts
 from .top_k import OP5_SQL, op5_top_k
@@ -30,4 +30,5 @@ ORACLE_SQL = {
     "op4_personal_data": OP4_SQL,
     "op5_top_k": OP5_SQL,
     "op9_quality": OP9_SQL,
+    "op10_repeats": OP10_SQL,
 }

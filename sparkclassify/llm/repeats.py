@@ -24,7 +24,9 @@ found, over all documents, without one corpus-wide suffix array.
   task before the exchange.
 
 Equal texts are one entry (``key``); a text that occurs twice is repeated as
-a whole.  Counting combines before each exchange; no exchange gathers a group.
+a whole.  A block of documents settles the phrases it holds several times by
+itself and sends each phrase once, so periodic text, copies and frequent
+passages cost one row per block.
 Equality is by 64-bit hashes of the bytes, by the bytes themselves inside the
 orders.
 
@@ -130,9 +132,31 @@ def _keyed(docs: DataFrame, text_col: str, *more) -> DataFrame:
     return docs.select(*more, text.alias("text")).withColumn("key", F.xxhash64("text"))
 
 
+def _settled_here(row, k, f, pos, config: RepeatConfig):
+    """Phrases that a block holds several times are repeated whatever the
+    rest of the corpus says: ``(index of the first of each phrase, its times
+    (1, or 2 for more), merged spans (row, a, b) of those with more)``."""
+    order = np.lexsort((f, k))
+    new = np.ones(k.size, bool)
+    new[1:] = (k[order][1:] != k[order][:-1]) | (f[order][1:] != f[order][:-1])
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, k.size))
+    several = np.sort(order[np.repeat(count > 1, count)])        # in text order
+    row, begin = row[several], pos[several] >> 20
+    end = begin + (pos[several] & 1023) + config.length
+    reach = np.maximum.accumulate(end + (row << 32)) if row.size else end
+    opens = np.ones(row.size, bool)
+    opens[1:] = begin[1:] + (row[1:] << 32) > reach[:-1]
+    opens = np.flatnonzero(opens)
+    last = np.append(opens[1:], row.size)[:opens.size] - 1
+    return order[first], np.minimum(count, 2), (row[opens], begin[opens], reach[last] - (row[last] << 32))
+
+
 def phrases(docs: DataFrame, text_col: str, config: RepeatConfig) -> DataFrame:
-    """``(k, f, key, pos)`` of all phrases; ``pos`` packs first window,
-    trigger and last window.  A block sends equal texts once."""
+    """``(k, f, key, pos, times, a, b)``: each phrase once per block, ``pos``
+    packing first window, trigger and last window; and, with ``a`` set, the
+    spans of phrases the block itself holds several times (``k`` only spreads
+    them).  A block sends equal texts once."""
     def run(batches):
         for batch in batches:
             keys = batch.column(1).to_numpy()
@@ -140,12 +164,18 @@ def phrases(docs: DataFrame, text_col: str, config: RepeatConfig) -> DataFrame:
             batch = batch.take(pa.array(np.sort(one)))
             keys = batch.column(1).to_numpy()
             for row, k, f, pos in _block_phrases(text_array(batch, "text"), config):
-                if row.size:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(k.view(np.int64)), pa.array(f.view(np.int64)),
-                         pa.array(keys[row]), pa.array(pos)], ["k", "f", "key", "pos"])
+                if not row.size:
+                    continue
+                at, times, (held, a, b) = _settled_here(row, k, f, pos, config)
+                none, gone = pa.nulls(at.size, pa.int64()), pa.nulls(held.size, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(k[at].view(np.int64)), pa.array(f[at].view(np.int64)), pa.array(keys[row[at]]),
+                     pa.array(pos[at]), pa.array(times.astype(np.int64)), none, none], names)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[held]), gone, pa.array(keys[held]), gone, gone, pa.array(a), pa.array(b)], names)
 
-    return _keyed(docs, text_col).mapInArrow(run, "k long, f long, key long, pos long")
+    names = ["k", "f", "key", "pos", "times", "a", "b"]
+    return _keyed(docs, text_col).mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 # -- order -------------------------------------------------------------------
@@ -268,14 +298,16 @@ def repeat_spans(docs: DataFrame, text_col: str = "text",
     hash, the byte spans (possibly overlapping) covered by repeated strings."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = phrases(docs, text_col, config)
-    groups = (found.groupBy("k").agg(F.count("*").alias("c"), F.min("f").alias("x"), F.max("f").alias("y"))
+    groups = (found.filter("a IS NULL").groupBy("k")
+              .agg(F.sum("times").alias("c"), F.min("f").alias("x"), F.max("f").alias("y"))
               .filter("c > 1").select("k", (F.col("x") == F.col("y")).alias("same")))
-    shared = settle(found.join(groups, "k"))
+    kept = settle(found.join(groups, "k", "left").filter("a IS NOT NULL OR same IS NOT NULL"))
+    shared = kept.filter("a IS NULL")
     first = F.shiftright("pos", 20)
     span = ["key", first.alias("a"), (first + F.col("pos").bitwiseAND(1023) + config.length).alias("b")]
     mixed = shared.filter("NOT same")
     copies = settle(mixed.groupBy("k", "f").agg(
-        F.count("*").alias("c"), F.min(F.struct("key", "pos")).alias("one")))
+        F.sum("times").alias("c"), F.min(F.struct("key", "pos")).alias("one")))
     whole = mixed.join(copies.filter("c > 1").select("k", "f"), ["k", "f"], "left_semi")
     wide = copies.groupBy("k").agg(F.count("*").alias("d"))
     wanted = (copies.join(wide, "k").select(
@@ -298,7 +330,8 @@ def repeat_spans(docs: DataFrame, text_col: str = "text",
                     ["k", "f", "key", "pos", "whole", "text", "frequent"])
 
     contexts = settle(needed.select("key", "text", "want").mapInArrow(cut, _CONTEXT + ", frequent boolean"))
-    spans = (shared.filter("same").select(*span)
+    spans = (kept.filter("a IS NOT NULL").select("key", "a", "b")
+             .unionByName(shared.filter("same").select(*span))
              .unionByName(whole.select(*span))
              .unionByName(_ordered_spans(contexts.filter("NOT frequent").drop("frequent"), config, parts))
              .unionByName(_counted_spans(contexts.filter("frequent").drop("frequent"), config)))
@@ -357,3 +390,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def op10_repeats(spark, sf_dir):
     """Removed repeats of every row of ``documents``."""
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), digest=True)
+
+
+OP10_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+starts AS (
+  SELECT r, unnest(range(octet_length(b) - 399)) AS p,
+    unnest([md5(hex(b[i + 1:i + 400])) FOR i IN range(octet_length(b) - 399)]) AS h
+  FROM d WHERE octet_length(b) >= 400),
+hit AS (
+  SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY h) AS c FROM starts) WHERE c > 1),
+edge AS (
+  SELECT r, p, CASE WHEN p > coalesce(max(p) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 400, -1)
+    THEN 1 ELSE 0 END AS opens FROM hit),
+numbered AS (SELECT r, p, sum(opens) OVER (PARTITION BY r ORDER BY p) AS g FROM edge),
+span AS (SELECT r, g, min(p) AS x, max(p) + 400 AS y FROM numbered GROUP BY r, g),
+cut AS (
+  SELECT r, g, coalesce(lag(y) OVER (PARTITION BY r ORDER BY x), 0) AS x, x AS y FROM span
+  UNION ALL SELECT r, 1000000000, coalesce(max(y), 0), max(octet_length(b)) FROM d LEFT JOIN span USING (r) GROUP BY r),
+kept AS (
+  SELECT r, sha256(unhex(string_agg(hex(b[x + 1:y]), '' ORDER BY x))) AS kept_sha256, sum(y - x) AS n_kept FROM cut JOIN d USING (r) GROUP BY r)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(octet_length(b) - n_kept AS BIGINT) AS n_removed,
+  (SELECT count(*) FROM span WHERE span.r = d.r) AS n_spans, kept_sha256
+FROM d JOIN kept USING (r)"""
