@@ -189,9 +189,10 @@ def _indices(raw: bytes, count: int) -> np.ndarray:
 
 def _shared_of_part(rows: list[tuple]):
     """Of one hash range: per block, the shingles that two sets or more hold,
-    with the (capped) power of two of how many; table rows pass through."""
-    yield from (r for r in rows if r[2] is not None)
-    rows = [r for r in rows if r[2] is None]
+    with the (capped) power of two of how many; table rows pass through.
+    Blocks of the same classes have one name and equal rows; one of each counts."""
+    yield from {r[1]: r for r in rows if r[2] is not None}.values()
+    rows = list({r[1]: r for r in rows if r[2] is None}.values())
     if not rows:
         return
     ids = np.concatenate([unpack_hashes(r[5]) for r in rows])

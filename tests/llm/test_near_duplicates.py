@@ -67,6 +67,19 @@ def test_against_brute_force(spark, config):
     assert len({r.component_id for r in got}) < len(got)
 
 
+@pytest.mark.parametrize("copies", [1, 2, 3])
+def test_blocks_of_the_same_classes_count_once(spark, copies):
+    words = [f"w{i}" for i in range(54)]            # 50 shingles, 40 of them in common: Jaccard 0.67
+    near = " ".join(words[:44] + [f"x{i}" for i in range(10)])
+    rows = [(i, " ".join(words)) for i in range(copies)] + [(10 + i, near) for i in range(copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets, component = brute(rows)
+    assert len(sets[0] & sets[-1]) == 40 and len(set(component)) == 2
+    got = near_duplicate_components(docs, config=JaccardConfig(block_bytes=64)).collect()
+    assert sorted(map(tuple, got)) == [(i, 50, 10 * (i // 10)) for i, _ in sorted(rows)]
+    assert keep_one_per_component(docs, config=JaccardConfig(block_bytes=64)).count() == 2
+
+
 def test_one_of_each_component_stays(spark):
     docs = cases.documents(spark, extra=near_copies(random.Random(12), 5, 5))
     kept = keep_one_per_component(docs)
