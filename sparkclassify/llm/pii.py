@@ -2,19 +2,22 @@
 
 Base kinds (email, ip, card, phone) are found by patterns and checks.  Terms
 are found by information-theoretic sanitisation: over the whole corpus it is
-counted how often a term stands near a protected value (a base match, by
-kind and lower-cased text), and how often each occurs at all.  With
+counted how many documents hold a term and a protected value (a base match, by
+kind and lower-cased text), and how many hold each at all.  With
 ``PMI(e; t) = log2(p(e,t) / (p(e) p(t)))`` and ``IC(e) = -log2 p(e)``, the term
-discloses the share ``PMI / IC`` of what the value says.  Near the value, a
-term over ``remove_share`` is removed and one over ``generalise_share`` is
-replaced by the word "term", if at least ``support`` different texts show the
-pair.  Documents without a protected value are left alone.
-
-"Near" is within ``reach`` characters, so a document's pairs grow with its
-protected values and not with their product with its words.  Counts combine
-before each exchange; copies of a text count in the probabilities but only
-once for the support.  DataFrame functions only, no text goes through an
-exchange except in ``sanitise``.
+discloses the share ``PMI / IC`` of what the value says.  Wherever it stands in
+a text that holds the value, a term over ``remove_share`` is removed and one
+over ``generalise_share`` is replaced by the word "term", if at least
+``support`` different texts show the pair.  Documents without a protected value
+are left alone.
+
+Terms are counted against the values that ``support`` different texts hold, as
+no other value can have a pair.  Copies of a text are counted as one text with
+a weight, so they count in the probabilities but only once for the support.
+Counts combine before each exchange.  DataFrame functions only; of the texts,
+only those with such values go through an exchange, except in ``sanitise``.
+``reach`` has no part in this; the SQL, which looks that far from a value only,
+gives the same where no disclosing term stands further off.
 
 Defined results: null is the empty text and stays null when sanitised; an
 empty table gives an empty result; repeated rows are equal texts; positions
@@ -108,6 +111,7 @@ def _located(matches: Column, pieces: Column, offset: Column) -> Column:
 
 
 _SPAN = "array<struct<start:int,end:int,kind:int,value:string>>"
+_PLACES = "array<struct<start:int,end:int,removed:boolean>>"
 
 
 def base_spans(docs: DataFrame, text_col: str, keep) -> DataFrame:
@@ -139,44 +143,58 @@ def _value_key(span) -> Column:
     return F.concat(F.element_at(names, span["kind"] + 1), F.lit(":"), F.lower(span["value"]))
 
 
-def _near_terms(text: Column, base: Column, reach: int) -> Column:
-    """``(e, t, start, end)`` of the words near each base span, words cut by
-    the edge of the reach and words inside base spans left out."""
-    def words(from_, size, cut_left, cut_right, key):
-        part = F.substring(text, from_ + 1, size)
-        cleared = F.when(cut_left, F.regexp_replace(part, r"^\p{L}+", "")).otherwise(part)
-        at = from_ + F.length(part) - F.length(cleared)
-        cleared = F.when(cut_right, F.regexp_replace(cleared, r"\p{L}+$", "")).otherwise(cleared)
-        found = _located(F.regexp_extract_all(cleared, F.lit(_TERM), F.lit(0)), F.split(cleared, _TERM, -1), at)
-        return F.transform(found, lambda w: F.struct(
-            key.alias("e"), F.lower(w["value"]).alias("t"), w["start"].alias("start"), w["end"].alias("end")))
-
-    def around(span):
-        left = F.greatest(F.lit(0), span["start"] - reach)
-        key = _value_key(span)
-        return F.concat(
-            words(left, span["start"] - left, left > 0, F.lit(False), key),
-            words(span["end"], F.lit(reach), F.lit(False), span["end"] + reach < F.length(text), key))
-
-    free = F.filter(F.flatten(F.transform(base, around)), lambda w: ~F.exists(
-        base, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
-    return F.array_distinct(free)
-
-
-def disclosing_pairs(found: DataFrame, docs: DataFrame, text_col: str, config: PiiConfig) -> DataFrame:
-    """``(e, t, removed)`` of the pairs over a threshold.  ``found`` has, per
-    row of ``docs``, the text's hash ``h``, its values ``es`` and near words
-    ``near``."""
+def _without_base(text: Column, base: Column) -> Column:
+    """``text`` with spaces for its base spans: all other words keep their places."""
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(
+        base, begin,
+        lambda acc, s: F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.concat(acc["out"], F.array(
+                F.substring(text, acc["at"] + 1, F.greatest(F.lit(0), s["start"] - acc["at"])),
+                F.repeat(F.lit(" "), F.greatest(F.lit(0), s["end"] - F.greatest(acc["at"], s["start"]))))).alias("out")),
+        lambda acc: F.concat(F.concat_ws("", acc["out"]), F.substring(text, acc["at"] + 1, F.length(text))))
+
+
+def _terms_of(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), F.lower))
+
+
+def _places(text: Column, removed: Column, shown: Column) -> Column:
+    """``(start, end, removed)`` of each word of ``text`` in one of the lists;
+    only what is found is gathered, so a long text costs its words."""
+    words = F.zip_with(
+        F.split(text, _TERM, -1), F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)),
+        lambda p, w: F.struct(
+            F.length(p).alias("gap"), F.coalesce(F.length(w), F.lit(0)).alias("size"),
+            F.when(F.array_contains(removed, F.lower(w)), True).when(F.array_contains(shown, F.lower(w)), False).alias("removed")))
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_PLACES).alias("out"))
+    return F.aggregate(
+        words, begin,
+        lambda acc, x: F.struct(
+            (acc["at"] + x["gap"] + x["size"]).alias("at"),
+            F.when(x["removed"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(
+                (acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["size"]).alias("end"),
+                x["removed"].alias("removed"))))).alias("out")),
+        lambda acc: acc["out"])
+
+
+def disclosing_pairs(found: DataFrame, held: DataFrame, docs: DataFrame, text_col: str, config: PiiConfig) -> DataFrame:
+    """``(e, t, removed)`` of the pairs over a threshold.  ``found`` has the
+    number ``row`` and the text ``free`` of values of rows with values; ``held``
+    has ``(row, copies, e)``, one row of each such text and each of its values."""
     total = docs.agg(F.count("*").cast("double").alias("d"))
-    seen = (found.filter(F.size("near") > 0).select(
-        "h", F.explode(F.array_distinct(F.transform("near", lambda w: F.struct(w["e"].alias("e"), w["t"].alias("t"))))).alias("p"))
-        .groupBy("p.e", "p.t", "h").agg(F.count("*").alias("c")))
-    pairs = settle(seen.groupBy("e", "t").agg(F.sum("c").alias("n_et"), F.count("*").alias("texts"))
+    values = held.groupBy("e").agg(F.sum("copies").alias("n_e"), F.count("*").alias("texts")).filter(
+        F.col("texts") >= config.support).drop("texts")
+    known = (held.join(values.select("e"), "e", "left_semi").groupBy("row")
+             .agg(F.max("copies").alias("copies"), F.collect_list("e").alias("es")))
+    both = (found.join(known, "row").select("copies", "es", F.explode(_terms_of(F.col("free"))).alias("t"))
+            .select("copies", "t", F.explode("es").alias("e")))
+    pairs = settle(both.groupBy("e", "t").agg(F.sum("copies").alias("n_et"), F.count("*").alias("texts"))
                    .filter(F.col("texts") >= config.support))
-    values = found.filter(F.size("es") > 0).select(F.explode("es").alias("e")).groupBy("e").agg(F.count("*").alias("n_e"))
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
         F.lower(F.col(text_col)), F.lit(_TERM), F.lit(0)))).alias("t"))
-    terms = words.join(pairs.select("t").distinct(), "t", "left_semi").groupBy("t").agg(F.count("*").alias("n_t"))
+    terms = words.groupBy("t").agg(F.count("*").alias("n_t"))
     share = F.log2(F.col("n_et") * F.col("d") / (F.col("n_e") * F.col("n_t"))) / F.log2(F.col("d") / F.col("n_e"))
     scored = (pairs.join(values, "e").join(terms, "t").withColumn("d", total.scalar())
               .filter(F.col("n_e") < F.col("d")).withColumn("share", F.round(share, 9)))
@@ -190,17 +208,23 @@ def _analysed(docs: DataFrame, text_col: str, keep, config: PiiConfig):
     base = F.col("__base")
     rows = settle(spans.select(
         *[F.col(f"`{c}`") for c in keep], F.xxhash64("__text").alias("__h"), "__base",
-        F.when(F.size(base) > 0, _near_terms(F.col("__text"), base, config.reach)).otherwise(
-            F.array().cast("array<struct<e:string,t:string,start:int,end:int>>")).alias("__near"),
-        F.array_distinct(F.transform(base, _value_key)).alias("__es")))
-    found = rows.select(F.col("__h").alias("h"), F.col("__near").alias("near"), F.col("__es").alias("es"))
-    pairs = disclosing_pairs(found, docs, text_col, config)
-    near = (found.filter(F.size("near") > 0).dropDuplicates(["h"]).select("h", F.explode("near").alias("w"))
-            .select("h", "w.*"))
-    terms = (near.join(pairs, ["e", "t"]).groupBy("h", "start", "end").agg(F.max("removed").alias("removed"))
-             .groupBy("h").agg(F.collect_list(F.struct("start", "end", "removed")).alias("__terms"))
-             .withColumnRenamed("h", "__h"))
-    return rows.drop("__near", "__es"), terms
+        F.monotonically_increasing_id().alias("__row"),
+        F.when(F.size(base) > 0, _without_base(F.col("__text"), base)).alias("__free")))
+    valued = rows.filter(F.size(base) > 0)
+    found = valued.select(F.col("__row").alias("row"), F.col("__h").alias("h"), F.col("__free").alias("free"))
+    texts = found.groupBy("h").agg(F.min("row").alias("row"), F.count("*").alias("copies")).drop("h")
+    held = settle(valued.select(F.col("__row").alias("row"), F.array_distinct(F.transform("__base", _value_key)).alias("es"))
+                  .join(texts, "row").select("row", "copies", F.explode("es").alias("e")))
+    pairs = disclosing_pairs(found.drop("h"), held, docs, text_col, config)
+    of_value = pairs.groupBy("e").agg(F.collect_list(F.when(F.col("removed"), F.col("t"))).alias("removed"),
+                                      F.collect_list(F.when(~F.col("removed"), F.col("t"))).alias("shown"))
+    lists = (held.join(of_value, "e").groupBy("row")
+             .agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("removed", "shown")]))
+    own = found.join(lists, "row").withColumn("own", _terms_of(F.col("free"))).select(
+        "h", "free", *[F.array_intersect("own", c).alias(c) for c in ("removed", "shown")])
+    terms = (own.filter(F.size("removed") + F.size("shown") > 0)
+             .select(F.col("h").alias("__h"), _places(F.col("free"), F.col("removed"), F.col("shown")).alias("__terms")))
+    return rows.drop("__row", "__free"), terms
 
 
 def _joined(spans: Column) -> Column:
@@ -215,7 +239,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     names = F.array(*map(F.lit, (*KINDS, TERM)))
     base = F.transform("__base", lambda s: F.struct(
         s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    more = F.transform(F.coalesce("__terms", F.array().cast("array<struct<start:int,end:int,removed:boolean>>")),
+    more = F.transform(F.coalesce("__terms", F.array().cast(_PLACES)),
                        lambda s: F.struct(s["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), s["end"].alias("end")))
     named = lambda spans: F.transform(F.array_sort(spans), lambda s: F.struct(
         F.element_at(names, s["kind"] + 1).alias("name"), s["start"].alias("start"), s["end"].alias("end")))
@@ -239,7 +263,7 @@ def sanitise(docs: DataFrame, text_col: str = "text", config: PiiConfig = PiiCon
     tags = F.array(*[F.lit(f"[{k}]") for k in (*KINDS, TERM)])
     base = F.transform("__base", lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), F.element_at(tags, s["kind"] + 1).alias("tag")))
-    more = F.transform(F.coalesce("__terms", F.array().cast("array<struct<start:int,end:int,removed:boolean>>")),
+    more = F.transform(F.coalesce("__terms", F.array().cast(_PLACES)),
                        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(
                            s["removed"], F.lit("")).otherwise(f"[{TERM}]").alias("tag")))
     # of overlapping spans the first one's tag stands for all

@@ -95,6 +95,31 @@ def test_disclosing_terms(spark):
     assert not any("term" in r.spans for r in none.collect())
 
 
+def test_terms_far_from_the_value(spark):
+    rng = random.Random(5)
+    far = lambda: " ".join("filler" for _ in range(60))
+    rows = [(i, f"{cases.prose(rng, 20)} filler") for i in range(300)]
+    for i in range(5):                              # beside the value, and again far from it
+        rows.append((1000 + i, f"Zoltan z.k@mail.example {far()} {i} ZOLTAN, {far()} zoltan"))
+    for i in range(5):                              # never near the value
+        rows.append((1100 + i, f"Umberto {i} {far()} +1 (377) 555-0271"))
+    for i in range(5):                              # near one value of two
+        rows.append((1200 + i, f"q.r@mail.example {far()} {i} 10.1.2.3 Xanthippe"))
+    for i in range(5):                              # near it twice, far from it as often as that
+        rows.append((1300 + i, f"v.w@mail.example {far()} {i} quartz" if i else "v.w@mail.example quartz"))
+    df = spark.createDataFrame(rows + [(2000, "Zoltan and Umberto")], "doc_id long, text string")
+    text = dict(rows)
+    named = {1000: "zoltan", 1100: "umberto", 1200: "xanthippe", 1300: "quartz"}
+    for r in find_personal_data(df).collect():
+        got = [s.split(":")[1:] for s in r.spans.split(",") if s.startswith("term:")]
+        name = named.get(r.doc_id // 100 * 100, "none")
+        want = [[str(m.start()), str(m.end())] for m in re.finditer(name, text.get(r.doc_id, "").lower())]
+        assert got == want, (r.doc_id, r.spans)
+    clean = {r.doc_id: r.text for r in sanitise(df).collect()}
+    assert not any(re.search("zoltan|umberto|xanthippe|quartz", clean[i].lower()) for i in text if i >= 1000)
+    assert clean[2000] == "Zoltan and Umberto" and all(clean[i] == text[i] for i in text if i < 1000)
+
+
 def test_sanitise_keeps_columns(spark):
     docs = cases.documents(spark)
     out = sanitise(docs)
