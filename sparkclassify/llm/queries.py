@@ -10,6 +10,7 @@ from .pii import OP4_SQL, op4_personal_data
 from .quality import OP9_SQL, op9_quality
 from .repeats import OP10_SQL, op10_repeats
 from .sharding import op2_sharding
+from .simhash import op12_simhash
 from .token_counts import op6_token_counts
 from .top_k import OP5_SQL, op5_top_k
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_repeats": op10_repeats,
+    "op12_simhash": op12_simhash,
 }
 ORACLE_SQL = {
     "op3_jaccard_join": OP3_SQL,
