@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op8_bpe
+from .collocations import OP13_SQL, op13_collocations
 from .language import op1_language
 from .mixing import op7_mixing
 from .near_duplicates import OP3_SQL, op3_jaccard_join
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_repeats": op10_repeats,
     "op12_simhash": op12_simhash,
+    "op13_collocations": op13_collocations,
 }
 ORACLE_SQL = {
     "op3_jaccard_join": OP3_SQL,
@@ -33,4 +35,5 @@ ORACLE_SQL = {
     "op5_top_k": OP5_SQL,
     "op9_quality": OP9_SQL,
     "op10_repeats": OP10_SQL,
+    "op13_collocations": OP13_SQL,
 }
