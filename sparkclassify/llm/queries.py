@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op8_bpe
 from .collocations import OP13_SQL, op13_collocations
+from .conversations import OP11_SQL, op11_conversations
 from .language import op1_language
 from .mixing import op7_mixing
 from .near_duplicates import OP3_SQL, op3_jaccard_join
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_repeats": op10_repeats,
+    "op11_conversations": op11_conversations,
     "op12_simhash": op12_simhash,
     "op13_collocations": op13_collocations,
 }
@@ -35,5 +37,6 @@ ORACLE_SQL = {
     "op5_top_k": OP5_SQL,
     "op9_quality": OP9_SQL,
     "op10_repeats": OP10_SQL,
+    "op11_conversations": OP11_SQL,
     "op13_collocations": OP13_SQL,
 }
