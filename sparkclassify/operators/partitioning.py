@@ -3,13 +3,29 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..session import materialize
 
-FIT_PARTITIONS = 8
+
+@dataclass(frozen=True)
+class FitLayout:
+    """How the rows of a fit lie: hash partitions of the key, in key order.
+
+    Tree bagging draws per partition, so a forest depends on the number of
+    partitions.  It is ``partitions`` if that is given, else it follows from
+    the number of rows alone: enough partitions that none is meant to hold more
+    than ``rows_per_partition``.  Neither the cluster nor the files the rows
+    come from matter, and no partition grows with the data.
+    """
+    rows_per_partition: int = 1 << 16
+    partitions: int | None = None
+
+    def count(self, rows: int) -> int:
+        return self.partitions or max(1, -(-rows // self.rows_per_partition))
 
 
 def by_key(df: DataFrame, keys, num_partitions: int | None = None) -> DataFrame:
@@ -39,17 +55,20 @@ def spread(df: DataFrame, keys, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(want, *cols)
 
 
-def fit_table(df: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
+def fit_table(df: DataFrame, key: str, layout: FitLayout = FitLayout()) -> DataFrame:
     """A feature table for iterative fits: computed once into the shared
-    folder, then read in one layout, ``partitions`` hash partitions of ``key``
-    in key order.
-
-    Tree bagging and sampling draw per partition, so a fixed layout makes a
-    fit the same on any cluster and for any layout of the input.  Feature rows
-    are small; raise ``partitions`` so that one fits in a task's memory.
-    """
+    folder, then read in one layout (see ``FitLayout``), so that a fit is the
+    same on any cluster and for any layout of the input.  Rows of one key stand
+    in the order of their other columns; the number of partitions can be read
+    from the result (``layout_of``)."""
     written = materialize(df, "features")
-    return written.repartition(partitions, key).sortWithinPartitions(key)
+    rest = [c for c in written.columns if c != key]
+    return written.repartition(layout.count(written.count()), key).sortWithinPartitions(key, *rest)
+
+
+def layout_of(df: DataFrame) -> int:
+    """Number of partitions of a ``fit_table``; plans it, runs no job."""
+    return df.rdd.getNumPartitions()
 
 
 @contextmanager

@@ -15,13 +15,13 @@ the split is the same on any cluster.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.metrics import area_under_roc, both_areas, classification_summary
-from ..operators.models import build_pipeline, logistic_regression, random_forest
-from ..operators.partitioning import fit_table, kept
+from ..operators.models import build_pipeline, random_forest
+from ..operators.newton import NewtonLogistic, newton_logistic
+from ..operators.partitioning import FitLayout, fit_table, kept
 from ..operators.sampling import hash_split
 from ..operators.text_model import fit_text_vectors, score_text_vectors
 from ..operators.tuning import IMPURITY_GRID, MAX_DEPTH_GRID, NUM_TREES_GRID, holdout_search
@@ -55,24 +55,33 @@ def prepare(train: DataFrame, target: str):
 _SEARCHES: dict = {}
 
 
-def forest_search(spark, sf_dir, target: str, tuner_ratio: float, grid=None) -> tuple:
+def fingerprint(rows: DataFrame) -> tuple:
+    """Number of rows and sum of their hashes: one cheap aggregate that says
+    whether a table's contents are those of before, in any order."""
+    hashed = F.xxhash64(*[F.col(c) for c in rows.columns]).cast("decimal(20,0)")
+    return tuple(rows.agg(F.count(F.lit(1)), F.sum(hashed)).first())
+
+
+def forest_search(spark, sf_dir, target: str, tuner_ratio: float, grid=None,
+                  layout: FitLayout = FitLayout()) -> tuple:
     """``(data parts, preparation, search)`` of a tuned forest job.  The
-    search itself (120 numbers) is remembered for the session, so queries
-    that report on one job do not repeat it."""
-    data = fit_table(doc_stat_table(spark, sf_dir, target), "doc_id")
+    search itself (120 numbers) is remembered for the session by the contents
+    of the rows, so queries that report on one job do not repeat it and a table
+    that changes behind its path is searched anew."""
+    data = fit_table(doc_stat_table(spark, sf_dir, target), "doc_id", layout)
     train, test = hash_split(data, ["doc_id"], [0.85, 0.15], SPLIT_SEED)
     ready = prepare(train, target)
-    known = (spark.sparkContext.applicationId, sf_dir, target, tuner_ratio, str(grid))
+    known = (spark.sparkContext.applicationId, fingerprint(data), target, tuner_ratio, str(grid), layout)
     if known not in _SEARCHES:
         _SEARCHES[known] = holdout_search(random_forest(), grid or FULL_GRID, ready.transform(train),
                                           train_ratio=tuner_ratio)
     return train, test, ready, _SEARCHES[known]
 
 
-def tuned_forest(spark, sf_dir, target: str, tuner_ratio: float, grid=None):
+def tuned_forest(spark, sf_dir, target: str, tuner_ratio: float, grid=None, layout: FitLayout = FitLayout()):
     """Search on the training part, refit the winner on all of it, score the
     test part: ``(scored test rows, fitted forest, search)``."""
-    train, test, ready, search = forest_search(spark, sf_dir, target, tuner_ratio, grid)
+    train, test, ready, search = forest_search(spark, sf_dir, target, tuner_ratio, grid, layout)
     names = {"numTrees": "num_trees", "maxDepth": "max_depth", "impurity": "impurity"}
     best = random_forest(**{names[k]: v for k, v in search.candidates[search.best].items()})
     with kept(ready.transform(train)) as prepared:
@@ -80,8 +89,8 @@ def tuned_forest(spark, sf_dir, target: str, tuner_ratio: float, grid=None):
     return model.transform(ready.transform(test)), model, search
 
 
-def forest_job(spark, sf_dir, target: str, tuner_ratio: float) -> DataFrame:
-    scored, _, _ = tuned_forest(spark, sf_dir, target, tuner_ratio)
+def forest_job(spark, sf_dir, target: str, tuner_ratio: float, layout: FitLayout = FitLayout()) -> DataFrame:
+    scored, _, _ = tuned_forest(spark, sf_dir, target, tuner_ratio, layout=layout)
     return scored.select("doc_id", target, "label", "prediction")
 
 
@@ -109,30 +118,35 @@ def job_tuned_forest_binary_eval(spark, sf_dir):
     return classification_summary(job_tuned_forest_binary(spark, sf_dir))
 
 
-def logistic_job(spark, sf_dir, split=(0.75, 0.25), reg_param: float = 0.0):
-    """J3 core: [indexer, assembler, LR] fitted on the training part.
-    Returns ``(scored test rows, LR model, prepared training rows)``; ``p`` is
-    the probability of class 1 (the less frequent quality)."""
-    data = fit_table(doc_stat_table(spark, sf_dir, "quality"), "doc_id")
+def logistic_job(spark, sf_dir, split=(0.75, 0.25)) -> tuple[DataFrame, NewtonLogistic, DataFrame]:
+    """J3 core: [indexer, features, LR] fitted on the training part.
+    Returns ``(scored test rows, fit, labelled training rows)``; ``p`` is the
+    probability of class 1 (the less frequent quality).  The original's
+    regularisation strength is 0, so the fit has none; sums over rows do not
+    depend on a layout, so none is fixed."""
+    data = materialize(doc_stat_table(spark, sf_dir, "quality"), "features")
     train, test = hash_split(data, ["doc_id"], list(split), SPLIT_SEED)
-    ready = prepare(train, "quality")
-    prepared = ready.transform(train)
-    with kept(prepared) as rows:
-        model = logistic_regression("features", "label", reg_param=reg_param, elastic_net=0.75).fit(rows)
-    out = model.transform(ready.transform(test)).select(
-        "doc_id", "label", "prediction",
-        vector_to_array("rawPrediction")[1].alias("raw_score"),
-        vector_to_array("probability")[1].alias("p"))
-    return out, model, prepared
-
-
-@register("job_logistic_binary")
+    index = label_indexer("quality", "label", handle_invalid="skip").fit(train)
+    labelled = index.transform(train)
+    model = newton_logistic(labelled, feature_names())
+    out = model.transform(index.transform(test)).select("doc_id", "label", "prediction", "raw_score", "p")
+    return out, model, labelled
+
+
+LR_SCORED_SQL = f"""WITH {S.newton_chain([0.75, 0.25], SPLIT_SEED)}"""
+
+
+@register("job_logistic_binary", LR_SCORED_SQL + """
+SELECT doc_id, label, prediction, raw_score, p FROM lr_scored WHERE part = 1""", round6=("raw_score", "p"))
 def job_logistic_binary(spark, sf_dir):
     """J3: held-out predictions with raw score and probability of class 1."""
     return logistic_job(spark, sf_dir)[0]
 
 
-@register("job_logistic_binary_eval")
+@register("job_logistic_binary_eval", LR_SCORED_SQL + f""",
+raw AS ({S.areas('raw_score')}), hard AS ({S.areas('prediction')})
+SELECT raw.auroc, hard.auroc AS auroc_hard, hard.aupr AS aupr_hard FROM raw, hard""",
+          round6=("auroc", "auroc_hard", "aupr_hard"))
 def job_logistic_binary_eval(spark, sf_dir):
     """J3 evaluated like the original: area under ROC from the raw scores,
     then areas under ROC and PR from the hard predictions.  The test part is

@@ -11,8 +11,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators.metrics import classification_summary
-from ..operators.models import feature_importances, lr_coefficients, random_forest, score, text_naive_bayes_pipeline
-from ..operators.partitioning import fit_table, kept
+from ..operators.forest_table import forest_nodes, route
+from ..operators.models import feature_importances, random_forest, score, text_naive_bayes_pipeline
+from ..operators.newton import gradients
+from ..operators.partitioning import FitLayout, fit_table, kept
 from ..operators.sampling import hash_split
 from ..operators.text_model import score_text_vectors
 from ..operators.tuning import IMPURITY_GRID, MAX_DEPTH_GRID, NUM_TREES_GRID, TUNER_SEED, search_results
@@ -21,11 +23,11 @@ from . import sqlparts as S
 from .catalog import register
 from .common import SPLIT_SEED, clean_lines
 from .doc_features import feature_names
-from .jobs import _J4_SQL, doc_stat_table, forest_job, forest_search, logistic_job, prepare, tuned_forest
+from .jobs import _J4_SQL, LR_SCORED_SQL, doc_stat_table, forest_job, forest_search, logistic_job, prepare, tuned_forest
 
 
-def _forest_model(spark, sf_dir):
-    data = fit_table(doc_stat_table(spark, sf_dir, "lang"), "doc_id")
+def _forest_model(spark, sf_dir, layout: FitLayout = FitLayout()):
+    data = fit_table(doc_stat_table(spark, sf_dir, "lang"), "doc_id", layout)
     train, test = hash_split(data, ["doc_id"], [0.85, 0.15], SPLIT_SEED)
     ready = prepare(train, "lang")
     with kept(ready.transform(train)) as rows:
@@ -46,21 +48,26 @@ def rf_feature_importance(spark, sf_dir):
     return feature_importances(model, feature_names(), spark)
 
 
-@register("lr_predict")
+@register("lr_predict", LR_SCORED_SQL + """
+SELECT doc_id, label, prediction, p FROM lr_scored WHERE part = 1""", round6=("p",))
 def lr_predict(spark, sf_dir):
     return logistic_job(spark, sf_dir)[0].select("doc_id", "label", "prediction", "p")
 
 
-@register("lr_coefficients")
+@register("lr_coefficients", LR_SCORED_SQL + """
+SELECT CAST(0 AS INTEGER) AS class_index, feature, round(coefficient, 4) AS coefficient FROM lr_coef
+UNION ALL SELECT 0, '(intercept)', round(c0, 4) FROM lr_line""")
 def lr_coefficients_query(spark, sf_dir):
-    return lr_coefficients(logistic_job(spark, sf_dir)[1], feature_names(), spark)
+    """Coefficients and intercept to four places."""
+    return logistic_job(spark, sf_dir)[1].coefficient_rows(spark).withColumn("coefficient", F.round("coefficient", 4))
 
 
-@register("lr_training_summary")
+@register("lr_training_summary", LR_SCORED_SQL + """
+SELECT doc_id, label, prediction FROM lr_scored WHERE part = 0""")
 def lr_training_summary(spark, sf_dir):
-    """The training-set predictions, which the LR model's summary holds."""
-    _, model, prepared = logistic_job(spark, sf_dir)
-    return model.transform(prepared).select("doc_id", "label", "prediction")
+    """The training-set predictions, which the original's summary holds."""
+    _, model, labelled = logistic_job(spark, sf_dir)
+    return model.transform(labelled).select("doc_id", "label", "prediction")
 
 
 @register("nb_pipeline", _J4_SQL + """
@@ -141,6 +148,36 @@ def tuned_forest_binary_check(spark, sf_dir):
     return checked(tuned_forest(spark, sf_dir, "quality", 0.80)[0])
 
 
+def routed(scored, model):
+    """Per scored row, whether routing it through the table of the forest's
+    nodes gives the model's own prediction and class votes."""
+    depth = max(t.depth for t in model.trees)
+    kept_cols = ["doc_id", "label", "prediction", vector_to_array("rawPrediction").alias("raw")]
+    found = route(scored.select(*kept_cols, "features"), forest_nodes(model), depth,
+                  keep=("doc_id", "label", "prediction", "raw"))
+    near = F.forall(F.zip_with("votes", "raw", lambda a, b: F.abs(a - b)), lambda x: x < 1e-9)
+    return found.select("doc_id", "label", (F.col("routed") == F.col("prediction")).alias("same_prediction"),
+                        near.alias("same_votes"))
+
+
+_ROUTED_SQL = f"""WITH {S.lang_index(_LANG_TRAIN)}
+SELECT doc_id, li.label, true AS same_prediction, true AS same_votes
+FROM documents JOIN lang_index li USING (lang) WHERE NOT ({_LANG_TRAIN})"""
+
+
+@register("rf_routed", _ROUTED_SQL)
+def rf_routed(spark, sf_dir):
+    """The forest as a table of nodes: every test row, routed through it."""
+    model, test = _forest_model(spark, sf_dir)
+    return routed(model.transform(test), model)
+
+
+@register("tuned_rf_routed", _ROUTED_SQL)
+def tuned_rf_routed(spark, sf_dir):
+    scored, model, _ = tuned_forest(spark, sf_dir, "lang", 0.85)
+    return routed(scored, model)
+
+
 @register("rf_feature_importance_check", """SELECT 'sum' AS quantity, true AS holds
 UNION ALL SELECT 'not negative', true""")
 def rf_feature_importance_check(spark, sf_dir):
@@ -178,16 +215,13 @@ FROM n, (SELECT unnest([{', '.join(f"'{f}'" for f in [*feature_names(), '(interc
 def lr_optimality_check(spark, sf_dir):
     """First-order condition of the fit (regularisation is 0): for every
     standardised feature, and the intercept, the mean of ``(p - y) * x`` over
-    the training rows is 0 to 0.002."""
-    _, model, prepared = logistic_job(spark, sf_dir)
-    names = feature_names()
-    rows = model.transform(prepared).select(
-        (vector_to_array("probability")[1] - F.col("label")).alias("miss"), *names)
-    x = lambda c: F.when(F.stddev(c) > 0, F.avg(F.col("miss") * F.col(c)) / F.stddev(c)).otherwise(0.0)
-    got = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.avg("miss").alias("(intercept)"), *[x(c).alias(c) for c in names])
-    return got.select("n_rows", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), (F.abs(F.col(f"`{c}`")) < 2e-3).alias("at_optimum"))
-        for c in [*names, "(intercept)"]])).alias("r")).select("r.feature", "n_rows", "r.at_optimum")
+    the training rows is 0 to 1e-6."""
+    _, model, labelled = logistic_job(spark, sf_dir)
+    names = [*feature_names(), "(intercept)"]
+    scored = model.transform(labelled)
+    got = scored.agg(F.count(F.lit(1)).alias("n_rows"), gradients(scored, feature_names()).alias("g"))
+    return got.select("n_rows", F.explode(F.arrays_zip(F.array(*[F.lit(c) for c in names]).alias("feature"), "g")).alias("r")).select(
+        F.col("r.feature"), "n_rows", (F.abs(F.col("r.g")) < 1e-6).alias("at_optimum"))
 
 
 @register("search_results_check", f"""WITH t AS (

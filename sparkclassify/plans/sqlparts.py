@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from ..functions.hashing import split_bounds
 from ..functions.stopwords import sql_list
+from .doc_features import CHAR_CLASSES, CHAR_PROBES, feature_names
 
 WS_CLASS = r"[ \t\n\x0B\f\r]"
 WS_CHARS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -194,3 +195,82 @@ nb_prob AS (
   SELECT *, 1.0 / sum(exp(score - mx)) OVER (PARTITION BY {part_keys}) AS probability FROM nb_rank),
 nb_scored AS (
   SELECT {keys}, label, cls AS prediction, score, probability FROM nb_prob WHERE rk = 1)"""
+
+
+def char_features(text: str) -> str:
+    """List of the character statistics, in order of ``feature_names``."""
+    n = f"greatest(length({text}), 1)::DOUBLE"
+    quoted = lambda s: "'" + s.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+    out = [f"ln(1.0 + length({text}))"]
+    out += [f"(length({text}) - length(translate({text}, {quoted(c)}, ''))) / {n}" for c in CHAR_CLASSES.values()]
+    out.append(f"length(regexp_replace({text}, '[\\x00-\\x7F]+', '', 'g')) / {n}")
+    out += [f"((length({text}) - length(replace({text}, {quoted(p)}, ''))) / {len(p)}.0::DOUBLE) / {n} * 1000.0"
+            for p in CHAR_PROBES]
+    return "[" + ", ".join(f"({x})::DOUBLE" for x in out) + "]"
+
+
+def newton_chain(split, seed: int, most_steps: int = 16) -> str:
+    """CTEs of the logistic fit on ``labels.quality``: Newton steps as a
+    recursion whose rows are the coefficients; each builds the Hessian and the
+    gradient from the training rows and solves them by elimination.  The first
+    step, from zero, fits the logits of 3/4 and 1/4 (least squares), and the
+    probabilities stay 1e-16 off 0 and 1, both as generalized linear models
+    start and bound them.  Ends in ``lr_coef(i, feature, coefficient)`` and
+    ``lr_scored(doc_id, part, label, raw_score, p, prediction)``."""
+    d = len(feature_names())
+    names = ", ".join(f"'{f}'" for f in feature_names())
+    solve = f"""list_transform(list_reduce(
+      [m] || list_transform(range(1, {d + 2}), lambda k: [[k::DOUBLE]]),
+      lambda a, q: list_transform(a, lambda r, i: CASE WHEN i = q[1][1]::INTEGER
+        THEN list_transform(r, lambda v: v / r[q[1][1]::INTEGER])
+        ELSE list_transform(r, lambda v, j: v - r[q[1][1]::INTEGER] / a[q[1][1]::INTEGER][q[1][1]::INTEGER]
+          * a[q[1][1]::INTEGER][j]) END)), lambda r: r[{d + 2}])"""
+    return f"""RECURSIVE lr_all AS MATERIALIZED (
+  SELECT d.doc_id, CAST(l.quality AS VARCHAR) AS quality, {split_part(['doc_id'], split, seed)} AS part,
+    {char_features('d.text')} AS x
+  FROM documents d JOIN labels l USING (doc_id)),
+lr_index AS (
+  SELECT quality, CAST(row_number() OVER (ORDER BY count(*) DESC, quality) - 1 AS DOUBLE) AS label
+  FROM lr_all WHERE part = 0 GROUP BY quality),
+lr_data AS MATERIALIZED (SELECT doc_id, part, label, x FROM lr_all JOIN lr_index USING (quality)),
+lr_moments AS MATERIALIZED (
+  SELECT list(mean ORDER BY i) AS mean, list(spread ORDER BY i) AS spread FROM (
+    SELECT i, avg(x[i]) AS mean, stddev_samp(x[i]) AS spread
+    FROM lr_data, range(1, {d + 1}) AS t(i) WHERE part = 0 GROUP BY i)),
+lr_train AS MATERIALIZED (
+  SELECT label AS y, list_transform(x, lambda v, i: CASE WHEN spread[i] > 0 THEN (v - mean[i]) / spread[i] ELSE 0.0 END)
+    || [1.0::DOUBLE] AS z FROM lr_data, lr_moments WHERE part = 0),
+newton AS (
+  SELECT 0 AS step, list_transform(range({d + 1}), lambda i: 0.0::DOUBLE) AS b
+  UNION ALL
+  SELECT step + 1, list_transform(list_zip(b, {solve}),
+    lambda u: u[1] + u[2] * CASE WHEN step = 0 THEN ln(3.0) / 2 ELSE 1 END)
+  FROM (
+    SELECT step, b, list(r ORDER BY i) AS m FROM (
+      SELECT step, b, i, list(s ORDER BY j) AS r FROM (
+        SELECT step, b, i, j, sum(CASE WHEN j <= {d + 1} THEN p * (1 - p) * z[i] * z[j] ELSE (y - p) * z[i] END) AS s
+        FROM (SELECT step, b, y, z,
+                least(greatest(1 / (1 + exp(-list_dot_product(b, z))), 1e-16::DOUBLE), 1 - 1e-16::DOUBLE) AS p
+              FROM newton, lr_train WHERE step <= {most_steps}),
+          range(1, {d + 2}) AS u(i), range(1, {d + 3}) AS v(j)
+        GROUP BY step, b, i, j) GROUP BY step, b, i) GROUP BY step, b)),
+lr_beta AS MATERIALIZED (SELECT b FROM newton ORDER BY step DESC LIMIT 1),
+lr_coef AS MATERIALIZED (
+  SELECT i, [{names}][i] AS feature, CASE WHEN spread[i] > 0 THEN b[i] / spread[i] ELSE 0.0 END AS coefficient,
+    b[i] / spread[i] * mean[i] AS shift FROM lr_beta, lr_moments, range(1, {d + 1}) AS t(i)),
+lr_line AS (
+  SELECT list(coefficient ORDER BY i) AS c, any_value((SELECT b[{d + 1}] FROM lr_beta)) - sum(shift) AS c0 FROM lr_coef),
+lr_raw AS (SELECT doc_id, part, label, list_dot_product(c, x) + c0 AS raw_score FROM lr_data, lr_line),
+lr_scored AS (
+  SELECT doc_id, part, label, raw_score, 1 / (1 + exp(-raw_score)) AS p,
+    CASE WHEN 1 / (1 + exp(-raw_score)) > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM lr_raw)"""
+
+
+def areas(score: str, src: str = "lr_scored WHERE part = 1") -> str:
+    """``(auroc, aupr)`` of the ``score`` of ``src(label, score)``."""
+    return f"""WITH counts AS (SELECT {score} AS s, sum(label) AS pos, sum(1 - label) AS neg FROM {src} GROUP BY 1),
+  t AS (SELECT s, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, pos, neg,
+      sum(pos) OVER () AS p, sum(neg) OVER () AS n FROM counts WINDOW w AS (ORDER BY s DESC)),
+  c AS (SELECT *, tp - pos AS tp0, fp - neg AS fp0, tp / (tp + fp) AS pr,
+      CASE WHEN tp + fp = pos + neg THEN tp / (tp + fp) ELSE (tp - pos) / (tp + fp - pos - neg) END AS pr0 FROM t)
+  SELECT sum((fp - fp0) / n * (tp + tp0) / p / 2) AS auroc, sum((tp - tp0) / p * (pr + pr0) / 2) AS aupr FROM c"""
