@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType
 
-from .common import with_field
+from .common import tidy, with_field
 
 RANKS_FILE = "byte_bpe_50k.tiktoken"
 _NEVER = 1 << 62
@@ -216,7 +216,7 @@ def encode_column(rows: DataFrame, text_col: str, vocabulary, out_col: str = "id
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(ids, pa.list_(pa.int64()))], [*batch.schema.names, out_col])
 
-    return rows.mapInArrow(run, with_field(rows.schema, out_col, ArrayType(LongType())))
+    return rows.mapInArrow(tidy(run), with_field(rows.schema, out_col, ArrayType(LongType())))
 
 
 def decode_column(rows: DataFrame, ids_col: str, vocabulary, out_col: str = "decoded") -> DataFrame:
@@ -232,7 +232,7 @@ def decode_column(rows: DataFrame, ids_col: str, vocabulary, out_col: str = "dec
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, out_col])
 
-    return rows.mapInArrow(run, with_field(rows.schema, out_col, BinaryType()))
+    return rows.mapInArrow(tidy(run), with_field(rows.schema, out_col, BinaryType()))
 
 
 def token_digests(rows: DataFrame, id_col: str, text_col: str, vocabulary, with_ids: bool = False) -> DataFrame:
@@ -256,7 +256,7 @@ def token_digests(rows: DataFrame, id_col: str, text_col: str, vocabulary, with_
 
     names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
     kind = narrow.schema["id"].dataType.simpleString()
-    out = narrow.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    out = narrow.mapInArrow(tidy(run), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
                             + ", ids array<int>" * with_ids)
     return out.withColumnRenamed("id", id_col)
 

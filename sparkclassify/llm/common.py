@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
@@ -47,3 +51,18 @@ def join_unique(left: DataFrame, right: DataFrame, keys: list[str], share: int =
     direct = marked.filter(F.col(hot)).drop(hot)
     rest = marked.filter(F.col(hot).isNull()).drop(hot, *more).join(right, keys, "left")
     return direct.unionByName(rest)
+
+
+def tidy(run):
+    """``run`` for ``mapInArrow``, giving freed memory back at its end: Python
+    workers live on between stages, and what their allocators hold back counts
+    as the executor's."""
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+        if trim is not None:
+            trim(0)
+
+    return wrapped

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from .common import fresh_name, settle, with_field
+from .common import fresh_name, settle, tidy, with_field
 from .components import connected_components
 from .textblocks import (LOWER, _U, blocks, mix, text_array, window_hashes, word_bounds, word_hashes)
 
@@ -101,7 +101,7 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, config: JaccardCon
                  pa.array([d for _, d in found], pa.binary())], ["id", "n_shingles", "cls"])
 
     kind = narrow.schema["id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"id {kind}, n_shingles long, cls binary")
+    return narrow.mapInArrow(tidy(run), f"id {kind}, n_shingles long, cls binary")
 
 
 # -- which shingles do sets share ------------------------------------------
@@ -267,11 +267,11 @@ def shared_shingles(docs: DataFrame, text_col: str, config: JaccardConfig) -> Da
                     [pa.array([r[0] for r in out], pa.binary()), pa.array([r[1] for r in out], pa.int64()),
                      pa.array([r[2] for r in out], pa.binary())], ["cls", "n", "shared"])
 
-    pieces = docs.select(F.col(text_col).alias("text")).mapInArrow(split, _PIECES)
+    pieces = docs.select(F.col(text_col).alias("text")).mapInArrow(tidy(split), _PIECES)
     found = (pieces.repartition(tasks, "part").sortWithinPartitions("part")
-             .mapInArrow(by_part, _PIECES))
+             .mapInArrow(tidy(by_part), _PIECES))
     sets = (found.repartition(tasks, "block").sortWithinPartitions("block")
-            .mapInArrow(by_block, "cls binary, n long, shared binary"))
+            .mapInArrow(tidy(by_block), "cls binary, n long, shared binary"))
     return settle(sets.dropDuplicates(["cls"]))
 
 
@@ -289,7 +289,7 @@ def candidate_units(sets: DataFrame, config: JaccardConfig) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(head), pa.array([cls] * head.size, pa.binary())], ["h", "cls"])
 
-    postings = sets.mapInArrow(prefixes, "h long, cls binary")
+    postings = sets.mapInArrow(tidy(prefixes), "h long, cls binary")
     roots = (postings.groupBy("h").agg(F.min("cls").alias("root"), F.count("*").alias("c"))
              .filter("c > 1"))
     edges = postings.join(roots, "h").filter("cls <> root").select(
@@ -385,7 +385,7 @@ def links_of_units(units: DataFrame, config: JaccardConfig) -> DataFrame:
 
     parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (units.repartition(parts, *keys).sortWithinPartitions(*keys, "cls")
-            .mapInArrow(run, "a binary, b binary"))
+            .mapInArrow(tidy(run), "a binary, b binary"))
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, config: JaccardConfig):
@@ -432,7 +432,7 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())],
                                                  [*batch.schema.names, cls])
 
-    marked = docs.mapInArrow(run, with_field(docs.schema, cls, BinaryType()))
+    marked = docs.mapInArrow(tidy(run), with_field(docs.schema, cls, BinaryType()))
     stay = marked.join(keeper, marked[cls].eqNullSafe(keeper["keep_cls"])
                        & marked[id_col].eqNullSafe(keeper["keep_id"]), "left_semi")
     one = stay.dropDuplicates([id_col, cls])

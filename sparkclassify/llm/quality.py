@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
 from .textblocks import _U, blocks, mix, text_array, window_factors, word_bounds, word_hashes
 
 # The symbols counted by the base rule.
@@ -153,7 +154,7 @@ def quality_profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kinds = {pa.int64(): "long", pa.bool_(): "boolean"}
     schema = f"id {narrow.schema['id'].dataType.simpleString()}, " + ", ".join(
         f"{name} {kinds[kind]}" for name, kind in _FIELDS)
-    return narrow.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return narrow.mapInArrow(tidy(run), schema).withColumnRenamed("id", id_col)
 
 
 def quality_filter(docs: DataFrame, text_col: str = "text",
@@ -168,7 +169,7 @@ def quality_filter(docs: DataFrame, text_col: str = "text",
                 texts = text_array(pa.RecordBatch.from_arrays([batch.column(place)], ["text"]), "text")
                 yield batch.filter(_profile_columns(texts, rules)[-1])
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def op9_quality(spark, sf_dir):

@@ -102,8 +102,8 @@ def _phrases(data: np.ndarray, offsets: np.ndarray, config: RepeatConfig):
     last = np.flatnonzero(stop)
     at = trigger[first]
     doc = np.searchsorted(offsets, first, "right") - 1
-    k = segment_hashes(data, at, at + config.length - config.span + 1)
-    f = segment_hashes(data, first, last + config.length)
+    k = segment_hashes(data, at, at + config.length - config.span + 1, rolling=True)
+    f = segment_hashes(data, first, last + config.length, rolling=True)
     f = mix(f + (at - first).astype(_U) * _U(0x9E3779B97F4A7C15) + (last - first).astype(_U))
     return doc, first, last, at, k, f
 
@@ -279,7 +279,7 @@ def _counted_spans(contexts: DataFrame, config: RepeatConfig) -> DataFrame:
                 data = np.frombuffer(text, np.uint8)
                 lo = np.arange(data.size - config.length + 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(segment_hashes(data, lo, lo + config.length).view(np.int64)),
+                    [pa.array(segment_hashes(data, lo, lo + config.length, rolling=True).view(np.int64)),
                      pa.array([f] * lo.size, pa.int64()), pa.array([key] * lo.size, pa.int64()),
                      pa.array(lo + (pos >> 20)), pa.array([whole] * lo.size)],
                     ["h", "f", "key", "p", "whole"])

@@ -1,7 +1,8 @@
 """Sharding by histogram sort: near-equal bytes, one exchange.
 
-Rows are ordered by a 52-bit key, 32 bits of the text's hash before 20 bits of
-the id's, so equal texts stand together.  Splitters of that order are found by
+Rows are ordered by a 62-bit key, 32 bits of the text's hash before 20 bits of
+the id's and 10 of the row's own, so equal texts stand together.  Keys are
+settled with what is kept of the rows.  Splitters of that order are found by
 counting: each round counts the exact bytes below candidate key boundaries
 (the edges of equal sub-ranges of the key ranges that still hold a splitter),
 in every partition with partial sums, and moves each splitter to the nearest
@@ -17,7 +18,8 @@ splitters (one row per block) reach the driver.  DataFrame functions only.
 
 Defined results: a null text has no bytes, counts ``row_overhead`` like every
 row, and its crc32 is that of the empty text; null ids are ordinary keys; rows
-equal in text and id share a key, stay together and are numbered in any order;
+equal in text and id differ in the row's bits, so a third of all rows may be one
+row repeated; they are numbered in any order;
 an empty table gives an empty result.  Extra columns pass through ``keep``.
 """
 
@@ -30,8 +32,8 @@ from pyspark.sql import functions as F
 
 from .common import settle
 
-KEY_BITS = 52
-ROUNDS = (12, 10, 10, 10, 10)   # key bits settled per round; the first three are the text's
+KEY_BITS = 62
+ROUNDS = (12, 10, 10, 10, 10, 10)   # key bits settled per round; the first three are the text's
 
 
 @dataclass(frozen=True)
@@ -44,8 +46,13 @@ class ShardConfig:
 
 
 def shard_key(id_col: str, text_col: str) -> Column:
+    """32 bits of the text's hash, 20 of the id's, 10 of the row's own: equal
+    texts stand together, and rows repeated whole can still be parted.  The
+    row's bits hold once the key is settled."""
     text = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), 32)
-    return F.shiftleft(text, 20).bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 44))
+    row = F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 54)
+    return (F.shiftleft(text, 30).bitwiseOR(F.shiftleft(F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 44), 10))
+            .bitwiseOR(row))
 
 
 def text_size(text_col: str, overhead: int) -> Column:
@@ -125,22 +132,21 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   config: ShardConfig = ShardConfig()) -> DataFrame:
     """``keep`` (columns or expressions; all columns by default) with
     ``shard`` (0-based) and ``slot`` (0-based place in the shard) of every
-    row; they replace input columns of those names.  Only ``keep`` goes
-    through the exchange."""
+    row; they replace input columns of those names.  Only ``keep`` is settled
+    with the keys and goes through the exchange."""
     if keep is None:
         keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("shard", "slot")]
-    sizes = settle(docs.select(shard_key(id_col, text_col).alias("key"),
-                               text_size(text_col, config.row_overhead).alias("size")))
-    edges, per_shard, _ = find_splitters(sizes, config)
+    rows = settle(docs.select(F.struct(*keep).alias("row"), shard_key(id_col, text_col).alias("key"),
+                              text_size(text_col, config.row_overhead).alias("size")))
+    edges, per_shard, _ = find_splitters(rows.select("key", "size"), config)
     edges = sorted((key, rows, i % per_shard == 0) for i, key, rows in edges)
     shard, shard_rows, shards, starts = 0, 0, [0], [0]
-    for _, rows, opens in edges:
+    for _, before, opens in edges:
         if opens:
-            shard, shard_rows = shard + 1, rows
+            shard, shard_rows = shard + 1, before
         shards.append(shard)
-        starts.append(rows - shard_rows)
-    row = docs.select(F.struct(*keep).alias("row"), shard_key(id_col, text_col).alias("key"))
-    placed = row.withColumn("block", _count_up_to([key for key, _, _ in edges], F.col("key")).cast("int"))
+        starts.append(before - shard_rows)
+    placed = rows.withColumn("block", _count_up_to([key for key, _, _ in edges], F.col("key")).cast("int"))
     order = Window.partitionBy("block").orderBy("key")
     at = F.col("block") + 1
     return placed.withColumn("n", F.row_number().over(order)).select(

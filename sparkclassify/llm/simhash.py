@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_unique, settle
+from .common import join_unique, settle, tidy
 from .components import connected_components
 from .textblocks import BLOCK_BYTES, LOWER, blocks, text_array, word_bounds
 
@@ -95,7 +95,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, last - row), pa.array(found, pa.int64())],
                                                  ["id", "fp"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"id {kind}, fp long")
 
 
 def links(prints: DataFrame) -> DataFrame:

@@ -15,8 +15,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 BLOCK_BYTES = 1 << 20
+LONG_SEGMENT = 256
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -47,13 +49,19 @@ def _power_tables(n: int):
     return _powers[0][:n], _powers[1][:n]
 
 
-def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``data[start:end]`` from one prefix sum."""
+def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rolling: bool = False) -> np.ndarray:
+    """64-bit hashes of ``data[start:end]`` from one prefix sum.  Sums modulo
+    2^64 can be made to agree for long texts of a certain build (Thue-Morse),
+    so segments beyond ``LONG_SEGMENT`` bytes are hashed one by one, unless
+    they are ``rolling`` (one at about every byte)."""
     up, down = _power_tables(data.size + 1)
     sums = np.zeros(data.size + 1, _U)
     np.cumsum(_BYTE[data] * up[:-1], out=sums[1:])
     lengths = (ends - starts).astype(_U)
-    return mix((sums[ends] - sums[starts]) * down[starts] + lengths * _U(0xD6E8FEB86659FD93))
+    out = mix((sums[ends] - sums[starts]) * down[starts] + lengths * _U(0xD6E8FEB86659FD93))
+    for i in [] if rolling else np.flatnonzero(lengths > LONG_SEGMENT):
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]].tobytes())
+    return out
 
 
 def text_array(batch: pa.RecordBatch, column: str) -> pa.Array:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import share_vocabulary, texts_of, worker_encoder
-from .common import settle
+from .common import settle, tidy
 
 BAND = 1024
 
@@ -35,7 +35,7 @@ def encoded_lengths(rows: DataFrame, text_col: str, vocabulary) -> DataFrame:
                 sizes = [len(encoder.encode(t)) // 4 for part in texts_of(batch.column(0)) for t in part]
                 yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64())], ["n_tokens"])
 
-    return rows.select(F.col(text_col).alias("text")).mapInArrow(run, "n_tokens long")
+    return rows.select(F.col(text_col).alias("text")).mapInArrow(tidy(run), "n_tokens long")
 
 
 def length_histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFrame:

@@ -16,7 +16,10 @@ Defined results: vectors that are null or hold null or non-finite components,
 and rows without an id, take no part; an empty vector scores 0 with all.  A candidate with the query's own id is never its
 result.  Vectors of different lengths meet on their common dimensions.  Rows
 repeated as candidates count each time; query rows with one id and one vector
-are one query.  Ties go to the smaller id.  Sums are exact below 2^53.
+are one query.  Ties go to the smaller id.  Sums are exact below 2^53, rounded
+as doubles beyond, and end at the range of 64-bit integers; an empty table of
+queries or candidates gives no rows; other columns are not read, so their names
+cannot clash.
 """
 
 from __future__ import annotations
@@ -39,12 +42,23 @@ class TopKConfig:
 
 
 def integer_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
-    """``(id, v)`` of the usable rows; ``v`` holds whole doubles."""
+    """``(id, v)`` of the usable rows; ``v`` holds whole doubles (from 2^53 on
+    a double is whole as it is)."""
+    def whole(y):
+        return F.when(F.abs(y) < float(1 << 53), F.floor(y).cast("double")).otherwise(y)
+
     x = F.transform(vector_col, lambda c: c.cast("double"))
     usable = ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     return rows.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & usable).select(
         F.col(id_col).alias("id"),
-        F.transform(x, lambda c: F.floor(c * scale).cast("double")).alias("v"))
+        F.transform(x, lambda c: whole(c * scale)).alias("v"))
+
+
+def as_longs(scores: np.ndarray) -> list[int]:
+    """Scores as 64-bit integers; beyond their range the nearest one, and 0
+    where infinite terms cancel."""
+    top = float(1 << 63)
+    return [0 if x != x else (1 << 63) - 1 if x >= top else -(1 << 63) if x <= -top else int(x) for x in scores.tolist()]
 
 
 class _Postings:
@@ -123,7 +137,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, config: TopKConfig = TopKCo
             "query_id": pa.array([i for (i, _, _), (ids, _) in zip(asked, kept) for _ in ids], pa.int64()),
             "h": pa.array([h for (_, h, _), (ids, _) in zip(asked, kept) for _ in ids], pa.int64()),
             "vec_id": pa.array([int(x) for ids, _ in kept for x in ids], pa.int64()),
-            "score": pa.array([int(x) for _, scores in kept for x in scores], pa.int64())})
+            "score": pa.array([x for _, scores in kept for x in as_longs(scores)], pa.int64())})
 
     found = left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInArrow(
         search, "query_id long, h long, vec_id long, score long")
@@ -141,10 +155,11 @@ def op5_top_k(spark, sf_dir, config: TopKConfig = TopKConfig()):
 OP5_SQL = """
 WITH v AS (
   SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0
+  WHERE embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 p AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, CASE WHEN len(q.e) = 0 OR len(c.e) = 0 THEN 0
+    ELSE CAST(list_dot_product(q.e, c.e) AS BIGINT) END AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 r AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,

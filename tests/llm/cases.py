@@ -34,3 +34,10 @@ def documents(spark, extra=(), seed=5):
 
 def empty(df):
     return df.filter("false")
+
+
+def thue_morse(k):
+    """Two different strings of ``2 ** k`` letters that sums of powers modulo
+    a power of two take for one."""
+    bits = [bin(i).count("1") & 1 for i in range(1 << k)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)

@@ -140,3 +140,10 @@ def test_empty_table(spark):
     docs = cases.empty(cases.documents(spark))
     assert near_duplicate_components(docs).collect() == []
     assert keep_one_per_component(docs).collect() == []
+
+
+def test_words_that_sums_of_powers_confuse(spark):
+    texts = [t for k in (9, 10, 11, 12) for t in cases.thue_morse(k)]
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[2]])), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicate_components(docs).collect()}
+    assert got == {**{i: i for i in range(8)}, 8: 2}

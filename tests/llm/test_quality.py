@@ -58,3 +58,11 @@ def test_filter_keeps_rows_whole(spark):
 def test_empty_table(spark):
     docs = cases.empty(cases.documents(spark))
     assert quality_profile(docs).collect() == [] and quality_filter(docs).collect() == []
+
+
+def test_lines_that_sums_of_powers_confuse(spark):
+    text = "\n".join(line for k in (8, 9, 10, 11, 12) for line in cases.thue_morse(k))
+    docs = spark.createDataFrame([(1, text), (2, text + "\n" + text)], "doc_id long, text string")
+    got = sorted(tuple(r) for r in quality_profile(docs).collect())
+    assert got == [(i, *brute(t)) for i, t in sorted(tuple(r) for r in docs.collect())]
+    assert [r[4] for r in got] == [0, 10]

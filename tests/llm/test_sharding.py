@@ -46,6 +46,17 @@ def test_a_hot_text_is_cut_evenly(spark):
     assert len(sizes) == 8 and max(sizes) - min(sizes) <= 0.05 * max(sizes)
 
 
+def test_a_row_repeated_whole_is_cut_evenly(spark):
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, 7, id) AS doc_id", "if(id % 3 = 0, 'one row again', concat('t', id)) AS text")
+    placed = assign_shards(rows.repartition(5)).collect()
+    size, slots = [0] * 24, [[] for _ in range(24)]
+    for r in placed:
+        size[r.shard] += len(r.text) + 8
+        slots[r.shard].append(r.slot)
+    assert len(placed) == 3000 and max(size) - min(size) <= 0.05 * max(size)
+    assert all(sorted(s) == list(range(len(s))) for s in slots)
+
+
 def test_main_path_runs_no_python(spark):
     docs = spark.range(50).selectExpr("id AS doc_id", "repeat('x', int(id)) AS text")
     plan = assign_shards(docs)._jdf.queryExecution().toString()

@@ -42,3 +42,13 @@ def test_given_vectors(spark):
     from tests.conftest import SF_SMALL
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()]
     assert result(op5_top_k(spark, SF_SMALL)) == brute(rows)
+
+
+def test_large_components(spark):
+    """Finite vectors always take part; scores end at the range of longs."""
+    big = float(1 << 60)
+    rows = [(0, [1e30, 1.0]), (1, [1e30, 0.0]), (2, [-1e30, 0.0]), (3, [big, 1.0]), (50, [1e300, 1e300]), (4, [1e300, -1e300])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in search(df).collect()}
+    assert got[0, 1] == got[0, 3] == (1 << 63) - 1 and got[0, 2] == -(1 << 63)
+    assert got[50, 4] == 0 and len(got) == 10
