@@ -5,7 +5,7 @@ all its extensions, so with ``l`` the count of a leading part and ``a`` the
 phrase's own, no extension scores more than ``floor(scale * a / (l + a))`` at
 that cut: an admissible bound, which never rises by growing.  Every pass over
 the texts grows, per language, the unexpanded phrases of highest bound (a batch
-that doubles), counting their extensions to the right (which may score) and to
+that grows fourfold), counting their extensions to the right (which may score) and to
 the left (which decide whether a phrase lies inside a longer one).  A phrase is
 settled once it has been grown; growth ends when no unexpanded phrase's bound
 reaches its language's 2000th surviving score, so ties at that score are
@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_unique, settle
+from .common import join_unique, settle, tidy
 from .textblocks import LOWER, blocks, mix, segment_hashes, text_array, window_factors
 
 LONGEST = 4
@@ -53,7 +53,7 @@ class CollocationConfig:
     inside: int = 80                     # percent of a phrase's count
     batch: int = 1 << 14                 # phrases grown per language in the first round
     bits: int = 1 << 24                  # of each broadcast bit table (2 MB)
-    block_bytes: int = 8 << 20
+    block_bytes: int = 3 << 20
 
 
 # -- blocks of texts to counted phrases -----------------------------------------
@@ -101,10 +101,18 @@ def _in(table: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
     return (table[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _distinct(keys: np.ndarray):
-    """Distinct keys: one place of each, each key's number, counts."""
-    _, place, number, count = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-    return place, number, count
+def _distinct(first, limit, more, vocabulary):
+    """Distinct sequences of numbers, exact: one place of each, and counts.
+    ``first`` is below ``limit``, each of ``more`` below ``vocabulary``; what
+    would pass 62 bits is numbered anew on the way."""
+    key = first
+    for column in more:
+        if limit * vocabulary >= 1 << 62:
+            kinds, key = np.unique(key, return_inverse=True)
+            limit = kinds.size
+        key, limit = key * vocabulary + column, limit * vocabulary
+    _, place, count = np.unique(key, return_index=True, return_counts=True)
+    return place, count
 
 
 def _wanted(size, at, hash_at, tables, bits):
@@ -149,9 +157,9 @@ def block_counts(data, offsets, lang, lang_hash, sizes, tables, bits):
         here = at[_wanted(size, at, hash_at, tables, bits)]
         if not here.size:
             continue
-        place, number, count = _distinct(lang_of[here] * len(vocabulary) + word[here])
-        for j in range(1, size):
-            place, number, count = _distinct(number * len(vocabulary) + word[here + j])
+        kinds = max(len(vocabulary), 1)
+        place, count = _distinct(lang_of[here] * kinds + word[here], (int(lang.max()) + 1) * kinds,
+                                 [word[here + j] for j in range(1, size)], kinds)
         firsts = here[place]
         parts = [vocabulary.take(pa.array(word[firsts + j])) for j in range(size)]
         phrase = parts[0] if size == 1 else pc.binary_join_element_wise(
@@ -182,7 +190,7 @@ def count_phrases(docs: DataFrame, sizes, tables: dict, config: CollocationConfi
                              pa.array(np.full(count[part].size, size, np.int32)), pa.array(count[part].astype(np.int64))],
                             ["lang", "phrase", "size", "a"])
 
-    found = docs.mapInArrow(run, "lang string, phrase string, size int, a long")
+    found = docs.mapInArrow(tidy(run), "lang string, phrase string, size int, a long")
     return found.groupBy("lang", "phrase", "size").agg(F.sum("a").alias("a"))
 
 
@@ -201,7 +209,7 @@ def bit_table(phrases: DataFrame, config: CollocationConfig) -> np.ndarray:
             slot = _slots(_phrase_hash(columns, langs), bits)
             yield pa.RecordBatch.from_arrays([pa.array(slot // 63), pa.array(np.int64(1) << slot % 63)], ["at", "bit"])
 
-    rows = (phrases.select("lang", "phrase").mapInArrow(run, "at long, bit long")
+    rows = (phrases.select("lang", "phrase").mapInArrow(tidy(run), "at long, bit long")
             .groupBy("at").agg(F.bit_or("bit").alias("bit")).toPandas())
     table = np.zeros(bits + 63, bool)
     for j in range(63):
@@ -307,7 +315,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         known = known.unionByName(new.filter("size = 3").select("lang", "phrase", "a"))
         cand = settle(cand.unionByName(scored(new, known, config)))
         grown = settle(grown.unionByName(grow2).unionByName(three.select("lang", "phrase")))
-        batch *= 2
+        batch *= 4
     settled = survivors(cand, config).join(grown.withColumn("done", F.lit(True)), ["lang", "phrase"], "left")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = (settled.filter("size = 4 OR done").withColumn("rank", F.row_number().over(order).cast("long"))
