@@ -9,18 +9,24 @@ expected domain token totals match the targets.
 
 Gradients are scaled per document by its tokens and, across domains, by the
 inverse of the domains' Gram matrix, so one step solves the problem where no
-rate is cut off at zero, and few more steps are needed where some are.  A rate
-is a function of the document's posteriors and of the few step vectors; no
-rate is stored between steps.  Each step is one distributed sum; what reaches
-the driver is one number per domain and step (the Gram matrix once).
-DataFrame functions and ``pyspark.ml`` only, no text goes through an exchange.
+rate is cut off at zero, and more steps are needed where some are; they gain
+speed by momentum that starts anew where it points uphill.  Steps end when
+every total is within ``tolerance``, or when a step moves no total by more
+than ``still`` (targets that no rates, or only extreme ones, can meet);
+``miss`` says how far the totals are off then.  A rate is a function of the
+document's posteriors and of the step vectors; rates are stored every
+``stored_steps`` steps only.  Each step is one distributed sum; what reaches the driver is one
+number per domain and step (the Gram matrix once).  DataFrame functions and
+``pyspark.ml`` only, no text goes through an exchange.
 
 A token is a word here: a run of characters between spaces and punctuation.
 
-Defined results: null is the empty text, with no token; a domain no labelled
-row has gets posterior 0 and its target cannot be met; without labelled rows
-all rates are 1; an empty table gives an empty result; repeated rows have the
-same rate; rates are rounded to 6 places.
+Defined results: null is the empty text, with no token; a very long text is
+one row like any other, its words one array; a label without a value (quality
+and toxic both null) teaches nothing; a domain no labelled row has gets
+posterior 0 and its target cannot be met; without labelled rows all rates are
+1; an empty table gives an empty result; repeated rows have the same rate and
+count once in the training sample; rates are rounded to 6 places.
 """
 
 from __future__ import annotations
@@ -34,6 +40,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import fresh_name, settle
 
 
@@ -46,8 +53,9 @@ class MixConfig:
     least_documents: int = 5             # that hold a word of the vocabulary
     regularisation: float = 0.01
     iterations: int = 30
-    most_steps: int = 25
     tolerance: float = 1e-7              # of the total, per domain
+    still: float = 1e-6                  # of the total: a step that moves less is the last
+    stored_steps: int = 32               # after so many steps rates are written
 
     @property
     def domains(self) -> list[str]:
@@ -55,9 +63,10 @@ class MixConfig:
 
 
 def domain_of_labels(labels: DataFrame) -> DataFrame:
-    """``(doc_id, domain)`` from the quality and toxicity labels."""
-    return labels.select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(
-        F.col("quality") == 0, "poor").otherwise("good").alias("domain")).filter("doc_id IS NOT NULL")
+    """``(doc_id, domain)`` from the quality and toxicity labels that have a value."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(
+        F.coalesce("toxic", "quality").isNotNull(), "good")
+    return labels.select("doc_id", domain.alias("domain")).filter("doc_id IS NOT NULL AND domain IS NOT NULL")
 
 
 # Characters that end a word besides the space.
@@ -98,8 +107,15 @@ def fit_domains(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     near = F.pmod("__h", F.lit(1 << 40)) < int((1 << 40) * min(1.0, 2 * config.training_rows / max(1, labelled.count())))
     chosen = labelled.filter(near).orderBy("__h", "__id").limit(config.training_rows)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__raw"))
-    # at most training_rows rows, so this broadcast is bounded
-    train = settle(_features(rows.join(F.broadcast(chosen), "__id"), F.col("__raw")).drop("__raw", "__text"))
+    # at most training_rows rows, so this broadcast is bounded; one id may have
+    # any number of rows, so what it finds is sampled again, equal rows once
+    found = settle(rows.select("__id", F.xxhash64(F.lit("mixing rows"), "__id", "__raw").alias("__g"))
+                   .join(F.broadcast(chosen), "__id").groupBy("__id", "__g").count().select("__g"))
+    part = F.pmod("__g", F.lit(1 << 40)) < int((1 << 40) * min(1.0, 2 * config.training_rows / max(1, found.count())))
+    picked = found.filter(part).distinct().orderBy("__g").limit(config.training_rows)
+    train = rows.withColumn("__g", F.xxhash64(F.lit("mixing rows"), "__id", "__raw")).join(
+        F.broadcast(picked), "__g").join(F.broadcast(chosen), "__id").dropDuplicates(["__g", "__label"])
+    train = settle(_features(train, F.col("__raw")).drop("__raw", "__text", "__g"))
     present = sorted(int(r[0]) for r in train.select("__label").distinct().collect())
     if len(present) < 2:
         return present[0] if present else None
@@ -127,62 +143,102 @@ def with_posteriors(rows: DataFrame, text: Column, model, config: MixConfig) ->
     return scored.select(*rows.columns, "__tokens", padded.alias("__p"))
 
 
+def _after(p: Column, state: Column, step: Column, k: int) -> Column:
+    """The rate after one gradient step from ``state.y``, never below 0."""
+    return F.greatest(F.lit(0.0), state["y"] - sum((F.element_at(p, i + 1) * F.element_at(step, i + 1) for i in range(k)), F.lit(0.0)))
+
+
+def _state(p: Column, steps: list, start: Column | None = None) -> Column:
+    """``(r, y)``, the rate and the point its next step starts from, after
+    ``steps`` (a number per domain and the momentum) from ``start`` (1, 1).
+    The steps are one literal: the expression is the same however many there are."""
+    start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y")) if start is None else start
+    if not steps:
+        return start
+    k = len(steps[0]) - 1
+
+    def along(state, step):
+        rate = _after(p, state, step, k)
+        return F.struct(rate.alias("r"), (rate + F.element_at(step, k + 1) * (rate - state["r"])).alias("y"))
+
+    return F.aggregate(_literal(steps), start, along)
+
+
+def _literal(rows: list) -> Column:
+    return F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in rows])
+
+
 def _rate(p: Column, steps: list) -> Column:
-    """Start at 1, go along each step, never below 0."""
-    rate = F.lit(1.0)
-    for step in steps:
-        move = sum((F.element_at(p, i + 1) * float(x) for i, x in enumerate(step)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - move)
-    return rate
+    return _state(p, steps)["r"]
 
 
-def fit_rates(masses: DataFrame, config: MixConfig) -> list:
-    """The step vectors of the rates over ``(__tokens, __p)``."""
+def fit_rates(masses: DataFrame, config: MixConfig) -> tuple[list, float]:
+    """The step vectors of the rates over ``(__tokens, __p)``, and the miss:
+    how far the total that is furthest off still is, as a share of all tokens
+    wanted."""
     k = len(config.domains)
     p = [F.element_at("__p", i + 1) for i in range(k)]
     cells = [F.sum(F.col("__tokens") * p[i] * p[j]) for i in range(k) for j in range(k)]
-    first = masses.agg(F.sum("__tokens").alias("t"), *[c.alias(f"g{n}") for n, c in enumerate(cells)]).first()
+    first = masses.agg(F.sum("__tokens").alias("t"), *[c.alias(f"g{n}") for n, c in enumerate(cells)],
+                       *[F.sum(F.col("__tokens") * p[i]).alias(f"s{i}") for i in range(k)]).first()
+    wanted = np.array([w for _, w in config.targets]) * float(config.total_tokens or first["t"] or 0)
+    share = lambda miss: float(np.abs(miss).max() / max(wanted.sum(), 1.0))
     if not first["t"]:
-        return []
+        return [], share(wanted)
     gram = np.array([first[f"g{n}"] for n in range(k * k)]).reshape(k, k)
     if not gram.any():
-        return []
-    wanted = np.array([w for _, w in config.targets]) * float(config.total_tokens or first["t"])
+        return [], share(wanted)
     inverse = np.linalg.pinv(gram, rcond=1e-10, hermitian=True)
+    table = masses.select("__tokens", "__p", _state(F.col("__p"), []).alias("__s"))
+    weight, state = F.col("__tokens"), F.col("__s")
     steps: list = []
-    for _ in range(config.most_steps):
-        sums = masses.withColumn("__r", _rate(F.col("__p"), steps)).agg(
-            *[F.sum(F.col("__tokens") * F.col("__r") * p[i]).alias(f"s{i}") for i in range(k)]).first()
-        miss = np.array(list(sums)) - wanted
-        step = inverse @ miss
-        if np.abs(gram @ step).max() <= config.tolerance * wanted.sum():
-            break
-        steps.append(step)
-    return steps
+    stored, momentum = 0, 1.0
+    totals = at = np.array([first[f"s{i}"] for i in range(k)])      # of the rates; of the points y
+    while True:
+        move = inverse @ (at - wanted)
+        # a domain without any mass cannot be moved
+        if np.abs(gram @ (inverse @ (totals - wanted))).max() <= config.tolerance * wanted.sum():
+            return steps, share(totals - wanted)
+        if len(steps) - stored >= config.stored_steps:
+            table = settle(table.withColumn("__s", _state(F.col("__p"), steps[stored:], state)))
+            stored = len(steps)
+        here = table.withColumn("__s", _state(F.col("__p"), steps[stored:], state))
+        here = here.withColumn("__r", _after(F.col("__p"), state, _literal([move])[0], k))
+        got = here.agg(*[F.sum(weight * F.col("__r") * p[i]).alias(f"s{i}") for i in range(k)],
+                       F.sum(weight * (state["y"] - F.col("__r")) * (F.col("__r") - state["r"])).alias("uphill")).first()
+        reached = np.array([got[f"s{i}"] for i in range(k)])
+        later = 1.0 if got["uphill"] > 0 else (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
+        push = 0.0 if got["uphill"] > 0 else (momentum - 1) / later
+        steps.append([*move, push])
+        if np.abs(reached - totals).max() <= config.still * wanted.sum():
+            return steps, share(reached - wanted)
+        at, totals, momentum = reached + push * (reached - totals), reached, later
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  config: MixConfig = MixConfig()) -> DataFrame:
-    """``id_col``, ``n_tokens``, one posterior per domain and ``rate``."""
+    """``id_col``, ``n_tokens``, one posterior per domain, ``rate``, and the
+    ``miss`` of the fit (see ``fit_rates``, rounded to 9 places)."""
     model = fit_domains(docs, labels, id_col, text_col, config)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__raw"))
     masses = settle(with_posteriors(rows, F.col("__raw"), model, config).drop("__raw"))
-    steps = fit_rates(masses, config)
+    steps, miss = fit_rates(masses, config)
     return masses.select(
         F.col("__id").alias(id_col), F.col("__tokens").alias("n_tokens"),
         *[F.round(F.element_at("__p", i + 1), 6).alias(f"p_{d}") for i, d in enumerate(config.domains)],
-        F.round(_rate(F.col("__p"), steps), 6).alias("rate"))
+        F.round(_rate(F.col("__p"), steps), 6).alias("rate"), F.lit(round(miss, 9)).alias("miss"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         config: MixConfig = MixConfig()) -> DataFrame:
     """The rows of ``docs``, each as often as its rate says: its whole part
-    surely, the rest by a hash of id and text."""
+    surely, the rest by a hash of id and text.  Rows are scored once and
+    written with their posteriors; the steps read those only."""
     model = fit_domains(docs, labels, id_col, text_col, config)
     row, copy = fresh_name(docs, "row"), fresh_name(docs, "copy")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
-    scored = with_posteriors(packed, F.col(row)[text_col], model, config)
-    steps = fit_rates(settle(scored.select("__tokens", "__p")), config)
+    scored = materialize(with_posteriors(packed, F.col(row)[text_col], model, config), "mixing")
+    steps, _ = fit_rates(scored, config)
     rate = F.round(_rate(F.col("__p"), steps), 6)
     unit = F.pmod(F.xxhash64(F.lit("mixing copy"), F.col(row)[id_col], F.col(row)[text_col]), F.lit(1 << 40)) / float(1 << 40)
     times = (F.floor(rate) + F.when(unit < rate - F.floor(rate), 1).otherwise(0)).cast("int")

@@ -56,6 +56,35 @@ def test_awkward_tables(spark):
     assert mix(cases.empty(docs), labels).collect() == []
 
 
+def test_steps_end_at_the_targets_or_at_a_stationary_point(spark):
+    from tests.conftest import SF_MEDIUM
+    docs, labels = tables(spark, SF_MEDIUM)
+    for share in ((0.98, 0.01, 0.01), (0.999, 0.0005, 0.0005)):
+        config = MixConfig(targets=tuple(zip(("good", "poor", "toxic"), share)), stored_steps=6, still=1e-4 if share[0] > 0.99 else 1e-6)
+        rows = mixing_rates(docs, labels, config=config).toPandas()
+        off = max(abs((rows.n_tokens * rows.rate * rows[f"p_{d}"]).sum() / rows.n_tokens.sum() - w) for d, w in config.targets)
+        assert abs(off - rows.miss[0]) < 1e-4 and (rows.rate >= 0).all()
+        if share[0] == 0.98:
+            assert rows.miss[0] <= 1e-6
+
+
+def test_labels_without_a_value_teach_nothing(spark):
+    labels = spark.createDataFrame([(1, None, None), (2, 1, None), (3, None, 0), (4, 0, 0), (5, 1, 1), (None, 1, 1)],
+                                   "doc_id long, quality int, toxic int")
+    assert {tuple(r) for r in domain_of_labels(labels).collect()} == {(2, "good"), (3, "good"), (4, "poor"), (5, "toxic")}
+
+
+def test_rows_repeated_under_a_labelled_id(spark):
+    from tests.conftest import SF_SMALL
+    docs, labels = tables(spark, SF_SMALL)
+    hot = labels.join(docs.select("doc_id"), "doc_id").agg({"doc_id": "min"}).first()[0]
+    more = docs.filter(f"doc_id = {hot}").crossJoin(spark.range(200)).drop("id")
+    one = {r.doc_id: (r.p_good, r.p_poor) for r in mixing_rates(docs, labels).collect()}
+    many = mixing_rates(docs.unionByName(more), labels).collect()
+    assert len(many) == len(one) + 200
+    assert all(abs(r.p_good - one[r.doc_id][0]) < 1e-5 and abs(r.p_poor - one[r.doc_id][1]) < 1e-5 for r in many)
+
+
 def test_main_path_runs_no_python(spark):
     from tests.conftest import SF_SMALL
     docs, labels = tables(spark, SF_SMALL)
