@@ -9,15 +9,20 @@ solved on them, and every text is scored by two matrix products per batch:
 presence x landmarks, then kernel row x class weights.
 
 The model is fitted on a bounded sample (``landmarks`` and ``training_rows``
-per language, texts of up to ``landmark_max_chars`` characters), drawn by a
-hash; what reaches the driver is that sample's landmark texts and kernel rows.
+per language, distinct rows of any length), drawn by a hash of id and text.
+Of a language's sample the texts of up to ``landmark_chars`` characters are
+its first landmarks; longer ones serve where there are too few.  Tasks read the
+texts; what reaches the driver are the landmarks' letter counts and n-gram
+sets (at most 2^21 numbers each, however long the text) and the kernel rows.
 Scoring covers every whole text in one map-only pass: no exchange, so a hot
 source or group of copies changes nothing, and a lost task is run again.
 
 Defined results: a null text, one without a letter, or a table without a
 labelled training row gives ``und`` with score 0.  A null ``doc_id`` counts
 as the empty text in the fold rule.  Ties go to the language first in
-alphabetical order.  Repeated rows and other columns play no part.
+alphabetical order.  Repeated rows are learned once, whatever share of the
+table they are; very long texts are learned and scored whole, in pieces.
+Other columns play no part.
 """
 
 from __future__ import annotations
@@ -29,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import settle
+
 UNKNOWN = "und"
 _BITS = 7
 _TABLE = 1 << (3 * _BITS)
@@ -39,19 +46,29 @@ _PIECE = 1 << 20
 class LanguageConfig:
     landmarks: int = 32
     training_rows: int = 400
-    landmark_max_chars: int = 50_000
+    landmark_chars: int = 50_000       # preferred, no limit
     ridge: float = 1e-3
     alphabet: int = (1 << _BITS) - 3   # symbol 2^bits - 1 marks shorter n-grams
     batch: int = 256
 
 
-def _letter_table(texts, size: int) -> np.ndarray:
+def _letter_counts(text: str) -> np.ndarray:
+    """(code point, occurrences) of the lower-cased text, as two rows."""
+    counts = np.zeros(0x110000, np.int64)
+    for i in range(0, len(text), _PIECE):
+        found = np.bincount(_code_points(text[i:i + _PIECE].lower()))
+        counts[:found.size] += found
+    points = np.flatnonzero(counts)
+    return np.stack([points, counts[points]])
+
+
+def _letter_table(counted, size: int) -> np.ndarray:
     """Symbol of each code point: 0 no letter, 1 other letter, 2.. the
-    ``size`` most frequent letters of ``texts``."""
+    ``size`` most frequent letters of the ``counted`` texts."""
     table = np.fromiter((chr(c).isalpha() for c in range(0x110000)), np.uint8, 0x110000)
     counts = np.zeros(0x110000, np.int64)
-    for text in texts:
-        counts += np.bincount(_code_points(text.lower()), minlength=0x110000)
+    for points, times in counted:
+        counts[points] += times
     counts[table == 0] = 0
     order = np.lexsort((np.arange(0x110000), -counts))[:size]
     order = order[counts[order] > 0]
@@ -120,17 +137,24 @@ def _kernel_rows(texts, model) -> tuple[np.ndarray, np.ndarray]:
     return kernel, lettered
 
 
-def _landmark_model(texts: list[str], config: LanguageConfig) -> dict:
-    table = _letter_table(texts, config.alphabet)
-    presence = _Presence()
-    found = []
-    for text in texts:
-        found.append(np.unique(np.concatenate([np.unique(u) for u in _marks(_symbols(text, table))])))
-    cells = np.unique(np.concatenate(found))
-    rows = np.stack([presence.row(_symbols(t, table), cells)[0] for t in texts]).astype(np.float32)
-    rows /= np.sqrt(np.array([f.size for f in found], np.float32))[:, None]
-    return {"table": table, "cells": cells, "landmarks": np.ascontiguousarray(rows.T),
-            "batch": config.batch}
+def _grams(text: str, table: np.ndarray) -> np.ndarray:
+    """The sorted distinct n-grams of a text."""
+    flags = np.zeros(_TABLE, bool)
+    for cells in _marks(_symbols(text, table)):
+        flags[cells] = True
+    return np.flatnonzero(flags)
+
+
+def _landmark_model(found: list, table: np.ndarray, config: LanguageConfig) -> dict:
+    """The landmarks' unit vectors over the n-grams that any of them has."""
+    seen = np.zeros(_TABLE, bool)
+    for grams in found:
+        seen[grams] = True
+    cells = np.flatnonzero(seen)
+    rows = np.zeros((cells.size, len(found)), np.float32)
+    for i, grams in enumerate(found):
+        rows[np.searchsorted(cells, grams), i] = 1 / np.sqrt(grams.size)
+    return {"table": table, "cells": cells, "landmarks": rows, "batch": config.batch}
 
 
 def _solve(kernel_mm: np.ndarray, kernel_xm: np.ndarray, target: np.ndarray, ridge: float):
@@ -147,45 +171,71 @@ def _solve(kernel_mm: np.ndarray, kernel_xm: np.ndarray, target: np.ndarray, rid
 
 def _hash_sample(rows: DataFrame, key: str, order: str, most: int) -> DataFrame:
     """Up to ``most`` rows of each ``key`` value, those with the smallest
-    hash; a threshold from the exact counts keeps what meets in a window
-    near ``most`` rows however frequent a value is."""
-    counts = rows.groupBy(key).agg(F.count("*").alias("__n"))
+    hash ``order``, one row per hash.  A threshold from the number of distinct
+    hashes keeps what meets in a window near ``most`` rows however frequent a
+    value is (three times what is needed, so an estimated number is enough);
+    rows that share a hash combine in each task."""
+    counts = rows.groupBy(key).agg(F.approx_count_distinct(order, 0.03).alias("__n"))
     unit = F.pmod(F.col(order), F.lit(1 << 40)) / F.lit(float(1 << 40))
     near = rows.join(F.broadcast(counts), key).filter(unit * F.col("__n") < 3.0 * most + 30)
+    near = near.drop("__n").dropDuplicates([key, order])
     rank = F.row_number().over(Window.partitionBy(key).orderBy(order))
-    return near.withColumn("__r", rank).filter(F.col("__r") <= most).drop("__n")
+    return near.withColumn("__r", rank).filter(F.col("__r") <= most).drop("__r")
+
+
+def _of_texts(rows: DataFrame, function, kind: str) -> list:
+    """``(lang, h, function(text) as long arrays)`` of a bounded sample, in
+    the order of language and hash."""
+    def run(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                lang, h, text = (c[at].as_py() for c in batch.columns)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang]), pa.array([h], pa.int64()), pa.array([function(text)], pa.list_(pa.int64()))],
+                    ["lang", "h", kind])
+
+    got = rows.select("lang", "h", "text").mapInArrow(run, f"lang string, h long, {kind} array<long>").collect()
+    return sorted(got, key=lambda r: (r["lang"], r["h"]))
 
 
 def fit_language_model(rows: DataFrame, id_col: str, text_col: str, lang_col: str,
                        config: LanguageConfig = LanguageConfig()) -> dict | None:
     """The model as arrays; None without a usable labelled row."""
     usable = rows.select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-        F.xxhash64(F.lit("language sample"), F.col(id_col)).alias("h")).filter(
-        F.col("lang").isNotNull() & (F.length("text") <= config.landmark_max_chars)
-        & F.col("text").rlike(r"\p{L}"))
-    sample = _hash_sample(usable, "lang", "h", config.training_rows).select("lang", "text", "h", "__r")
-    marks = (sample.filter(F.col("__r") <= config.landmarks).orderBy("lang", "h", "text")
-             .select("lang", "text").collect())
-    if not marks:
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
+        F.xxhash64(F.lit("language sample"), F.col(id_col), F.col(text_col)).alias("h")).filter(
+        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    sample = settle(_hash_sample(usable, "lang", "h", config.training_rows))
+    short_first = Window.partitionBy("lang").orderBy(F.length("text") > config.landmark_chars, "h")
+    marks = (sample.withColumn("__r", F.row_number().over(short_first))
+             .filter(F.col("__r") <= config.landmarks).drop("__r"))
+    counted = _of_texts(marks, lambda text: _letter_counts(text).ravel(), "letters")
+    if not counted:
         return None
-    model = _landmark_model([r["text"] for r in marks], config)
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    table = _letter_table((np.array(r["letters"]).reshape(2, -1) for r in counted), config.alphabet)
+    context = rows.sparkSession.sparkContext
+    letters = context.broadcast(table)
+    found = [np.array(r["grams"]) for r in _of_texts(marks, lambda text: _grams(text, letters.value), "grams")]
+    model = _landmark_model(found, table, config)
+    shared = context.broadcast(model)
 
     def kernel(batches):
-        for batch in batches:
-            values, _ = _kernel_rows(batch.column(1).to_pylist(), shared.value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(list(values.astype(np.float64)), pa.list_(pa.float64()))],
-                ["lang", "k"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, config.batch):
+                batch = whole.slice(at, config.batch)
+                values, _ = _kernel_rows(batch.column(1).to_pylist(), shared.value)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(list(values.astype(np.float64)), pa.list_(pa.float64()))],
+                    ["lang", "k"])
 
     got = sample.select("lang", "text").mapInArrow(kernel, "lang string, k array<double>").collect()
     got.sort(key=lambda r: (r["lang"], r["k"]))
     kernel_xm = np.array([r["k"] for r in got])
     langs = sorted({r["lang"] for r in got})
     target = (np.array([r["lang"] for r in got])[:, None] == np.array(langs)[None, :]).astype(float)
-    kernel_mm, _ = _kernel_rows([r["text"] for r in marks], model)
+    kernel_mm = model["landmarks"].T @ model["landmarks"]
     weights, intercept = _solve(kernel_mm, kernel_xm, target, config.ridge)
+    letters.unpersist()
     shared.unpersist()
     return {**model, "langs": langs, "weights": weights, "intercept": intercept}
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from sparkclassify.llm.language import (LanguageConfig, fit_language_model, held_out, op1_language,
@@ -36,5 +37,35 @@ def test_without_training_rows(spark):
     assert predict_language(cases.empty(docs), None, "text", ("doc_id",)).collect() == []
 
 
+def _words(rng, words, count):
+    return " ".join(rng.choice(words) for _ in range(count))
+
+
+GERMAN, ENGLISH = "der hund und die katze schläft nicht über wasser".split(), "the dog and this cat sleeps with water then".split()
+
+
+def test_one_row_repeated_under_one_id(spark):
+    rng = random.Random(2)
+    english = [(1000 + i, _words(rng, ENGLISH, 30), "en") for i in range(300)]
+    config = LanguageConfig(landmarks=8, training_rows=20)
+    for id in (1, 2, 3):
+        rows = english + [(id, _words(rng, GERMAN, 30), "de")] * 300
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        model = fit_language_model(df, "doc_id", "text", "lang", config)
+        assert model["langs"] == ["de", "en"]
+        got = predict_language(df, model, "text", ("lang",)).collect()
+        assert len(got) == 600 and all(r.lang == r.lang_pred for r in got)
+
+
+def test_language_of_long_texts_only(spark):
+    rng = random.Random(3)
+    rows = [(i, _words(rng, GERMAN, 12_000), "de") for i in range(10)]
+    rows += [(100 + i, _words(rng, ENGLISH, 30), "en") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_language_model(df, "doc_id", "text", "lang", LanguageConfig(landmarks=4, training_rows=20))
+    assert model["langs"] == ["de", "en"]
+    assert all(r.lang == r.lang_pred for r in predict_language(df, model, "text", ("lang",)).collect())
+
+
 def test_null_id_is_held_out(spark):
     assert [r[0] for r in cases.documents(spark).filter("doc_id IS NULL").select(held_out()).collect()] == [True, True]
