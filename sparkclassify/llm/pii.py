@@ -16,12 +16,12 @@ no other value can have a pair.  Copies of a text are counted as one text with
 a weight, so they count in the probabilities but only once for the support.
 Counts combine before each exchange.  DataFrame functions only; of the texts,
 only those with such values go through an exchange, except in ``sanitise``.
-``reach`` has no part in this; the SQL, which looks that far from a value only,
-gives the same where no disclosing term stands further off.
+The SQL follows the same rule over whole texts.
 
 Defined results: null is the empty text and stays null when sanitised; an
 empty table gives an empty result; repeated rows are equal texts; positions
-are code points, ends exclusive.  Other columns play no part.
+are code points, ends exclusive; what a value leaves of a word it touches is a
+term only if that stands as a word elsewhere.  Other columns play no part.
 """
 
 from __future__ import annotations
@@ -53,7 +53,6 @@ TERM = "term"
 
 @dataclass(frozen=True)
 class PiiConfig:
-    reach: int = 200
     support: int = 3
     generalise_share: float = 0.8
     remove_share: float = 0.95
@@ -313,27 +312,25 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text
 pieces AS ({pieces}),
 placed AS (SELECT r, kind, name, v, {place.format(by='r, kind', v='v')} AS a, regexp_replace(v, '[^0-9]', '', 'g') AS g FROM pieces),
 base AS (SELECT r, kind, name, v, a, a + length(v) AS b FROM placed WHERE CASE {checks} END),
-sides AS (
-  SELECT r, name || ':' || lower(v) AS e, a AS anchor, 0 AS side, greatest(0, a - {config.reach}) AS l,
-    text[greatest(0, a - {config.reach}) + 1:a] AS part, a > {config.reach} AS cut_l, false AS cut_r FROM base JOIN d USING (r)
-  UNION ALL SELECT r, name || ':' || lower(v), a, 1, b, text[b + 1:b + {config.reach}], false,
-    b + {config.reach} < length(text) FROM base JOIN d USING (r)),
-cleared AS (
-  SELECT r, e, anchor, side, l, part, regexp_replace(CASE WHEN cut_l THEN regexp_replace(part, '^\\p{{L}}+', '') ELSE part END,
-    CASE WHEN cut_r THEN '\\p{{L}}+$' ELSE '^$' END, '') AS c,
-    CASE WHEN cut_l THEN length(part) - length(regexp_replace(part, '^\\p{{L}}+', '')) ELSE 0 END AS shift FROM sides),
+held AS (SELECT DISTINCT r, name || ':' || lower(v) AS e FROM base),
+value AS (
+  SELECT e, count(*) AS n_e FROM held JOIN d USING (r) GROUP BY e HAVING count(DISTINCT text) >= {config.support}),
+shared AS (SELECT r, e FROM held WHERE e IN (SELECT e FROM value)),
+gaps AS (
+  SELECT r, coalesce(max(b) OVER (PARTITION BY r ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS l,
+    a AS u FROM base WHERE r IN (SELECT r FROM shared)
+  UNION ALL SELECT r, max(b), length(any_value(text)) FROM base JOIN d USING (r) WHERE r IN (SELECT r FROM shared) GROUP BY r),
+parts AS (SELECT r, l, text[l + 1:u] AS c FROM gaps JOIN d USING (r) WHERE l < u),
 found AS (
-  SELECT r, e, anchor, side, l + shift AS l, unnest(regexp_extract_all(c, '{term}')) AS w,
+  SELECT r, l, unnest(regexp_extract_all(c, '{term}')) AS w,
     unnest(string_split_regex(c, '{term}')[1:len(regexp_extract_all(c, '{term}'))]) AS gap,
-    unnest(range(len(regexp_extract_all(c, '{term}')))) AS i FROM cleared),
-near AS (
-  SELECT DISTINCT r, e, lower(w) AS t, x AS a, x + length(w) AS b
-  FROM (SELECT *, l + {place.format(by='r, e, anchor, side', v='w')} AS x FROM found) f
-  WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.r = f.r AND base.a < x + length(w) AND x < base.b)),
+    unnest(range(len(regexp_extract_all(c, '{term}')))) AS i FROM parts),
+located AS (
+  SELECT r, lower(w) AS t, x AS a, x + length(w) AS b
+  FROM (SELECT *, l + {place.format(by='r, l', v='w')} AS x FROM found)),
 pairs AS (
-  SELECT e, t, count(DISTINCT r) AS n_et FROM near JOIN d USING (r)
+  SELECT e, t, count(*) AS n_et FROM (SELECT DISTINCT r, t FROM located) JOIN shared USING (r) JOIN d USING (r)
   GROUP BY e, t HAVING count(DISTINCT text) >= {config.support}),
-value AS (SELECT e, count(*) AS n_e FROM (SELECT DISTINCT r, name || ':' || lower(v) AS e FROM base) GROUP BY e),
 word AS (
   SELECT t, count(*) AS n_t FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '{term}'))) AS t FROM d)
   WHERE t IN (SELECT t FROM pairs) GROUP BY t),
@@ -343,7 +340,8 @@ over AS (
   WHERE n_e < n AND round(log2(n_et * n / (n_e * n_t)) / log2(n / n_e), 9) >= {config.generalise_share}),
 spans AS (
   SELECT r, kind, name, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b FROM base
-  UNION ALL SELECT DISTINCT r, {len(KINDS)}, '{TERM}', CAST(a AS BIGINT), CAST(b AS BIGINT) FROM near JOIN over USING (e, t)),
+  UNION ALL SELECT DISTINCT r, {len(KINDS)}, '{TERM}', CAST(a AS BIGINT), CAST(b AS BIGINT) 
+    FROM located JOIN shared USING (r) JOIN over USING (e, t)),
 joined AS (
   SELECT r, {counts},
     string_agg(name || ':' || a || ':' || b, ',' ORDER BY a, kind, b) FILTER (kind < {len(KINDS)}) AS of_base,

@@ -41,6 +41,12 @@ def expected(doc_id, text):
     return (doc_id, *counts, hashlib.sha256(joined.encode()).hexdigest(), joined)
 
 
+def by_sql(df, config=PiiConfig()):
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    return sorted(con.execute(_oracle_sql(config)).fetchall())
+
+
 AWKWARD = ["a@b.c@d.e", "a@b.c_x@d.e", "1.2.3.4.5.6.7.8", "1.2.3.256 0001.2.3.4", "+1 (377) 555-0271 x",
            "4111 1111 1111 1111", "4111-1111-1111-1111 4111111111111112", "é\U0001f600x@y.z", "@@a@b.c..",
            "+123456789012345678", "9" * 3000, "a" * 50_000 + "@b.c", "x.y.z@" + "a." * 5000 + "b", "1..2@3.4.5.6"]
@@ -83,10 +89,7 @@ def test_disclosing_terms(spark):
     assert all("quartz" in words(1200 + i) for i in range(3))
     assert found[1300] == [("email", "13", "27")]
     assert not any(found[i] for i in text if i < 1000 or 1100 <= i < 1200)
-    con = duckdb.connect()
-    con.register("documents", df.toArrow())
-    want = con.execute(_oracle_sql(config)).fetchall()
-    assert sorted(want) == sorted(tuple(r) for r in find_personal_data(df, config=config).collect())
+    assert by_sql(df, config) == sorted(tuple(r) for r in find_personal_data(df, config=config).collect())
     clean = {r.doc_id: r.text for r in sanitise(df, config=config).collect()}
     assert "Zoltan" not in clean[1000] and "[email]" in clean[1000] and "common" in clean[1000]
     assert "[term]" in clean[1200] and "quartz" not in clean[1200]
@@ -115,11 +118,29 @@ def test_terms_far_from_the_value(spark):
         name = named.get(r.doc_id // 100 * 100, "none")
         want = [[str(m.start()), str(m.end())] for m in re.finditer(name, text.get(r.doc_id, "").lower())]
         assert got == want, (r.doc_id, r.spans)
+    assert by_sql(df) == sorted(tuple(r) for r in find_personal_data(df).collect())
     clean = {r.doc_id: r.text for r in sanitise(df).collect()}
     assert not any(re.search("zoltan|umberto|xanthippe|quartz", clean[i].lower()) for i in text if i >= 1000)
     assert clean[2000] == "Zoltan and Umberto" and all(clean[i] == text[i] for i in text if i < 1000)
 
 
+def test_terms_that_touch_values(spark):
+    """Words cut by a value, values that overlap, repeated rows and null text;
+    the whole result equals the SQL."""
+    rng = random.Random(9)
+    rows = [(i, cases.prose(rng, 12)) for i in range(200)] + [(200, None), (201, "")]
+    for i in range(5):
+        rows.append((300 + i, f"{i} Z\u00f6lt\u00e1n\u00e9x.y@mail.example\u00c9gide +4111 1111 1111 1111 Brunhilde {i}"))
+        rows.append((400 + i, f"{i} \U0001f600 Zoltan 10.1.2.3+1 (377) 555-0271Ottokar"))
+    df = spark.createDataFrame(rows + rows[-6:], "doc_id long, text string")
+    got = sorted(tuple(r) for r in find_personal_data(df).collect())
+    assert got == by_sql(df)
+    text = dict(rows)
+    terms = {i: {text[i][int(a):int(b)].lower() for k, a, b in (s.split(":") for s in spans.split(",") if s) if k == "term"}
+             for i, *_, spans in got}
+    assert all(terms[300 + i] == {"brunhilde"} and {"zoltan", "ottokar"} <= terms[400 + i] for i in range(5))
+
+
 def test_sanitise_keeps_columns(spark):
     docs = cases.documents(spark)
     out = sanitise(docs)
