@@ -69,8 +69,8 @@ def domain_of_labels(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", domain.alias("domain")).filter("doc_id IS NOT NULL AND domain IS NOT NULL")
 
 
-# Characters that end a word besides the space.
-_BREAKS = "\t\n\x0b\x0c\r.,;:?()[]\"'"
+# What stands between words.
+_BREAKS = r"""[ \t\n\x0b\x0c\r.,;:?()\[\]"']+"""
 
 
 def _features(rows: DataFrame, text: Column) -> DataFrame:
@@ -79,9 +79,7 @@ def _features(rows: DataFrame, text: Column) -> DataFrame:
     chars = F.greatest(F.length("__text"), F.lit(1)).cast("double")
     share = lambda pattern: 1 - F.length(F.regexp_replace("__text", pattern, "")) / chars
     df = rows.withColumn("__text", F.coalesce(text, F.lit("")))
-    # a split at one plain character needs no pattern
-    spaced = F.translate(F.lower("__text"), _BREAKS, " " * len(_BREAKS))
-    df = df.withColumn("__words", F.filter(F.split(spaced, " "), lambda w: w != ""))
+    df = df.withColumn("__words", F.array_remove(F.split(F.lower("__text"), _BREAKS), ""))
     return df.withColumns({
         "__tokens": F.size("__words").cast("long"),
         "__symbols": share("[!#$%&*|<>]+"), "__upper": share(r"\p{Lu}+"),
