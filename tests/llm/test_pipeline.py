@@ -1,10 +1,14 @@
 import hashlib
+import random
 
 import numpy as np
 
 import __spark_entry__
 import corpus_pipeline
 
+from sparkclassify.llm.pii import KINDS
+
+from . import cases
 from .test_bpe import library  # noqa: F401
 from .test_near_duplicates import brute
 from .test_pii import base
@@ -45,6 +49,37 @@ def test_stages_one_by_one(spark, library, tmp_path):  # noqa: F811
                 assert r.decoded_sha256 == hashlib.sha256(text[r.doc_id].encode()).hexdigest()
 
 
+def hidden(text):
+    """``text`` with the base kinds in brackets (they do not overlap here)."""
+    for start, kind, end in reversed(base(text)):
+        text = f"{text[:start]}[{KINDS[kind]}]{text[end:]}"
+    return text
+
+
+def test_awkward_rows(spark, tmp_path):
+    """Null, empty, very long, repeated and clashing rows through all stages,
+    against brute force; without labels all rates are 1."""
+    rng = random.Random(8)
+    words = cases.prose(rng, 90).split()
+    copy, changed = " ".join(words), " ".join(words[:40] + ["changed"] + words[41:])
+    docs = cases.documents(spark, extra=[
+        (20, copy, "en", "a"), (20, copy, "en", "a"), (21, changed, None, None), (None, copy, "en", "b"),
+        (22, cases.prose(rng, 80) + " p.q@mail.example", "en", "a"),
+        (None, cases.prose(rng, 80) + " at 10.1.2.3 now", None, "a")])
+    docs.write.parquet(f"{tmp_path}/full/documents.parquet")
+    cases.empty(docs).write.parquet(f"{tmp_path}/none/documents.parquet")
+    for name in ("full", "none"):
+        cases.empty(spark.read.parquet(f"{SF}/labels.parquet")).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect() if quality(r.text)[-1]]
+    _, component = brute(rows)
+    keepers = {min((i is None, i or 0, t) for (i, t), d in zip(rows, component) if d == c) for c in set(component)}
+    want = [(None if absent else i, hashlib.sha256(hidden(t).encode()).hexdigest()) for absent, i, t in keepers]
+    got = [(r.doc_id, r.decoded_sha256) for r in corpus_pipeline.run(spark, f"{tmp_path}/full").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert {1, 20, 22, None} <= {i for i, _ in got} and not {2, 3, 21} & {i for i, _ in got}
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
+
+
 def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names
