@@ -10,11 +10,12 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from sparkclassify.operators.forest_table import forest_nodes, route
+from sparkclassify.operators.forest_depths import predictions_by_depth
+from sparkclassify.operators.forest_table import ForestArrays, forest_nodes, route
 from sparkclassify.operators.models import logistic_regression, random_forest
 from sparkclassify.operators.newton import newton_logistic
 from sparkclassify.operators.partitioning import FitLayout, fit_table, kept, layout_of
-from sparkclassify.operators.tuning import holdout_search, weighted_f1
+from sparkclassify.operators.tuning import fits_at_once, holdout_search, weighted_f1
 from sparkclassify.operators.vectors import assembler
 from sparkclassify.plans.jobs import fingerprint, forest_search
 from sparkclassify.session import load_table
@@ -96,6 +97,40 @@ def test_routing_through_the_node_table(spark):
     assert len(got) == 700 and all(r.routed == r.prediction and r.votes == pytest.approx(r.raw) for r in got)
 
 
+def test_rows_carry_no_copy_of_the_forest(spark):
+    data = assembler(["a", "b", "c"]).transform(three_classes(spark))
+    model = random_forest(num_trees=4, max_depth=8).fit(data)
+    by_depth = predictions_by_depth(model, data, [8, 2], keep=("doc_id", "label"))
+    routed = route(data, forest_nodes(model), 8)
+    for df in (by_depth, routed):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan and "LocalTableScan" not in plan, plan
+    assert by_depth.dtypes == [("doc_id", "bigint"), ("label", "double"), ("depth", "int"), ("prediction", "double")]
+    for depth in (2, 8):
+        want = random_forest(num_trees=4, max_depth=depth).fit(data).transform(data)
+        got = {r.doc_id: r.prediction for r in by_depth.filter(F.col("depth") == depth).collect()}
+        assert got == {r.doc_id: r.prediction for r in want.collect()} and len(got) == 700
+    assert predictions_by_depth(model, data.filter("false"), [2]).collect() == []
+
+
+def test_forest_arrays(spark):
+    """A tree by hand: 0 -> (1 -> (2, 3), 4); 2 and 3 predict alike, 4 differs."""
+    rows = [(0, 4, -1, None, -1, -1, [0., 9.]), (0, 0, 0, .5, 1, 4, [8., 9.]), (0, 1, 1, .5, 2, 3, [8., 0.]),
+            (0, 2, -1, None, -1, -1, [5., 0.]), (0, 3, -1, None, -1, -1, [3., 0.]), (1, 0, -1, None, -1, -1, [0., 0.])]
+    forest = ForestArrays.of(spark.createDataFrame(
+        rows, "tree int, node int, feature int, threshold double, left int, right int, counts array<double>"))
+    assert forest.roots.tolist() == [0, 5] and forest.level.tolist() == [0, 1, 2, 2, 1, 0]
+    top = forest.stops()[2]
+    assert forest.stops().tolist() == [0, 1, top, top, top, top] and forest.pruned_stops().tolist() == [0, top, top, top, top, top]
+    cut, whole = forest.votes(np.array([[.5, 0.], [.6, 0.]]), forest.stops(), [0, 2])
+    assert cut.tolist() == [[8 / 17, 9 / 17]] * 2 and whole.tolist() == [[1., 0.], [0., 1.]]
+
+
+def test_fewer_fits_at_once_on_larger_tables():
+    assert [fits_at_once(8, partitions, 12) for partitions in (1, 3, 8, 24, 1000)] == [8, 8, 3, 2, 2]
+    assert fits_at_once(1, 1, 12) == 1
+
+
 def test_layout_follows_from_the_rows_alone(spark, tmp_path):
     assert [FitLayout().count(n) for n in (0, 1, 1 << 16, (1 << 16) + 1, 10 ** 10)] == [1, 1, 1, 2, 152588]
     assert FitLayout(partitions=5).count(10 ** 10) == 5
