@@ -18,8 +18,16 @@ from pyspark.sql import functions as F
 from ..functions.hashing import term_bucket
 
 
+def hash_terms(df: DataFrame, tokens_col: str, num_buckets: int = 10000, algo: str = "murmur3") -> DataFrame:
+    """Each row's terms as an array of their buckets, in place: four bytes a
+    term, for tables that are written or exchanged before they are counted."""
+    def bucket(term):
+        return F.when(term.isNotNull(), term_bucket(term, num_buckets, algo).cast("int"))
+    return df.withColumn(tokens_col, F.transform(tokens_col, bucket))
+
+
 def hashed_tf(df: DataFrame, keys, tokens_col: str, num_buckets: int = 10000,
-              algo: str = "murmur3", keep_empty: bool = False) -> DataFrame:
+              algo: str | None = "murmur3", keep_empty: bool = False) -> DataFrame:
     """Term counts per hash bucket: ``(keys..., bucket int, tf double)``.
 
     The count is partial per task before the shuffle (all tokens of a
@@ -27,6 +35,7 @@ def hashed_tf(df: DataFrame, keys, tokens_col: str, num_buckets: int = 10000,
     carries one row per distinct (document, bucket), the size of a sparse
     TF vector.  If ``df`` is already hash-partitioned by a subset of
     ``keys`` (see ``partitioning.by_key``) there is no shuffle at all.
+    Without ``algo`` the tokens are buckets already (see ``hash_terms``).
     """
     keys = list(keys)
     exploded = df.select(*keys, F.explode_outer(tokens_col).alias("__term"))
@@ -35,7 +44,7 @@ def hashed_tf(df: DataFrame, keys, tokens_col: str, num_buckets: int = 10000,
         # ``operators.text.explode_elements``).
         exploded = exploded.where(F.col("__term").isNotNull())
     bucket = (F.when(F.col("__term").isNull(), F.lit(None).cast("int"))
-               .otherwise(term_bucket("__term", num_buckets, algo)))
+               .otherwise(term_bucket("__term", num_buckets, algo) if algo else F.col("__term")))
     return (exploded.groupBy(*keys, bucket.alias("bucket"))
                     .agg(F.count("__term").cast("double").alias("tf")))
 

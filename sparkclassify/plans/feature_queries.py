@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.features import hashed_tf, idf_fit, l2_normalize, tfidf
+from ..operators.features import hash_terms, hashed_tf, idf_fit, l2_normalize, tfidf
+from ..operators.partitioning import by_key
 from ..operators.sampling import hash_split
 from ..operators.text_model import fit_text_naive_bayes, fit_text_vectors, score_text_vectors
 from ..session import materialize
@@ -45,13 +46,13 @@ def hashed_tf_murmur3(spark, sf_dir):
 
 
 def _line_tf_idf(spark, sf_dir):
-    """(TF rows, IDF): terms are exploded, hashed and counted once; the
-    written TF table, which keeps lines without terms, also gives the number
-    of lines."""
-    tf = materialize(hashed_tf(line_terms(spark, sf_dir), LINE_KEYS, "terms", 10000, "md5",
-                               keep_empty=True), "tf")
-    lines = tf.select(*LINE_KEYS).distinct()
-    return tf.where(F.col("bucket").isNotNull()), idf_fit(tf, lines)
+    """(TF rows, IDF): terms are hashed once, and one row per line, its buckets
+    as an array, is written.  That table is exchanged by line, before terms are
+    exploded: counts, document frequencies and the norm per line all read this
+    one exchange, and no TF row is exchanged or written."""
+    lines = materialize(hash_terms(line_terms(spark, sf_dir).select(*LINE_KEYS, "terms"), "terms", 10000, "md5"), "buckets")
+    tf = hashed_tf(by_key(lines, LINE_KEYS), LINE_KEYS, "terms", algo=None, keep_empty=True)
+    return tf.where(F.col("bucket").isNotNull()), idf_fit(tf, lines.select(*LINE_KEYS).distinct())
 
 
 @register("idf_weights", _TF_SQL + "\nSELECT bucket, doc_freq, idf FROM idf", round6=('idf',))

@@ -9,7 +9,7 @@ from pyspark.ml.feature import IDF, Normalizer
 from pyspark.ml.linalg import SparseVector
 
 from sparkclassify.functions.text import clean_text
-from sparkclassify.operators.features import hashed_tf, idf_fit, l2_normalize, tfidf
+from sparkclassify.operators.features import hash_terms, hashed_tf, idf_fit, l2_normalize, tfidf
 from sparkclassify.operators.naive_bayes import naive_bayes_fit, naive_bayes_score
 from sparkclassify.operators.text import remove_stop_words, tokenize
 from sparkclassify.operators.text_model import fit_text_naive_bayes, score_text_naive_bayes
@@ -126,3 +126,28 @@ def test_unseen_bucket_uses_default_idf(spark):
     test = spark.createDataFrame([(3, 0.0, ["zzz-unseen"])], "id long, label double, terms array<string>")
     w = tfidf(hashed_tf(test, ["id", "label"], "terms", 1000, "md5"), idf).first().weight
     assert w == pytest.approx(math.log(3.0))
+
+
+def test_hashed_terms_count_like_terms(spark):
+    """Also with repeated, null and empty keys and terms."""
+    df = spark.createDataFrame(
+        [(1, ["a", "b", "a", None]), (1, ["a"]), (None, ["b", "c"]), (None, ["b"]), (2, []), (3, None)],
+        "id long, terms array<string>")
+    for algo in ("md5", "murmur3"):
+        for keep_empty in (False, True):
+            want = hashed_tf(df, ["id"], "terms", N, algo, keep_empty)
+            got = hashed_tf(hash_terms(df, "terms", N, algo), ["id"], "terms", algo=None, keep_empty=keep_empty)
+            assert got.dtypes == want.dtypes
+            assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_norms_exchange_no_tf_rows(spark):
+    """One exchange by line, below the explode; what is exchanged above it are
+    document frequencies."""
+    from sparkclassify.plans.feature_queries import l2_normalize_query
+    from .conftest import SF_SMALL
+    plan = l2_normalize_query(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("Generate")]
+    assert "Window" in above and "hashpartitioning(doc_id" not in above.split("BroadcastHashJoin")[-1], plan
+    between = above[above.index("Window"):above.index("Subquery")] + above.split("BroadcastHashJoin")[-1]
+    assert "Exchange" not in between, plan
