@@ -56,6 +56,9 @@ class JaccardConfig:
     mu: float = 0.0085               # DivideSkip's weight of a long list
 
 
+PART_BYTES = 1 << 19
+
+
 def needed_overlap(n, percent: int):
     """Least overlap of a set of ``n`` with any partner."""
     return -(-percent * n // 100)
@@ -85,8 +88,12 @@ def _digest(hashes: np.ndarray) -> bytes | None:
 
 
 def _block_sets(texts: pa.Array, config: JaccardConfig):
-    for _, _, data, offsets in blocks(texts, config.block_bytes):
-        yield shingle_hashes(data, offsets, config.words)
+    """The sets of each block, from a part of its documents at a time: work
+    arrays are of the part's size."""
+    for row, last, _, _ in blocks(texts, config.block_bytes):
+        part = texts.slice(row, last - row)
+        yield [s for _, _, data, offsets in blocks(part, PART_BYTES)
+               for s in shingle_hashes(data, offsets, config.words)]
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, config: JaccardConfig) -> DataFrame:
@@ -137,6 +144,20 @@ def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
         ["part", "block", "table", "sizes", "idx", "hashes", "counts"])
 
 
+def _by_shingle(arrays: list[np.ndarray], sizes: np.ndarray):
+    """Shingle ids in ascending order and the numbers of their sets."""
+    if len(arrays) > 1 << 16:
+        ids = np.concatenate([a >> _U(16) for a in arrays])
+        order = np.argsort(ids, kind="stable")
+        return ids[order], np.repeat(np.arange(len(arrays), dtype=np.uint32), sizes)[order]
+    keys, at = np.empty(sizes.sum(), _U), 0     # id and number in one word, sorted in place
+    for i, a in enumerate(arrays):
+        keys[at:at + a.size] = a & ~_U(0xFFFF) | _U(i)
+        at += a.size
+    keys.sort()
+    return keys >> _U(16), (keys & _U(0xFFFF)).astype(np.uint16)
+
+
 def _split_block(sets: list[np.ndarray], parts: int):
     """One table row of the block's distinct sets, with the places of what
     they share inside the block, and one row per hash range with each distinct
@@ -148,13 +169,8 @@ def _split_block(sets: list[np.ndarray], parts: int):
     if not own:
         return
     classes = sorted(own)
-    arrays = [own[c] >> _U(16) for c in classes]
-    sizes = np.array([a.size for a in arrays], np.int64)
-    ids = np.concatenate(arrays)
-    kind = np.uint16 if len(arrays) <= 1 << 16 else np.uint32
-    idx = np.repeat(np.arange(len(arrays), dtype=kind), sizes)
-    order = np.argsort(ids, kind="stable")
-    ids, idx = ids[order], idx[order]
+    sizes = np.array([own[c].size for c in classes], np.int64)
+    ids, idx = _by_shingle([own.pop(c) for c in classes], sizes)
     first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
     counts = np.diff(np.append(first, ids.size))
     several = np.repeat(counts > 1, counts)

@@ -51,7 +51,7 @@ _FIELDS = [("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa
 
 
 def _prefix(flags: np.ndarray) -> np.ndarray:
-    out = np.zeros(flags.size + 1, np.int64)
+    out = np.zeros(flags.size + 1, np.int32 if flags.size < 1 << 31 else np.int64)
     np.cumsum(flags, out=out[1:])
     return out
 

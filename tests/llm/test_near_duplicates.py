@@ -1,13 +1,15 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkclassify.llm.components import connected_components
-from sparkclassify.llm.near_duplicates import (JaccardConfig, keep_one_per_component,
-                                               near_duplicate_components, pack_hashes, search_unit,
-                                               unpack_hashes)
+from sparkclassify.llm.near_duplicates import (JaccardConfig, _block_sets, _by_shingle,
+                                               keep_one_per_component, near_duplicate_components, pack_hashes,
+                                               search_unit, shingle_hashes, unpack_hashes)
 
 from . import cases
 
@@ -147,3 +149,29 @@ def test_words_that_sums_of_powers_confuse(spark):
     docs = spark.createDataFrame(list(enumerate([*texts, texts[2]])), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in near_duplicate_components(docs).collect()}
     assert got == {**{i: i for i in range(8)}, 8: 2}
+
+
+def test_work_arrays_are_of_a_part_not_of_the_block():
+    texts = pa.array([cases.prose(random.Random(i), 180) for i in range(3000)])
+    config = JaccardConfig()
+    whole = np.frombuffer(texts.buffers()[2], np.uint8)
+    offsets = np.frombuffer(texts.buffers()[1], np.int32).astype(np.int64)
+    want = shingle_hashes(whole[:offsets[-1]], offsets, config.words)
+    tracemalloc.start()
+    try:
+        found = [s for part in _block_sets(texts, config) for s in part]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(found) == len(want) and all((a == b).all() for a, b in zip(found, want))
+    assert peak < 6 * texts.nbytes
+
+
+@pytest.mark.parametrize("sets", [40, (1 << 16) + 3])
+def test_by_shingle(sets):
+    rng = np.random.default_rng(5)
+    arrays = [np.unique(rng.integers(0, 1 << 20, 4, np.uint64) << np.uint64(16) | np.uint64(k % 7)) for k in range(sets)]
+    sizes = np.array([a.size for a in arrays])
+    ids, idx = _by_shingle(arrays, sizes)
+    want = sorted((int(h) >> 16, k) for k, a in enumerate(arrays) for h in a)
+    assert list(zip(ids.tolist(), idx.tolist())) == want
