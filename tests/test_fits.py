@@ -3,6 +3,8 @@ search, layouts that follow from the rows."""
 
 import math
 import random
+import threading
+import time
 
 import numpy as np
 import pytest
@@ -15,7 +17,7 @@ from sparkclassify.operators.forest_table import ForestArrays, forest_nodes, rou
 from sparkclassify.operators.models import logistic_regression, random_forest
 from sparkclassify.operators.newton import newton_logistic
 from sparkclassify.operators.partitioning import FitLayout, fit_table, kept, layout_of
-from sparkclassify.operators.tuning import fits_at_once, holdout_search, weighted_f1
+from sparkclassify.operators.tuning import fits_at_once, holdout_search, run_all, trees_at_once, weighted_f1
 from sparkclassify.operators.vectors import assembler
 from sparkclassify.plans.jobs import fingerprint, forest_search
 from sparkclassify.session import load_table
@@ -131,6 +133,31 @@ def test_fewer_fits_at_once_on_larger_tables():
     assert fits_at_once(1, 1, 12) == 1
 
 
+def test_growing_forests_fit_the_drivers_heap():
+    """Sizes of the grid's forests: no two large ones at once in little room, all
+    done in the end, and one alone when the room is too small for any."""
+    sizes = [n for n in range(96, 0, -8) for _ in range(2)]
+    for room, most in ((130, 8), (216, 6), (5, 4), (10 ** 6, 3)):
+        lock, now, peaks, counts = threading.Lock(), [], [], []
+
+        def run(i):
+            with lock:
+                now.append(sizes[i])
+                peaks.append(sum(now))
+                counts.append(len(now))
+            time.sleep(.002)
+            with lock:
+                now.remove(sizes[i])
+            return i
+
+        assert sorted(run_all(run, range(len(sizes)), lambda i: sizes[i], most, lambda: room)) == list(range(len(sizes)))
+        assert max(peaks) <= max(room, 96) and max(counts) <= most
+    with pytest.raises(ZeroDivisionError):
+        list(run_all(lambda i: 1 / i, [2, 1, 0], lambda i: 1, 2, lambda: 9))
+    assert trees_at_once(10 ** 9, 128_000, []) == 300 and trees_at_once(10 ** 9, 128_000, [500, 1000]) == 600
+    assert trees_at_once(10 ** 9, 0, []) > 10 ** 5
+
+
 def test_layout_follows_from_the_rows_alone(spark, tmp_path):
     assert [FitLayout().count(n) for n in (0, 1, 1 << 16, (1 << 16) + 1, 10 ** 10)] == [1, 1, 1, 2, 152588]
     assert FitLayout(partitions=5).count(10 ** 10) == 5
