@@ -151,3 +151,26 @@ def test_norms_exchange_no_tf_rows(spark):
     assert "Window" in above and "hashpartitioning(doc_id" not in above.split("BroadcastHashJoin")[-1], plan
     between = above[above.index("Window"):above.index("Subquery")] + above.split("BroadcastHashJoin")[-1]
     assert "Exchange" not in between, plan
+
+
+def test_character_statistics_read_a_text_once(spark):
+    """Counts by brute force on awkward texts; no expression goes over the text
+    but its length and the one pass that counts."""
+    from math import log1p
+    from sparkclassify.plans.doc_features import CHAR_CLASSES, CHAR_PROBES, char_statistics, feature_names
+    texts = [None, "", "the then thethe Schsch THE quou inging", "ñßçéèüöäíó ññ \n\n\t .,;:!? 09", "Ã±Ÿ e\u0301 \u0000\x7f\x80",
+             "日本語 😀 été", "x" * 70000 + "ing" * 999]
+    df = spark.createDataFrame([(i % 2, i, t) for i, t in enumerate(texts)], "lang int, doc_id long, text string")
+    got = char_statistics(df, keep=("doc_id", "lang"))
+    assert got.columns == ["doc_id", "lang", *feature_names()]
+    for i, lang, *values in got.collect():
+        text, want = texts[i], [None] * len(feature_names())
+        assert lang == i % 2
+        if text is not None:
+            n = float(max(1, len(text)))
+            want = [log1p(len(text)), *[sum(map(text.count, chars)) / n for chars in CHAR_CLASSES.values()],
+                    sum(c > "\x7f" for c in text) / n, *[text.count(p) / n * 1000.0 for p in CHAR_PROBES]]
+        assert values[1:] == want[1:] and values[0] == pytest.approx(want[0])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and not any(f"{f}(text" in plan for f in ("translate", "replace", "regexp_replace")), plan
+    assert char_statistics(df.filter("false")).collect() == []
