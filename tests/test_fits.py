@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sparkclassify.operators.forest_depths import predictions_by_depth
 from sparkclassify.operators.forest_table import ForestArrays, forest_nodes, route
-from sparkclassify.operators.models import logistic_regression, random_forest
+from sparkclassify.operators.models import LINEAGE_LEVELS, logistic_regression, random_forest, with_short_lineage
 from sparkclassify.operators.newton import newton_logistic
 from sparkclassify.operators.partitioning import FitLayout, fit_table, kept, layout_of
 from sparkclassify.operators.tuning import fits_at_once, holdout_search, run_all, trees_at_once, weighted_f1
@@ -176,6 +176,28 @@ def test_layout_follows_from_the_rows_alone(spark, tmp_path):
     assert layout_of(fit_table(rows, "doc_id", FitLayout(rows_per_partition=100))) == 7
 
 
+def test_many_partitions_cut_the_lineage_of_node_ids(spark, monkeypatch):
+    """Fits on many partitions checkpoint node ids; trees and metrics are those
+    without checkpoints, and no checkpoint is left."""
+    table = fit_table(three_classes(spark), "doc_id", FitLayout(partitions=40))
+    data = assembler(["a", "b", "c"]).transform(table)
+    plain = random_forest(num_trees=5, max_depth=12)
+    cut = with_short_lineage(plain, layout_of(data))
+    assert (plain.getCheckpointInterval(), cut.getCheckpointInterval()) == (-1, LINEAGE_LEVELS) and cut.uid == plain.uid
+    assert with_short_lineage(plain, 31) is plain
+    assert with_short_lineage(random_forest(checkpointInterval=7), 40).getCheckpointInterval() == 7
+    with kept(data) as rows:
+        trees = [rf.fit(rows).toDebugString.split("\n", 1)[1] for rf in (plain, cut)]
+    assert trees[0] == trees[1]
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext.getCheckpointDir())
+    left = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    assert not [f.getPath().getName() for f in left if f.getPath().getName().startswith("rdd-")]
+    grid, used, fit = {"numTrees": (2, 3), "maxDepth": (3, 9), "impurity": ("gini",)}, [], type(plain).fit
+    monkeypatch.setattr(type(plain), "fit", lambda rf, *a: used.append(rf.getCheckpointInterval()) or fit(rf, *a))
+    found = [holdout_search(random_forest(**p), grid, data) for p in ({}, {"checkpointInterval": 50})]
+    assert used == [LINEAGE_LEVELS] * 2 + [50] * 2 and found[0].metrics == found[1].metrics
+
+
 def test_search_sees_a_table_that_changes(spark, tmp_path):
     path = str(tmp_path)
     docs, labels = load_table(spark, SF_SMALL, "documents"), load_table(spark, SF_SMALL, "labels")
